@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import byte_bpe, exact_dedup, mixing, vector_search
 from ._common import table
 
 
@@ -18,11 +18,24 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20, factor=1.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_exact_dedup,
+        op5_byte_bpe,
         op8_source_mix,
+        op10_vector_search,
     )
 }
 
@@ -68,4 +81,20 @@ ORACLE_SQL: dict[str, str] = {
                CAST(list_sum(list_transform([0, 1, 2], lambda e: greatest(0, least(size, CAST(floor(target) AS BIGINT) - e * source_size - before)))) AS BIGINT) AS taken
         FROM c
     """,
+    # exact, since factor one prunes nothing that could be among the nearest
+    "op10_vector_search": r"""
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        ), u AS (
+            SELECT * FROM v
+            WHERE v IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM u q JOIN u c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
 }
