@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, vector_search
+from . import byte_bpe, exact_dedup, mixing, vector_search, warc
 from ._common import table
 
 
@@ -14,6 +14,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op3_exact_dedup,
         op5_byte_bpe,
+        op7_warc,
         op8_source_mix,
         op10_vector_search,
     )
@@ -51,6 +56,27 @@ ORACLE_SQL: dict[str, str] = {
                sha256(norm) AS text_sha256
         FROM n
     """,
+    "op7_warc": r"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages
+        ), h AS (
+            SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+                   array_to_string(list_transform(string_split(sha1(encode(payload)), ''), lambda c:
+                       ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][instr('0123456789abcdef', c)]), '') AS bits
+            FROM p
+        ), d AS (
+            SELECT page_id, payload_bytes,
+                   array_to_string(list_transform(range(32), lambda i:
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(list_sum(list_transform(range(5), lambda j: CASE WHEN substr(bits, 5 * i + j + 1, 1) = '1' THEN [16, 8, 4, 2, 1][j + 1] ELSE 0 END)) AS INT), 1)), '') AS payload_digest
+            FROM h
+        ), m AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> newest THEN newest END AS refers_to
+        FROM m
+    """,
     "op8_source_mix": r"""
         WITH d AS (
             SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
