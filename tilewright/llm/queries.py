@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, language_id, mixing, vector_search, warc
+from . import byte_bpe, exact_dedup, language_id, mixing, quality, vector_search, warc
 from ._common import table
 
 
@@ -32,6 +32,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vector_search.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20, factor=1.0)
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_byte_bpe,
         op7_warc,
         op8_source_mix,
+        op9_quality,
         op10_vector_search,
     )
 }
