@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, html_text, language_id, mixing, quality, vector_search, warc
+from . import byte_bpe, exact_dedup, html_text, language_id, mixing, near_dedup, quality, vector_search, warc
 from ._common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), threshold=(85, 100))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_near_dedup,
         op2_html_text,
         op3_exact_dedup,
         op4_language_id,
