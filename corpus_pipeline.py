@@ -1,4 +1,90 @@
-STAGES = []
+"""A corpus pipeline: language, exact copies, near copies, source mix, tokens.
+
+Each stage takes (spark, docs, sf_dir), works on every row that the stage
+before has kept, and returns a DataFrame; all but the last return the columns
+of documents.  Stages may be applied to tables with nulls, repeated rows and
+further columns; what they do with them is said at each.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tilewright.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
+from tilewright.llm._common import crc_mod, table, written
+
+LEAST_SCORE = 0.5  # of the language prediction
+FOLDS = 5
+
+
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned: not `und`, and with a score of LEAST_SCORE at least.
+
+    Null texts and texts without letters go. Languages are learned as in op4.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # so that no column has a name of the operator's
+    plain = docs.toDF(*names.values())
+    doc_id, text, lang = (names[c] for c in ("doc_id", "text", "lang"))
+    side = crc_mod(doc_id, FOLDS)
+    model = language_id.fit(plain, side != 0, id_col=doc_id, text_col=text, lang_col=lang)
+    known = language_id.predict(plain, model, side == 0, id_col=doc_id, text_col=text, keep=tuple(names.values()))
+    known = known.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return known.select(*[F.col(v).alias(k) for k, v in names.items()])
+
+
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the smallest id; of rows that repeat id and text, one."""
+    kept = exact_dedup.exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+    hashed = docs.withColumn("_sha", F.sha2(exact_dedup.normalised("text"), 256))
+    stays = hashed.join(kept, _same(F.col("doc_id"), F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    return stays.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest id. Rows without an id stay."""
+    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, _same(F.col("doc_id"), F.col("_kept_id")), "left_semi")
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: its words over the document's, halves up.
+
+    Documents without words go. Rows that share an id are taken as often as
+    that one of them that is taken most.
+    """
+    taken = mixing.mixed(docs).where("taken > 0")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    taken = taken.groupBy(F.col("doc_id").alias("_taken_id")).agg(F.max(copies).alias("_copies")).where("_copies > 0")
+    return docs.join(taken, _same(F.col("doc_id"), F.col("_taken_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of each document's ids and of what they decode to."""
+    import public_tokenizers
+
+    return byte_bpe.token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", by_language),
+    ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
+    ("source_mix", mixed_sources),
+    ("byte_bpe", tokens),
+]
+
+#: SQL can express neither the language model nor the token encoding; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other, on the table documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
