@@ -15,6 +15,7 @@ framing is decoded and the payload's digest compared with the declared one.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ from ._common import scratch
 
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
-FILE_RECORDS = 2000  # so that a file has at most this many segments
+FILE_RECORDS = 2000  # so that a file, unpacked, has at most this many segments
 SALTS = 32  # parts of a group of equal payloads
 DATE = "1970-01-01T00:00:00Z"
 _END = "\r\n\r\n"
@@ -105,7 +106,7 @@ def page_records(number: int, page_id: int | None, url: str | None, html: str |
         yield _record([*fields, ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", len(block) if k == len(segments) else None)], segment)
 
 
-def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, file_records: int = FILE_RECORDS) -> None:
+def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, file_records: int = FILE_RECORDS, compression: str = "gzip") -> None:
     """Write a record, or several segments, for every row of pages to WARC files under path.
 
     Null html is an empty payload, a null url gives a record without target,
@@ -135,11 +136,13 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
-    dealt.mapInArrow(records, "value string").write.option("lineSep", _END).option("maxRecordsPerFile", file_records).text(path)
+    dealt.mapInArrow(records, "value string").write.option("lineSep", _END).option("maxRecordsPerFile", file_records).option("compression", compression).text(path)
 
 
 def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields by lower-case name, block) of each record of an uncompressed archive."""
+    """(fields by lower-case name, block) of each record of an archive, compressed or not."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at = 0
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
