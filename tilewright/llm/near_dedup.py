@@ -169,14 +169,16 @@ class _Texts:
 
 
 def _link_block(texts: _Texts) -> list[tuple[int, int]]:
-    """Links that join all of the texts that are joined by links."""
-    forest, out = _Forest(np.arange(len(texts.sets))), []
+    """For each text that links lead from to a smaller id: it, and the smallest such."""
+    forest = _Forest(np.arange(len(texts.sets)))
     for i in range(len(texts.sets)):
         for j in texts.likely(i, np.arange(i + 1, texts.reach(i))):
             if forest.root(i) != forest.root(j) and texts.linked(i, j):
-                forest.join(i, j)
-                out.append((i, int(j)))
-    return out
+                forest.join(i, int(j))
+    least: dict[int, int] = {}
+    for i in np.argsort(texts.ids, kind="stable").tolist():
+        least.setdefault(forest.root(i), i)
+    return [(i, least[forest.root(i)]) for i in range(len(texts.sets)) if least[forest.root(i)] != i]
 
 
 def _link_across(texts: _Texts, labels: np.ndarray, home: np.ndarray, rest: np.ndarray, asking: np.ndarray) -> list[tuple[int, int]]:
@@ -221,7 +223,9 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     banded = classes.select("rep", F.explode("bands").alias("band"))
     centres = banded.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1").select("band", "b")
     candidates = banded.join(centres, "band").select(F.col("rep").alias("a"), "b")
-    groups = components(candidates).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    groups = components(candidates)
+    roots = groups.select(F.col("component").alias("rep"), F.col("component").alias("cluster")).distinct()
+    groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).unionByName(roots)
 
     members = groups.join(classes.select("rep", "n_shingles", "h1", "h2"), "rep")
     members = written(members, "members")
@@ -243,13 +247,17 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
 
     def within(table: pa.Table) -> pa.Table:
         some = _Texts(table, width, threshold)
-        return _links(some, _link_block(some))
+        found = _links(some, _link_block(some))
+        return found.append_column("whole", pa.array([table["blocks"][0].as_py() == 1] * len(found), pa.bool_()))
 
-    with_text = dealt.select(F.col("rep"), "cluster", "block", "h1", "h2").join(texts, "rep").withColumnRenamed("rep", "doc_id")
-    links = written(with_text.groupBy("cluster", "block").applyInArrow(within, "a long, b long"), "links")
+    with_text = dealt.select(F.col("rep"), "cluster", "block", "blocks", "h1", "h2").join(texts, "rep").withColumnRenamed("rep", "doc_id")
+    links = written(with_text.groupBy("cluster", "block").applyInArrow(within, "a long, b long, whole boolean"), "links")
+    # in a group of one block every link leads to the component already
+    found = links.where("whole").select(F.col("a").alias("node"), F.col("b").alias("component"))
     if many:
-        links = links.unionByName(_across(placed.where("blocks > 1"), texts, links, width, threshold, block_texts, block_shingles))
-    found = components(links)
+        known = components(links.where("NOT whole"))
+        more = _across(placed.where("blocks > 1"), texts, known, width, threshold, block_texts, block_shingles)
+        found = found.unionByName(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
     of_class = classes.select("h1", "h2", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("h1", "h2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "h1", "h2").join(of_class, ["h1", "h2"], "left")
@@ -257,9 +265,8 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _across(placed: DataFrame, texts: DataFrame, links: DataFrame, width: int, threshold: tuple[int, int], block_texts: int, block_shingles: int) -> DataFrame:
+def _across(placed: DataFrame, texts: DataFrame, known: DataFrame, width: int, threshold: tuple[int, int], block_texts: int, block_shingles: int) -> DataFrame:
     """Links between blocks of one group that the first round has not found."""
-    known = components(links)
     labelled = placed.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = written(labelled, "labelled")
     by_component = labelled.groupBy("cluster", "component").agg(F.count("*").alias("n"))
