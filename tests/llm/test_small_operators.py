@@ -7,8 +7,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tilewright.llm import byte_bpe, exact_dedup, mixing, vector_search, warc
+from tilewright.llm import byte_bpe, exact_dedup, mixing, token_counts, vector_search, warc
 from tilewright.llm import queries as llm
 
 DOCS = "doc_id long, text string, lang string, source string, kept boolean, size int, score double, row int"
@@ -129,6 +130,26 @@ def test_long_text_is_encoded_in_parts(tokenizer):
     assert list(byte_bpe.ByteBpe(path, pattern).digests(["a", text, "b"]))[1][:2] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
 
 
+def test_token_counts(spark, sf_dir, tokenizer):
+    path, pattern, enc = tokenizer
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "doc_id", F.lit(1).alias("n_docs"), F.lit(2).alias("n_tokens"))
+    docs = docs.unionByName(spark.createDataFrame([(None, 1, 1, 1), ("", 2, 1, 1), ("", 2, 1, 1)], docs.schema))
+    lengths = np.array([len(enc.encode_ordinary(r.text or "")) for r in docs.collect()])
+    found = token_counts.histogram(docs, path, pattern)
+    table = token_counts.limits(found)
+    rows = table.collect()
+    assert [r.n_tokens for r in sorted(rows)] == sorted(set(lengths.tolist()))
+    for r in rows:
+        n, within = r.n_tokens, lengths[lengths <= r.n_tokens]
+        assert (r.n_docs, r.docs_within, r.docs_beyond) == ((lengths == n).sum(), len(within), len(lengths) - len(within))
+        assert (r.tokens_within, r.tokens_beyond, r.truncated_total) == (within.sum(), lengths.sum() - within.sum(), np.minimum(lengths, n).sum())
+        assert r.share_within == pytest.approx(len(within) / len(lengths))
+    middle = token_counts.quantiles(table, [0.5, 1.0]).collect()
+    assert {r.share: r.n_tokens for r in middle} == {0.5: int(np.quantile(lengths, 0.5, method="inverted_cdf")), 1.0: int(lengths.max())}
+    assert {r.context_limit: r.total for r in token_counts.truncated_totals(found, [0, 100, 10**6]).collect()} == {x: np.minimum(lengths, x).sum() for x in (0, 100, 10**6)}
+    assert token_counts.limits(token_counts.histogram(docs.limit(0), path, pattern)).count() == 0
+
+
 PAGES = "page_id long, url string, html string, digest string, bytes long, salt int"
 
 

@@ -168,21 +168,29 @@ class ByteBpe:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
 
-    def digests(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
-        """For each text (number of ids, SHA-256 of the ids joined by commas, SHA-256 of what they decode to)."""
+    def _encoded(self, texts: Iterable[str]) -> Iterator[Iterator[str]]:
+        """For each text the parts of its ids as text; short texts are encoded together."""
         waiting: list[list[str]] = []
         size = 0
         for text in texts:
             if len(text) > _PART or size + len(text) > _TOGETHER:
-                yield from map(self._digest, map(iter, zip(self._joined(waiting), strict=True))) if waiting else ()
+                yield from (iter([x]) for x in self._joined(waiting)) if waiting else ()
                 waiting, size = [], 0
             if len(text) > _PART:
-                yield self._digest(self.parts(text))
+                yield self.parts(text)
             else:
                 waiting.append(self._split(text).findall(text))
                 size += len(text)
         if waiting:
-            yield from map(self._digest, map(iter, zip(self._joined(waiting), strict=True)))
+            yield from (iter([x]) for x in self._joined(waiting))
+
+    def digests(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
+        """For each text (number of ids, SHA-256 of the ids joined by commas, SHA-256 of what they decode to)."""
+        return map(self._digest, self._encoded(texts))
+
+    def lengths(self, texts: Iterable[str]) -> Iterator[int]:
+        """For each text the number of its ids."""
+        return (sum(p.count(",") + 1 for p in parts if p) for parts in self._encoded(texts))
 
     def _digest(self, parts: Iterator[str]) -> tuple[int, str, str]:
         n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
@@ -196,7 +204,8 @@ class ByteBpe:
 
 
 @lru_cache(2)
-def _loaded(path: str, pattern: str) -> ByteBpe:
+def loaded(path: str, pattern: str) -> ByteBpe:
+    """The encoder, made once in each worker."""
     return ByteBpe(path, pattern)
 
 
@@ -210,7 +219,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
+        bpe = loaded(path, pattern)
         for batch in batches:
             rows = list(bpe.digests(t.as_py() or "" for t in batch["text"]))
             n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
@@ -224,7 +233,7 @@ def encode_ids(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """doc_id, ids (array of int) of each row, as token_digests() has them."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
+        bpe = loaded(path, pattern)
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = bpe.encode(batch["text"][i].as_py() or "")
@@ -238,7 +247,7 @@ def decode_ids(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, data (binary): what the ids of encode_ids() stand for; null ids give null."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(path, pattern)
+        bpe = loaded(path, pattern)
         for batch in batches:
             data = [None if x is None else bpe.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["doc_id", "data"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, html_text, language_id, mixing, near_dedup, quality, vector_search, warc
+from . import byte_bpe, exact_dedup, html_text, language_id, mixing, near_dedup, quality, token_counts, vector_search, warc
 from ._common import table
 
 
@@ -22,6 +22,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_exact_dedup,
         op4_language_id,
         op5_byte_bpe,
+        op6_token_counts,
         op7_warc,
         op8_source_mix,
         op9_quality,
