@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.operators import evaluation, metrics, sampling
-from tilewright.sources import jsonl, results
+from tilewright.sources import jsonl, results, tasks
 from tilewright.streaming import resume
 
 
@@ -147,3 +147,41 @@ def test_stream_counts_each_request_once(spark, tmp_path):
     (tmp_path / "in/2.json").write_text(row % 1 + row % 2)
     resume.run_once(resume.once(resume.answers(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
     assert sorted(r.eval_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
+
+
+def test_reports_read_back(spark, tmp_path):
+    scores_ = spark.createDataFrame([("a", 1.5), ("b", -2.0)], "model string, score double")
+    times = spark.createDataFrame([("a", 3.0, 1.5, 2)], "model string, total_seconds double, mean_seconds double, requests long")
+    lines_ = results.report(scores_, times)
+    assert "  a: 总耗时 3.00秒, 平均耗时 1.50秒, 请求次数 2" in lines_
+    (tmp_path / "r.txt").write_text("\n".join(lines_), encoding="utf-8")
+    assert {(r.model, r.score) for r in results.read_scores(spark, str(tmp_path / "r.txt")).collect()} == {("a", 1.5), ("b", -2.0)}
+
+
+def test_statistics_file(spark, tmp_path):
+    df = scores(spark, [("m", "d", 1, 1.0), ("m", "d", 2, 0.0)])
+    results.write_statistics(metrics.perfect_zero_rates(df), metrics.classify(df), str(tmp_path / "s"))
+    row = spark.read.json(str(tmp_path / "s")).first()
+    assert row.summary.perfect_rate == 50.0 and row.details.zero_samples[0].sample_key == "d_2" and row.details.mixed_samples == []
+
+
+def test_settings_of_models(spark):
+    a = tasks.ModelSettings.from_dict({"model_name": "x", "temperature": 0.1, "other": 1})
+    assert (a.model, a.request_model, a.temperature, a.max_concurrent_requests) == ("x", "x", 0.1, 10)
+    assert tasks.ModelSettings.from_dict({}).model == "unknown"
+    assert tasks.settings_table(spark, [a]).first().temperature == 0.1
+
+
+def test_checkpoints_and_tasks(spark, tmp_path):
+    (tmp_path / "temp_progress_1.json").write_text('{"task_name": "t", "scores": {"a": 1.0}, "completed_requests": 1, "total_tasks": 9}')
+    (tmp_path / "temp_progress_2.json").write_text('{"task_name": "t",\n "scores": {"a": 2.0}, "completed_requests": 5, "total_tasks": 9, "unfinished_requests": [{"model": "a", "dataset": "d", "sample_id": 1, "eval_id": 0, "reason": "unfinished"}]}')
+    c = tasks.read_checkpoints(spark, str(tmp_path))
+    last = tasks.latest_checkpoint(c).first()
+    assert (last.completed_requests, last.file_name) == (5, "temp_progress_2.json")
+    assert metrics.merge_scores(tasks.checkpoint_scores(c)).first().score == 3.0
+    assert tasks.checkpoint_unfinished(c).count() == 1
+    t = spark.createDataFrame([("a", 5, 5, None), ("b", 5, 4, None), ("c", 5, 0, True), ("d", None, None, None)], "task_name string, total_requests long, completed_requests long, is_completed boolean")
+    assert {r.task_name for r in tasks.open_tasks(t).collect()} == {"b", "d"}
+    assert [r[0] for r in t.limit(2).select(tasks.is_complete(F.col("completed_requests"), F.col("total_requests"), F.lit(0))).collect()] == [True, False]
+    samples = spark.createDataFrame([("d", 1), ("d", 2)], "dataset_path string, sample_id int")
+    assert tasks.total_requests(tasks.freeze(samples, str(tmp_path / "frozen")), 3, 2) == 12
