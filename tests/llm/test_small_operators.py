@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 
@@ -211,3 +212,13 @@ def test_larger_factors_find_most(spark, sf_dir):
     exact = {(r.query_id, r.vec_id) for r in vector_search.nearest(df, df.where("vec_id % 20 = 0"), leaf_rows=16).collect()}
     loose = {(r.query_id, r.vec_id) for r in vector_search.nearest(df, df.where("vec_id % 20 = 0"), factor=1.5, leaf_rows=16).collect()}
     assert len(exact & loose) / len(exact) >= 0.9
+
+
+def test_scratch_is_cleared(spark):
+    from tilewright.llm import _common
+
+    path = _common.scratch(spark, "x").removeprefix("file://")
+    df = _common.written(spark.range(3).toDF("i"), "x")
+    assert df.count() == 3 and os.path.isdir(os.path.dirname(path))
+    _common.clear(spark)
+    assert not os.path.exists(os.path.dirname(path))

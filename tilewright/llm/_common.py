@@ -37,8 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/tilewright/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder."""
+    return f"{_part(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _part(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tilewright/{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,11 +52,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path that scratch() gave."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder. Results that have not been stored yet can't be read after that."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_part(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(doc_id: str | Column, n: int) -> Column:
