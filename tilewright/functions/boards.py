@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .danger import tile_dangers
-from .shanten import evaluate
+from .shanten import evaluate, suit_table
 
 _FIELDS = ("standard", "shanten", "ukeire")
 
@@ -45,6 +45,7 @@ def _following() -> np.ndarray:
 
 def board_features(hand: Column, indicators: Column, melds: Column, discards: Column, riichi: Column) -> Column:
     """struct(turn, standard, shanten, ukeire, tiles, dangers): tiles are the distinct tiles of the hand, dangers theirs."""
+    table = SparkSession.active().sparkContext.broadcast(suit_table())  # 2 MB
 
     @F.arrow_udf("turn int, standard int, shanten int, ukeire int, tiles array<int>, dangers array<int>")
     def compute(hand: pa.Array, indicators: pa.Array, melds: pa.Array, discards: pa.Array, riichi: pa.Array) -> pa.Array:
@@ -56,7 +57,7 @@ def board_features(hand: Column, indicators: Column, melds: Column, discards: Co
         dora = np.zeros(own.shape, bool)
         row, tile = np.nonzero(shown)
         dora[row, _following()[tile]] = True
-        found = evaluate(own, np.maximum(4 - seen, 0))
+        found = evaluate(own, np.maximum(4 - seen, 0), table.value)
         dangers = tile_dangers(seen, thrown, called, flags, turn, dora)
         row, tile = np.nonzero(own)
         ends = np.concatenate(([0], np.cumsum((own > 0).sum(1)))).astype(np.int32)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,29 @@ from .tiles import ROUND_NUMBERS, expand_counts, tile_name, tile_names, wind_nam
 # The prompt's wording.
 SEATS = ["本家", "下家", "对家", "上家"]
 NONE = "无"
-TASK = "[任务]\n根据当前情景，选择一张最应该打出的手牌。"
+TEMPLATE = """[情景分析]
+- 牌局: {round}，{role} (第{turn}巡，牌墙余{wall}张{sticks})。
+- 状态: 当前排名 {rank}/4 (与一位差 {diff})。
+- 宝牌: {dora}
+- 各玩家分数: {scores}。
+- 你的手牌: {hand}
+- 牌效: {shanten} 向听，进张 {ukeire} 张。
+- 防御：
+  最安全牌放铳率：{safe}
+  平均放铳率：{mean}
+  最危险牌放铳率：{risk}
+场上已见牌信息
+各玩家副露信息:{melds}
+各玩家牌河信息:{discards}
+
+[任务]
+根据当前情景，选择一张最应该打出的手牌。"""
+
+
+def fill(template: str, fields: dict[str, Column]) -> Column:
+    """The template with each {name} replaced by the field's text."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[fields[x].cast("string") if i % 2 else F.lit(x) for i, x in enumerate(parts)])
 
 
 def round_name(wind: Column, dealer: Column) -> Column:
@@ -71,25 +95,14 @@ def percent(p: Column) -> Column:
 
 def prompt(b: dict[str, Column]) -> Column:
     """The prompt of a board; b has wind, dealer, pov, honba, sticks, wall, turn, scores, dora, hand, melds, discards, shanten, ukeire, safe_prob, avg_prob, risk_prob."""
-    lines = [
-        F.lit("[情景分析]"),
-        F.concat(F.lit("- 牌局: "), round_name(b["wind"], b["dealer"]), F.lit("，"), dealer_label(b["pov"], b["dealer"]), F.format_string(" (第%d巡，牌墙余%d张", b["turn"], b["wall"]), stick_info(b["honba"], b["sticks"]), F.lit(")。")),
-        F.concat(F.lit("- 状态: 当前排名 "), rank(b["scores"], b["pov"]), F.format_string("/4 (与一位差 %d)。", diff_to_top(b["scores"], b["pov"]))),
-        F.concat(F.lit("- 宝牌: "), joined(tile_names(b["dora"]))),
-        F.concat(F.lit("- 各玩家分数: "), seat_scores(b["scores"], b["pov"]), F.lit("。")),
-        F.concat(F.lit("- 你的手牌: "), F.array_join(tile_names(expand_counts(b["hand"])), " ")),
-        F.format_string("- 牌效: %d 向听，进张 %d 张。", b["shanten"], b["ukeire"]),
-        F.lit("- 防御："),
-        F.concat(F.lit("  最安全牌放铳率："), percent(b["safe_prob"])),
-        F.concat(F.lit("  平均放铳率："), percent(b["avg_prob"])),
-        F.concat(F.lit("  最危险牌放铳率："), percent(b["risk_prob"])),
-        F.lit("场上已见牌信息"),
-        F.concat(F.lit("各玩家副露信息:"), seat_lists(b["melds"], b["pov"], "副露")),
-        F.concat(F.lit("各玩家牌河信息:"), seat_lists(b["discards"], b["pov"], "")),
-        F.lit(""),
-        F.lit(TASK),
-    ]
-    return F.concat_ws("\n", *lines)
+    pov, scores = b["pov"], b["scores"]
+    fields = {name: b[name] for name in ("turn", "wall", "shanten", "ukeire")}
+    fields |= {"round": round_name(b["wind"], b["dealer"]), "role": dealer_label(pov, b["dealer"]), "sticks": stick_info(b["honba"], b["sticks"])}
+    fields |= {"rank": rank(scores, pov), "diff": diff_to_top(scores, pov), "scores": seat_scores(scores, pov)}
+    fields |= {"dora": joined(tile_names(b["dora"])), "hand": F.array_join(tile_names(expand_counts(b["hand"])), " ")}
+    fields |= {"melds": seat_lists(b["melds"], pov, "副露"), "discards": seat_lists(b["discards"], pov, "")}
+    fields |= {name: percent(b[f"{of}_prob"]) for name, of in (("safe", "safe"), ("mean", "avg"), ("risk", "risk"))}
+    return fill(TEMPLATE, fields)
 
 
 def answer(label: Column) -> Column:
