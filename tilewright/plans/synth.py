@@ -11,11 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MODELS = ("A", "B", "C")
-
+from ..sources.tables import read_table as table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+MODELS = ("A", "B", "C")
 
 
 _DEAL = "hand array<int>, indicators array<int>, melds array<array<int>>, discards array<array<int>>, first array<int>"
@@ -49,7 +47,7 @@ def _dealt(keys: pa.Array) -> pa.Array:
 
 
 def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
     return orders.withColumn("d", F.arrow_udf(_dealt, _DEAL)("key")).select(
         "key",
         F.expr("CAST(key % 5 AS INT)").alias("wind"),
@@ -68,7 +66,7 @@ def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.tiles import tile_name
 
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
     rows = orders.select("key", F.posexplode(F.array(*map(F.lit, MODELS))).alias("m", "model")).select("key", "m", "model", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("eval_id"))
     rows = rows.withColumn("gold", tile_name((F.col("key") % 34).cast("int"))).withColumn("variant", F.expr("(key * 7 + m * 3 + eval_id * (1 + key % 2)) % 6"))
     answer = F.expr(
@@ -104,7 +102,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short prompts with turn, section marks and answer, one for each order; some lack a part."""
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
     mark = F.expr("CASE key % 4 WHEN 0 THEN concat('(第', CAST(key % 19 AS STRING), '巡，牌墙余9张)') WHEN 1 THEN concat('第', CAST(key % 19 AS STRING), '巡') WHEN 2 THEN concat('x(第', CAST(key % 19 AS STRING), '巡)') ELSE '没有' END")
     tail = F.expr("CASE key % 5 WHEN 0 THEN '\n 6筒 \n' WHEN 1 THEN '\n[答]' WHEN 2 THEN '\n\n东\n西' WHEN 3 THEN '' ELSE '\n[下一节]\n白' END")
     return orders.select("key", F.concat(F.lit("[情景分析]\n- 牌局"), mark, F.lit("\n[任务]\n选择一张。"), tail).alias("text"))
