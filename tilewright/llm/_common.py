@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_table
+
 #: Words are split at the space and at the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -18,7 +20,7 @@ _own: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name, spread=name in ("documents", "pages"))
 
 
 def shared_dir(spark: SparkSession) -> str:
