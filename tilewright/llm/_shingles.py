@@ -16,7 +16,7 @@ _SEED = 0x5EED_2024
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C17  # base of the rolling polynomial: 3 modulo 4
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 21  # bytes hashed at a time; a longer text is taken alone
+_BLOCK = 1 << 19  # bytes hashed at a time; a longer text is taken alone
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -29,7 +29,7 @@ from ._shingles import text_buffers
 ORDER = 3
 SAMPLE = 2000  # documents that a language is learned from, about; whole texts
 UNKNOWN = "und"
-_BLOCK = 1 << 20  # bytes scored at a time
+_BLOCK = 1 << 18  # bytes scored at a time
 
 _SEPARATOR = 0
 
@@ -158,7 +158,7 @@ class Model:
     def code_lengths(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(bits of each text in each language, number of symbols of each text)."""
         if self._index is None:
-            self._index = np.full(1 << 8 * self.order, -1, np.int32)
+            self._index = np.full(1 << 8 * self.order, -1, np.int16 if len(self.contexts) < 1 << 15 else np.int32)
             self._index[self.contexts] = np.arange(len(self.contexts))
         bits, sizes = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
         for i, j, symbols, starts in _blocks(texts):

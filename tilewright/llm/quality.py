@@ -27,7 +27,7 @@ SAMPLE = 100_000  # labelled rows that the classifier is fitted on, about
 PARTITIONS = 16  # of these rows, whose sums come to the driver
 CALIBRATION = 4  # one labelled row in so many calibrates
 SEED = 7
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 STATISTICS = (
     "log_bytes", "log_words", "log_lines", "upper", "lower", "digit", "space", "newline", "beyond_ascii", "period", "comma", "exclamation", "question", "bar", "slash", "quote", "bracket", "symbol", "byte_entropy",
