@@ -16,6 +16,7 @@ from tilewright.llm._common import crc_mod, table, written
 
 LEAST_SCORE = 0.5  # of the language prediction
 FOLDS = 5
+NEAR = (80, 100)  # near copies: 100 * intersection >= 80 * union
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +47,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id. Rows without an id stay."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """One document of each near-duplicate group (similarity 0.8 and more), the one with the smallest id. Rows without an id stay."""
+    kept = near_dedup.near_duplicates(docs, threshold=NEAR).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(kept, _same(F.col("doc_id"), F.col("_kept_id")), "left_semi")
 
 
