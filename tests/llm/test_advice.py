@@ -1,5 +1,9 @@
 """What the review of round 1 found missing."""
 
+import pytest
+
+from tilewright.llm import html_text
+
 from .test_models import documents, shingles
 
 
@@ -34,3 +38,29 @@ def test_pipeline_drops_near_copies_from_similarity_0_8_on(spark, sf_dir):
     texts = [" ".join(words), " ".join(words[:84]), " ".join(words[104 - 83 :])]
     found = corpus_pipeline.without_near_copies(spark, documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), sf_dir)
     assert sorted(r.doc_id for r in found.collect()) == [0, 2]
+
+
+def paragraphs(n, first=0):
+    return [f"Paragraph number {i} has a first sentence, with a comma. It has a second one, too." for i in range(first, first + n)]
+
+
+def marked_up(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+LINKS = "".join(f"<li><a href=/{i}>Place {i}</a></li>" for i in range(6))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body><div>{a}</div><ul>{links}</ul><div>{b}</div></body>",
+        "<body><ul>{links}</ul><div>{b}</div><ul>{links}</ul><div>{a}</div></body>",
+        "<main><article>{a}</article><div>{b}</div></main>",
+        "<main><section>{b}</section><article>{a}</article></main>",
+    ],
+)
+def test_text_in_several_siblings_is_whole(html):
+    a, b = paragraphs(22), paragraphs(3, 22)
+    want = b + a if html.index("{b}") < html.index("{a}") else a + b
+    assert html_text.main_blocks(html.format(a=marked_up(a), b=marked_up(b), links=LINKS)) == want

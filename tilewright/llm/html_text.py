@@ -5,8 +5,9 @@ the root down to it.  For each path the length of its text outside links and
 its punctuation are added up and divided by the number of its blocks.  Both
 ratios are smoothed over neighbouring blocks, weighted by how much of their
 paths agrees, and fused into one score; paths whose score is not far below the
-page's usual one hold content.  The smallest element that holds nearly all
-content text is the article, and its blocks are the page's text.  What is
+page's usual one hold content, and all their blocks are the page's text.  The
+smallest element that holds nearly all content text is the article; it adds
+its headings and short blocks.  What is
 marked as menu, header, footer, sidebar, notice, advert, form, comment or
 hidden takes no part.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 RADIUS = 2  # of the smoothing, in blocks
 LEAST = 0.25  # of the page's mean score: what a path needs to hold content
 DEPTH = 64  # elements in a path; what lies deeper has the path of the one above
-SHARE = 0.85  # of the content text that the article has to hold
+SHARE = 0.85  # of the content text that the article, whose other blocks are added, has to hold
 
 # Element names and the words in class, id and role that tell their use.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -222,7 +223,7 @@ def path_scores(found: list[_Block]) -> dict[tuple, float]:
 
 
 def main_blocks(html: str) -> list[str]:
-    """Texts of the article's blocks in page order."""
+    """Texts of the content paths' and of the article's blocks in page order."""
     found = [b for b in blocks(html) if not b.element.left_out]
     if not found:
         return []
@@ -265,7 +266,7 @@ def main_blocks(html: str) -> list[str]:
         e = b.element
         while e is not None and e is not article:
             e = e.parent
-        if e is article and b.element.path not in menus:
+        if (e is article or b.element.path in content) and b.element.path not in menus:
             out.append(b.text)
     return out
 
@@ -288,7 +289,7 @@ def main_text(html: str | None) -> str:
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each row of pages: page_id, url, text, n_chars.
 
-    text is the article's blocks, white space within a block as one space,
+    text is the main text's blocks, white space within a block as one space,
     joined by empty lines; empty for null or empty html and for pages without
     content.  Null ids and urls stay null; repeated rows stay repeated.  An
     empty table gives an empty result.  Other columns are not looked at.
