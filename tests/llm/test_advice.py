@@ -64,3 +64,31 @@ def test_text_in_several_siblings_is_whole(html):
     a, b = paragraphs(22), paragraphs(3, 22)
     want = b + a if html.index("{b}") < html.index("{a}") else a + b
     assert html_text.main_blocks(html.format(a=marked_up(a), b=marked_up(b), links=LINKS)) == want
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<form id=aspnetForm><div>{text}</div></form>",
+        "<form id=aspnetForm><div class=sidebar>Some more, here.</div><div>{text}</div></form>",
+        "<div class=overflow-hidden><div class=header-fixed>{text}</div></div>",
+        "<div class=layout-sidebar-right><article>{text}</article></div>",
+        "<div class=layout-sidebar-right><main>{text}</main><div class=sidebar>Some more, here.</div></div>",
+        "<div role=form><fieldset>{text}</fieldset></div>",
+        "<body><p>Before it, a line.</p><div class=promo><article>{text}</article></div></body>",
+    ],
+)
+def test_wrappers_with_the_text_are_not_left_out(html):
+    texts = paragraphs(4)
+    found = html_text.main_blocks(html.format(text=marked_up(texts)))
+    assert [t for t in found if t != "Before it, a line."] == texts
+
+
+def test_marks_on_lines():
+    html = "<div><h1 class=page-header>Heading</h1><p class=teaser>A teaser, to begin with.</p>{}<p>Take <span class=warning>great</span> care, always.</p></div>"
+    assert html_text.main_blocks(html.format(marked_up(paragraphs(3)))) == ["Heading", "A teaser, to begin with.", *paragraphs(3), "Take great care, always."]
+
+
+@pytest.mark.parametrize("rest", ["<div class=comments><article>{}</article></div>", "<div hidden><article>{}</article></div>", "<nav>{}</nav>", "<div class=ad>{}</div>", "<noscript>{}</noscript>"])
+def test_what_is_no_content_stays_out_however_long(rest):
+    assert html_text.main_blocks(f"<div>{marked_up(paragraphs(2))}</div>{rest.format(marked_up(paragraphs(40, 2)))}") == paragraphs(2)

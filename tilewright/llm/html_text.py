@@ -7,9 +7,10 @@ ratios are smoothed over neighbouring blocks, weighted by how much of their
 paths agrees, and fused into one score; paths whose score is not far below the
 page's usual one hold content, and all their blocks are the page's text.  The
 smallest element that holds nearly all content text is the article; it adds
-its headings and short blocks.  What is
-marked as menu, header, footer, sidebar, notice, advert, form, comment or
-hidden takes no part.
+its headings and short blocks.  What is marked as menu, header, footer,
+sidebar, notice, advert, form, comment or hidden takes no part, unless by a
+form or header element or a word of its class or id alone and around an
+article or main element or most of the page's text outside links.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ DEPTH = 64  # elements in a path; what lies deeper has the path of the one above
 SHARE = 0.85  # of the content text that the article, whose other blocks are added, has to hold
 
 # Element names and the words in class, id and role that tell their use.
+_WEAKLY, _STRONGLY = 1, 2  # marks
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol option p pre section select summary table tbody td tfoot th thead tr ul template".split()
@@ -46,6 +48,9 @@ _LEFT_OUT_WORDS = frozenset(
     "social share sharing sharebar follow related recommended recommendations recirculation trending popular teaser teasers widget widgets toolbar pagination pager paging "
     "copyright legal skip hidden invisible".split()
 )
+_STRONG = ("comment", "advert", "sponsor", "disqus")  # words that begin so mark whatever an element holds
+_WEAK_NAMES = frozenset("form fieldset header".split())
+_LINE_WORDS = frozenset("header masthead teaser teasers warning notice alert disclaimer".split())  # that mark no heading, paragraph or part of one
 _FRAME_WORDS = frozenset("has have with without no is".split())  # as in has-sidebar: says what an element is next to
 _CLOSES = {  # an element of this name ends when one of these starts
     "p": _BLOCKS - {"body", "html", "head", "option"},
@@ -76,11 +81,12 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Element:
-    __slots__ = ("left_out", "name", "number", "parent", "path")
+    __slots__ = ("left_out", "mark", "name", "number", "parent", "path", "plain")
 
-    def __init__(self, number: int, name: str, parent: _Element | None, left_out: bool):
-        self.number, self.name, self.parent = number, name, parent
-        self.left_out = left_out or parent is not None and parent.left_out
+    def __init__(self, number: int, name: str, parent: _Element | None, mark: int, excused: bool):
+        self.number, self.name, self.parent, self.mark = number, name, parent, mark
+        self.left_out = mark > 0 and not excused or parent is not None and parent.left_out
+        self.plain = 0  # characters of its own text outside links
         above = parent.path if parent else ()
         self.path = (*above, name) if name in _BLOCKS and len(above) < DEPTH else above
 
@@ -92,29 +98,61 @@ class _Block:
         self.element, self.text, self.linked = element, text, linked
 
 
-def _marked(name: str, rest: str, inside: bool) -> bool:
-    """Whether an element says of itself that it is no content. inside: in an article or main element."""
-    if name in _LEFT_OUT or name == "header" and not inside:
-        return True
+def _marked(name: str, rest: str, inside: bool) -> int:
+    """Whether an element says of itself that it is no content: 0, _WEAKLY or _STRONGLY. inside: in an article or main element."""
+    if name in _LEFT_OUT and name not in _WEAK_NAMES:
+        return _STRONGLY
+    mark = _WEAKLY if name in _LEFT_OUT or name == "header" and not inside else 0
     if not rest or name in ("html", "body"):
-        return False
+        return mark
+    no_marks = _LINE_WORDS if name in _HEADINGS or name == "p" or name not in _BLOCKS else frozenset()
     for m in _ATTRIBUTE.finditer(rest):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return _STRONGLY
         if key == "role" and value.lower().strip() in _LEFT_OUT_ROLES:
-            return True
+            if value.lower().strip() != "form":
+                return _STRONGLY
+            mark = _WEAKLY
         if key in ("class", "id") and name not in ("article", "main") or key in ("class", "id") and "comment" in value.lower():
             for one in unescape(value).split():
                 words = [w.lower() for w in _WORDS.findall(one)]
-                if not _FRAME_WORDS.intersection(words) and (_LEFT_OUT_WORDS.intersection(words) or any(w.startswith(("comment", "advert", "sponsor")) for w in words)) and not (words[-1:] in (["content"], ["body"]) and words[0] not in _LEFT_OUT_WORDS):
-                    return True
-    return False
+                if not _FRAME_WORDS.intersection(words) and ((told := _LEFT_OUT_WORDS.intersection(words) - no_marks) or any(w.startswith(_STRONG) for w in words)) and not (words[-1:] in (["content"], ["body"]) and words[0] not in _LEFT_OUT_WORDS):
+                    if any(w.startswith(_STRONG) for w in words) or told & {"ad", "ads", "adsense", "adsbygoogle"}:
+                        return _STRONGLY
+                    mark = _WEAKLY
+    return mark
+
+
+def _excused(elements: list[_Element]) -> frozenset[int]:
+    """Weakly marked elements, as numbers, that are not to be left out."""
+    n = len(elements)
+    plain, holds, strong = [0] * n, [False] * n, [False] * n
+    for e in elements:  # parents come first
+        strong[e.number] = e.mark == _STRONGLY or e.parent is not None and strong[e.parent.number]
+    for e in reversed(elements):
+        i = e.number
+        if not strong[i]:
+            plain[i] += e.plain
+            holds[i] = holds[i] or not e.mark and e.name in ("article", "main")
+            if e.parent is not None:
+                plain[e.parent.number] += plain[i]
+                holds[e.parent.number] = holds[e.parent.number] or holds[i]
+    return frozenset(e.number for e in elements if e.mark == _WEAKLY and not strong[e.number] and (holds[e.number] or 2 * plain[e.number] > plain[0]))
 
 
 def blocks(html: str) -> list[_Block]:
     """The page's blocks of text in page order, with what is no content marked."""
-    root = _Element(0, "html", None, False)
+    found, elements = _parsed(html, frozenset())
+    if any(e.mark == _WEAKLY for e in elements) and (excused := _excused(elements)):
+        found, _ = _parsed(html, excused)
+    return found
+
+
+def _parsed(html: str, excused: frozenset[int]) -> tuple[list[_Block], list[_Element]]:
+    """The page's blocks and elements; elements with the numbers in excused are not left out for their own marks."""
+    root = _Element(0, "html", None, 0, False)
+    elements = [root]
     stack, out, number = [root], [], 0
     texts: list[str] = []
     linked = links = 0
@@ -137,6 +175,8 @@ def blocks(html: str) -> list[_Block]:
         at = m.end()
         kind = m.lastgroup
         if kind == "text":
+            if not links:
+                stack[-1].plain += len(m["text"].strip())
             if not stack[-1].left_out or stack[-1].name in _BLOCKS:
                 texts.append(unescape(m["text"]) if "&" in m["text"] else m["text"])
                 if links:
@@ -186,13 +226,14 @@ def blocks(html: str) -> list[_Block]:
             continue
         number += 1
         inside = any(e.name in ("article", "main") for e in stack)
-        element = _Element(number, name, stack[-1], _marked(name, rest, inside))
+        element = _Element(number, name, stack[-1], _marked(name, rest, inside), number in excused)
+        elements.append(element)
         if element.left_out and not stack[-1].left_out and name not in _BLOCKS:
             texts.append(" ")
         stack.append(element)
         links += name == "a"
     close()
-    return out
+    return out, elements
 
 
 def path_scores(found: list[_Block]) -> dict[tuple, float]:
