@@ -92,3 +92,18 @@ def test_marks_on_lines():
 @pytest.mark.parametrize("rest", ["<div class=comments><article>{}</article></div>", "<div hidden><article>{}</article></div>", "<nav>{}</nav>", "<div class=ad>{}</div>", "<noscript>{}</noscript>"])
 def test_what_is_no_content_stays_out_however_long(rest):
     assert html_text.main_blocks(f"<div>{marked_up(paragraphs(2))}</div>{rest.format(marked_up(paragraphs(40, 2)))}") == paragraphs(2)
+
+
+def test_lists_of_links_in_the_text_stay():
+    places = [f"Place {i}" for i in range(6)]
+    text, more = paragraphs(4), paragraphs(2, 4)
+    story = f"{marked_up(text)}<ul>{LINKS}</ul>{marked_up(more)}"
+    assert html_text.main_blocks(f"<article>{story}</article>") == text + places + more
+    assert html_text.main_blocks(f"<ul>{LINKS}</ul><div>{story}</div><ul>{LINKS}</ul>") == text + places + more
+    assert html_text.main_blocks(f"<div>{marked_up(text)}<h2>Sources</h2><ul>{LINKS}</ul></div>") == [*text, "Sources", *places]
+
+
+def test_lists_of_links_around_the_text_go():
+    text = paragraphs(4)
+    assert html_text.main_blocks(f"<ul>{LINKS}</ul>{marked_up(text)}") == text
+    assert html_text.main_blocks(f"<div><ul>{LINKS}</ul></div><div><div>{marked_up(text)}</div></div><div><ul>{LINKS}</ul></div>") == text

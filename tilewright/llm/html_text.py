@@ -301,26 +301,53 @@ def main_blocks(html: str) -> list[str]:
     else:  # headings and content that stand just outside belong to it
         while article.parent is not None and strange.get(article.parent.number, 0) == strange.get(article.number, 0):
             article = article.parent
-    menus = _menus(found, scores, usual)
-    out = []
-    for b in found:
-        e = b.element
-        while e is not None and e is not article:
-            e = e.parent
-        if (e is article or b.element.path in content) and b.element.path not in menus:
-            out.append(b.text)
-    return out
+    inside = [_within(b.element, article) for b in found]
+    menus = _menus(found, inside, scores, usual, content, article.name in ("article", "main"))
+    return [b.text for k, b in enumerate(found) if (inside[k] or b.element.path in content) and k not in menus]
 
 
-def _menus(found: list[_Block], scores: dict[tuple, float], usual: float) -> set[tuple]:
-    """Paths of lists that are links and nothing else."""
-    sums: dict[tuple, list[int]] = {}
-    for b in found:
-        x = sums.setdefault(b.element.path, [0, 0, 0])
-        x[0] += len(b.text)
-        x[1] += b.linked
-        x[2] += 1
-    return {p for p, (n, linked, blocks_) in sums.items() if blocks_ >= 3 and linked >= 0.9 * n and p[-1] in ("li", "div", "td", "dd") and scores[p] < usual}
+def _within(e: _Element | None, outer: _Element) -> bool:
+    while e is not None and e is not outer:
+        e = e.parent
+    return e is not None
+
+
+def _list_of(e: _Element) -> _Element | None:
+    """The element whose items are judged together; for a table's cell, the table."""
+    if e.name not in ("li", "div", "td", "dd"):
+        return None
+    up = e.parent
+    while up is not None and (up.name not in _BLOCKS or e.name == "td" and up.name in ("tr", "tbody", "thead", "tfoot")):
+        up = up.parent
+    return up
+
+
+def _menus(found: list[_Block], inside: list[bool], scores: dict[tuple, float], usual: float, content: set[tuple], named: bool) -> set[int]:
+    """Places in found of lists that are links and nothing else, outside the article or without content before them in their own element.
+
+    named: the article is an article or main element, all of which is content.
+    """
+    lists: dict[tuple, list[int]] = {}
+    owners: dict[int, _Element] = {}
+    for k, b in enumerate(found):
+        if (owner := _list_of(b.element)) is not None:
+            owners[owner.number] = owner
+            lists.setdefault((owner.number, b.element.path), []).append(k)
+    first: dict[int, int] = {}  # content block under an element
+    for k, b in enumerate(found):
+        if b.element.path in content and b.linked < 0.9 * len(b.text) and b.element.parent is not None:
+            first.setdefault(b.element.parent.number, k)
+    out: set[int] = set()
+    for (number, path), at in lists.items():
+        n, linked = sum(len(found[k].text) for k in at), sum(found[k].linked for k in at)
+        if len(at) < 3 or linked < 0.9 * n or scores[path] >= usual:
+            continue
+        # a list of its own stands where its element does; bare items stand in theirs
+        stands = owners[number].parent if owners[number].name in ("ul", "ol", "dl", "table", "menu", "dir") else owners[number]
+        before = stands is not None and first.get(stands.number, len(found)) < at[0]
+        if not all(inside[k] for k in at) or not (named or before):
+            out.update(at)
+    return out
 
 
 def main_text(html: str | None) -> str:
