@@ -3,10 +3,12 @@
 Each source's documents are shuffled by a hash of their id.  A document's
 virtual finish time is the number of its source's words up to its end, divided
 by the source's target; later passes over the source start where the last one
-ended.  The queue is served in the order of these times: it is range-sorted by
-them and cut at the total budget.  A document that its source's target cuts is
-served up to the cut, so that a source's words come to its target however long
-its documents are.
+ended.  The queue is served in the order of these times, in time buckets, and
+cut at the total budget.  A document that its source's target cuts is served up
+to the cut, so that a source's words come to its target however long its
+documents are.  Since the targets add up to the budget at most, the cut at the
+budget never falls on anything that the targets leave: the order of the times
+gives positions, but does not change how much is taken of a document.
 
 Running sums are taken in two steps, within hash or time buckets and over the
 buckets' totals, so no task has to hold a whole source.
