@@ -47,9 +47,15 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (similarity 0.8 and more), the one with the smallest id. Rows without an id stay."""
-    kept = near_dedup.near_duplicates(docs, threshold=NEAR).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, _same(F.col("doc_id"), F.col("_kept_id")), "left_semi")
+    """One document of each near-duplicate group (similarity 0.8 and more), the one with the smallest id. Rows without an id stay.
+
+    Rows that share an id are judged each by its own text: they go by numbers in the order of id and text hash.
+    """
+    keys = [F.col("doc_id"), F.sha2(exact_dedup.normalised("text"), 256)]
+    rows = docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = written(rows.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "numbered")
+    kept = near_dedup.near_duplicates(rows, threshold=NEAR, id_col="_row").where("kept").select(F.col("doc_id").alias("_kept_row"))
+    return rows.join(kept, _same(F.col("_row"), F.col("_kept_row")), "left_semi").select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

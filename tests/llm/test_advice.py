@@ -107,3 +107,14 @@ def test_lists_of_links_around_the_text_go():
     text = paragraphs(4)
     assert html_text.main_blocks(f"<ul>{LINKS}</ul>{marked_up(text)}") == text
     assert html_text.main_blocks(f"<div><ul>{LINKS}</ul></div><div><div>{marked_up(text)}</div></div><div><ul>{LINKS}</ul></div>") == text
+
+
+def test_near_copies_under_a_repeated_id(spark, sf_dir):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a + " end"), (5, b), (7, b + " end"), (8, c), (8, c + " end"), (None, a), (None, c), (9, None)]
+    found = corpus_pipeline.without_near_copies(spark, documents(spark, [(i, t, "en", "s") for i, t in rows]), sf_dir).collect()
+    kept = [(r.doc_id, r.text) for r in found]
+    assert len([r for r in kept if r[0] == 8]) == 1 and {t for i, t in kept if i == 8} <= {c, c + " end"}
+    assert sorted((str(i), str(t)) for i, t in kept if i != 8) == sorted((str(i), str(t)) for i, t in [(1, a), (5, b), (None, a), (None, c), (9, None)])
