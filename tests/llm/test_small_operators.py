@@ -75,20 +75,48 @@ def test_mix(spark):
     source = {i: s for i, _, _, s in rows}
     for name in set(source.values()):
         mine = [r for r in a if source[r.doc_id] == name]
-        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1
-    assert all(0 <= r.taken <= 3 * r["size"] for r in a) and abs(sum(r.taken for r in a) - total) <= 4
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= mixing.PACKET
+    assert all(0 <= r.taken <= 3 * r["size"] for r in a) and sum(r.taken for r in a) == total
     assert sorted(map(tuple, a)) == sorted(map(tuple, mixing.mixed(docs.repartition(3)).collect()))
     assert mixing.mixed(docs.limit(0)).count() == 0
     assert [r.taken for r in mixing.mixed(documents(spark, [(1, None, None, None), (2, " ", None, None)])).collect()] == [0, 0]
 
 
-def test_queue_is_in_order_and_within_budget(spark):
-    docs = documents(spark, [(i, "w " * (i % 7 + 1), "en", "ab"[i % 2]) for i in range(100)])
-    _, served = mixing.queue(docs, budget=200)
-    rows = served.orderBy("virtual_finish", "position").collect()
-    assert sum(r.words for r in rows) <= 200
-    positions = [r.position for r in rows]
-    assert positions == sorted(positions)
+def brute_mix(rows, targets, budget, packet=mixing.PACKET, repeats=3):
+    """taken of rows (doc_id, source, size), by a queue that is one list."""
+    key = lambda r: (hashlib.md5(f"mix-{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[0] is not None, r[0] or 0, r[2])
+    queue, taken = [], [0] * len(rows)
+    for source in {r[1] for r in rows}:
+        end = 0
+        for _ in range(repeats):
+            for i in sorted((i for i, r in enumerate(rows) if r[1] == source), key=lambda i: key(rows[i])):
+                for a in range(0, rows[i][2], packet):
+                    words = min(packet, rows[i][2] - a)
+                    end += words
+                    queue.append((end / targets[source], source is None, source or "", end, i, words))
+    for *_, i, words in sorted(queue):
+        taken[i] += min(words, budget)
+        budget -= min(words, budget)
+    return taken
+
+
+@pytest.mark.parametrize("budget", [None, 0, 700, 10**6])
+def test_the_queues_cut_decides(spark, budget):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "a", "b", "c", None]), rng.choice([0, 1, 7, 130, 300])) for i in range(120)] + [(500, "a", 5000), (501, "b", 3), (501, "b", 3), (None, "a", 9), (None, "c", 9)]
+    docs = documents(spark, [(i, "w " * n, "en", s) for i, s, n in rows])
+    found = mixing.mixed(docs, budget=budget, group=16).collect()
+    source = {i: s for i, s, _ in rows}
+    # rows without an id are of two sources and sizes differ between none of them
+    sizes = spark.createDataFrame([(s, n) for _, s, n in rows], "source string, size long")
+    targets = {r.source: r.target for r in mixing.source_targets(sizes, budget=budget).collect()}
+    total = sum(n for *_, n in rows)
+    want = brute_mix(rows, targets, total if budget is None else budget) if budget != 0 else [0] * len(rows)
+    key = lambda x: tuple(map(str, x))
+    assert sorted(((r.doc_id, r["size"], r.target, r.taken) for r in found), key=key) == sorted(((i, n, targets[s], t) for (i, s, n), t in zip(rows, want, strict=True)), key=key)
+    uncut = brute_mix(rows, targets, 10**9) if budget != 0 else []
+    assert (want == uncut) == (budget == 10**6)  # nothing but the cut limits what is taken
+    assert all(abs(sum(t for (_, s, _), t in zip(rows, want, strict=True) if s == name) - targets[name]) <= 2 * mixing.PACKET for name in set(source.values())) or budget is not None
 
 
 TEXTS = [

@@ -1,17 +1,20 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame functions only.
 
-Each source's documents are shuffled by a hash of their id.  A document's
-virtual finish time is the number of its source's words up to its end, divided
-by the source's target; later passes over the source start where the last one
-ended.  The queue is served in the order of these times, in time buckets, and
-cut at the total budget.  A document that its source's target cuts is served up
-to the cut, so that a source's words come to its target however long its
-documents are.  Since the targets add up to the budget at most, the cut at the
-budget never falls on anything that the targets leave: the order of the times
-gives positions, but does not change how much is taken of a document.
-
-Running sums are taken in two steps, within hash or time buckets and over the
-buckets' totals, so no task has to hold a whole source.
+Each source's documents are shuffled by a hash of their id; later passes over
+the source start where the last one ended.  A document's virtual finish time is
+the number of its source's words up to its end, divided by the source's target
+weight.  The queue is sorted by these times over all sources and truncated at
+the total budget: what lies before the cut is taken, what lies behind it is
+not, and nothing else limits a source.
+
+As in packet networks, a long document is queued in packets, each with a
+virtual finish time of its own (the document's is that of its last one), and
+what the cut falls into is taken up to the cut.  So a source misses its target
+by about a packet, however long its documents are.
+
+Running sums are taken in two steps, within buckets whose number follows the
+number of rows and over the buckets' totals; the cut is looked for in one of
+the sorted queue's partitions.  So no task has to hold a whole source.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from ._common import WORD, id_text, written
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 SEED = "mix"
-_TIMES = 4096  # time buckets of the queue
+PACKET = 128  # words of a document that are queued together, at most
+GROUP = 1 << 16  # rows that a task of a running sum holds, about
 
 
 def words(text: str) -> Column:
@@ -62,44 +66,63 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, repeats
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def running(df: DataFrame, group: list[str], bucket: str, order: list, value: str, name: str) -> DataFrame:
-    """df with the sum of value over the rows before, in the order of bucket, then order, within group."""
-    totals = df.groupBy(*group, bucket).agg(F.sum(value).alias("_total"))
-    after = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(c).alias(f"_{c}") for c in [*group, bucket]], F.coalesce(F.sum("_total").over(after), F.lit(0)).alias("_offset"))
-    same = F.lit(True)
-    for c in [*group, bucket]:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    within = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = df.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return inside.join(offsets, same).withColumn(name, F.col("_offset") + F.col("_inside")).drop("_offset", "_inside", *[f"_{c}" for c in [*group, bucket]])
+def shuffled(sizes: DataFrame, targets: DataFrame, buckets: int = 1) -> DataFrame:
+    """sizes with source_size, target and before: the words of the source's documents that come earlier in the shuffle.
 
-
-def queue(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, budget: int | None = None, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents, queue): the documents' sizes and targets; and what is served of them.
-
-    documents: row (a number for each row of docs), doc_id, source, size,
-    source_size, target.  queue: row, epoch (from 0), virtual_finish, position
-    (words served before), words (served of this document in this epoch).
+    Earlier is what has the smaller key; then go doc_id, size and row.  buckets
+    is how many parts of a source are summed apart, at least.
     """
-    sizes = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(text_col).alias("size"), F.md5(F.concat(F.lit(f"{seed}-"), id_text(id_col))).alias("key"))
-    sizes = written(sizes, "sizes")
-    targets = written(source_targets(sizes, weights, repeats, budget), "targets")
-    shares = targets.select(F.col("source").alias("_s"), "source_size", "target")
-    rows = sizes.join(shares, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    rows = written(running(rows.withColumn("bucket", F.substring("key", 1, 3)), ["source"], "bucket", ["key", "doc_id", "size", "row"], "size", "before"), "shuffled")
-    epochs = rows.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    epochs = epochs.withColumn("start", F.col("epoch") * F.col("source_size") + F.col("before"))
-    epochs = epochs.withColumn("words", F.least(F.col("size"), F.floor("target") - F.col("start"))).where("words > 0")
-    epochs = epochs.withColumn("virtual_finish", F.least((F.col("start") + F.col("size")) / F.col("target"), F.lit(1.0)))
-    epochs = epochs.withColumn("time", F.floor(F.col("virtual_finish") * _TIMES)).select("row", "doc_id", "key", "source", "epoch", "virtual_finish", "time", "words")
-    served = running(epochs.withColumn("all", F.lit(0)), ["all"], "time", ["virtual_finish", "source", "epoch", "key", "doc_id", "row"], "words", "position")
-    total = targets.agg(F.sum("source_size")).first()[0] or 0 if budget is None else budget
-    served = served.withColumn("words", F.least("words", F.lit(total) - F.col("position"))).where("words > 0")
-    return rows.select("row", "doc_id", "source", "size", "source_size", "target"), served.select("row", "epoch", "virtual_finish", "position", "words")
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
+    digits = 1  # of the key, which is hexadecimal, that make a bucket
+    while 16**digits < buckets:
+        digits += 1
+    sized = sizes.withColumn("bucket", F.substring("key", 1, digits))
+    totals = sized.groupBy("source", "bucket").agg(F.sum("size").alias("total"))
+    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("source").alias("of_source"), F.col("bucket").alias("of_bucket"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    shares = targets.select(F.col("source").alias("of_source"), "source_size", "target")
+    offsets = offsets.join(shares.withColumnRenamed("of_source", "s"), F.col("of_source").eqNullSafe(F.col("s"))).drop("s")
+    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = rows.join(offsets, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("bucket") == F.col("of_bucket")))
+    return rows.select("row", "doc_id", "source", "size", "source_size", "target", (F.col("offset") + F.col("inside")).alias("before"))
+
+
+def _order() -> list[Column]:
+    return [F.col("virtual_finish"), F.col("source").asc_nulls_last(), F.col("end")]
+
+
+def queue(rows: DataFrame, repeats: int = REPEATS, packet: int = PACKET, parts: int = 1) -> DataFrame:
+    """source, virtual_finish, end, words, part of every packet of the rows of shuffled(), in `repeats` passes.
+
+    end is the number of the source's words up to the packet's end.  part
+    numbers partitions that follow each other in the queue's order:
+    virtual_finish, then source, null last, then end.
+    """
+    passes = rows.where("size > 0 AND target > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    packets = passes.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(packet).cast("long"))))
+    packets = packets.withColumn("words", F.least(F.lit(packet).cast("long"), F.col("size") - F.col("from")))
+    end = F.col("pass") * F.col("source_size") + F.col("before") + F.col("from") + F.col("words")
+    packets = packets.select("source", (end / F.col("target")).alias("virtual_finish"), end.alias("end"), "words")
+    parts = max(parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return packets.repartitionByRange(parts, *_order()).withColumn("part", F.spark_partition_id())
+
+
+def truncated(queued: DataFrame, budget: int) -> DataFrame:
+    """source, served: the words of each source that lie before the budget's end in the queue; sources without any are left out."""
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = queued.groupBy("part").agg(F.sum("words").alias("total")).withColumn("offset", F.coalesce(F.sum("total").over(every), F.lit(0)))
+    cut = parts.where((F.col("offset") <= budget) & (F.col("offset") + F.col("total") > budget)).first()
+    if cut is None:  # the budget is enough for everything
+        return queued.groupBy("source").agg(F.sum("words").alias("served"))
+    ahead = Window.partitionBy("part").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
+    position = F.coalesce(F.sum("words").over(ahead), F.lit(0)) + cut["offset"]
+    last = queued.where(F.col("part") == cut["part"]).select("source", F.least("words", F.lit(budget) - position).alias("words")).where("words > 0")
+    return queued.where(F.col("part") < cut["part"]).select("source", "words").unionByName(last).groupBy("source").agg(F.sum("words").alias("served"))
+
+
+def mixed(
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, budget: int | None = None, seed: str = SEED, packet: int = PACKET, group: int = GROUP, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
     """One row for each row of docs: doc_id, size, source_size, target, taken.
 
     taken is how many of the document's words the mix takes, repeats counted,
@@ -107,8 +130,20 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     size 0 and nothing is taken of them; a null source is a source like others,
     and comes last.  Ties in the shuffle (equal ids) go by size, so repeated
     rows change nothing but which of them is served first.  The same input
-    gives the same result.  An empty table gives an empty result.
+    gives the same result.  An empty table gives an empty result.  Other
+    columns are not looked at.  With row_col, a column of numbers that differ,
+    the result has these too, as row.
     """
-    rows, served = queue(docs, **options)
-    taken = served.groupBy("row").agg(F.sum("words").alias("taken"))
-    return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    sizes = docs.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(text_col).alias("size"), F.md5(F.concat(F.lit(f"{seed}-"), id_text(id_col))).alias("key"))
+    sizes = written(sizes, "sizes")
+    targets = written(source_targets(sizes, weights, repeats, budget), "targets")
+    n, packets, total = sizes.agg(F.count("*"), F.sum(F.ceil(F.col("size") / packet)), F.sum("size")).first()
+    rows = written(shuffled(sizes, targets, n // group), "shuffled")
+    queued = written(queue(rows, repeats, packet, repeats * (packets or 0) // group), "queue")
+    served = truncated(queued, (total or 0) if budget is None else budget)
+    rows = rows.join(served.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")), "left")
+    left = F.coalesce("served", F.lit(0)) - F.col("before")
+    passes = [F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("source_size") * p)) for p in range(repeats)]
+    taken = sum(passes[1:], passes[0]).cast("long").alias("taken")
+    return rows.select(*([] if row_col is None else ["row"]), "doc_id", "size", "source_size", "target", taken)

@@ -145,12 +145,21 @@ ORACLE_SQL: dict[str, str] = {
             SELECT source, source_size, CASE WHEN f.place < r.place THEN most ELSE r.level * weight END AS target FROM f, r
         ), c AS (
             SELECT d.doc_id, d.size, t.source_size, t.target,
-                   sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id) - d.size AS before
+                   d.source, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id) AS BIGINT) - d.size AS before
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        ), p AS (
+            SELECT source, target, size, skip, e * source_size + before + skip AS start
+            FROM (SELECT *, unnest(range(0, size, 128)) AS skip, e FROM c, (SELECT unnest([0, 1, 2]) AS e))
+        ), q AS (
+            SELECT source, least(128, size - skip) AS words, start + least(128, size - skip) AS finish, target FROM p
+        ), o AS (
+            SELECT source, words, sum(words) OVER (ORDER BY finish / target, source NULLS LAST, finish ROWS UNBOUNDED PRECEDING) - words AS position FROM q
+        ), v AS (
+            SELECT source, CAST(sum(greatest(0, least(words, (SELECT sum(size) FROM d) - position))) AS BIGINT) AS served FROM o GROUP BY source
         )
         SELECT doc_id, size, source_size, target,
-               CAST(list_sum(list_transform([0, 1, 2], lambda e: greatest(0, least(size, CAST(floor(target) AS BIGINT) - e * source_size - before)))) AS BIGINT) AS taken
-        FROM c
+               CAST(list_sum(list_transform([0, 1, 2], lambda e: greatest(0, least(size, served - e * source_size - before)))) AS BIGINT) AS taken
+        FROM c JOIN v ON c.source IS NOT DISTINCT FROM v.source
     """,
     # exact, since factor one prunes nothing that could be among the nearest
     "op10_vector_search": r"""
