@@ -4,13 +4,18 @@ A page is cut into blocks of text, each with the path of block elements from
 the root down to it.  For each path the length of its text outside links and
 its punctuation are added up and divided by the number of its blocks.  Both
 ratios are smoothed over neighbouring blocks, weighted by how much of their
-paths agrees, and fused into one score; paths whose score is not far below the
-page's usual one hold content, and all their blocks are the page's text.  The
-smallest element that holds nearly all content text is the article; it adds
-its headings and short blocks.  What is marked as menu, header, footer,
-sidebar, notice, advert, form, comment or hidden takes no part, unless by a
-form or header element or a word of its class or id alone and around an
-article or main element or most of the page's text outside links.
+paths agrees, and over the block that leads to a list, a table or a quotation.
+They are fused into one score, times the path's weight, which is below one if
+an element on it says that it is a menu, header, footer, sidebar, notice,
+advert, form or comment, or if a line outside the article states rights.  Paths whose score is not far below the page's usual
+one hold content.  The page's text is the blocks of these paths, and headings
+right before them.
+
+A word of a class or id, or a form or header element, does not count around an
+article or main element or most of the page's text outside links.  Weights only
+compare what a page has: one that is marked all over gives its text still.
+
+Time is linear in the length of a page, however deep its elements are.
 """
 
 from __future__ import annotations
@@ -25,9 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RADIUS = 2  # of the smoothing, in blocks
-LEAST = 0.25  # of the page's mean score: what a path needs to hold content
-DEPTH = 64  # elements in a path; what lies deeper has the path of the one above
-SHARE = 0.85  # of the content text that the article, whose other blocks are added, has to hold
+LEAST = 0.25  # of the page's usual score: what a path needs to hold content
+WEIGHTS = (1.0, 0.05, 0.01)  # of paths without a mark, with a weak one and with a strong one
 
 # Element names and the words in class, id and role that tell their use.
 _WEAKLY, _STRONGLY = 1, 2  # marks
@@ -46,7 +50,7 @@ _LEFT_OUT_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification notifications alert alerts warning disclaimer popup modal overlay lightbox interstitial "
     "newsletter subscribe subscription signup register login signin paywall form search searchbox "
     "social share sharing sharebar follow related recommended recommendations recirculation trending popular teaser teasers widget widgets toolbar pagination pager paging "
-    "copyright legal skip hidden invisible".split()
+    "copyright legal skip hidden invisible author authors bio".split()
 )
 _STRONG = ("comment", "advert", "sponsor", "disqus")  # words that begin so mark whatever an element holds
 _WEAK_NAMES = frozenset("form fieldset header".split())
@@ -65,7 +69,10 @@ _CLOSES = {  # an element of this name ends when one of these starts
     "tbody": frozenset(["tbody", "tfoot"]),
     "head": frozenset(["body"]),
 }
+_HEAD = frozenset("title meta link script style base noscript template".split())  # what does not end a head
 _LISTS = frozenset("ul ol dl table menu select div section article".split())  # what an li, dt or td does not end across
+_ITEMS = frozenset("li dt dd td th tr blockquote pre figure figcaption caption".split())  # what a block before them leads to
+_RIGHTS = re.compile(r"(?:©|\(c\)\s|copyright\b|all rights reserved)", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?、。！，：；？…¿¡]")
 
 _TOKEN = re.compile(
@@ -80,22 +87,55 @@ _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+class _Path:
+    """A node of the tree of tag paths; elements with equal paths and marks share it."""
+
+    __slots__ = ("below", "depth", "mark", "name", "up")
+
+    def __init__(self, up: _Path | None, name: str, mark: int):
+        self.up, self.name, self.mark = up, name, mark
+        self.depth = up.depth + 1 if up else 1
+        self.below: dict[tuple[str, int], _Path] = {}
+
+    def to(self, name: str, mark: int) -> _Path:
+        """The path one element on. A mark holds for all that is below it."""
+        mark = max(mark, self.mark)
+        if (path := self.below.get((name, mark))) is None:
+            path = self.below[name, mark] = _Path(self, name, mark)
+        return path
+
+    def kinship(self, other: _Path) -> float:
+        """Share of the longer path that both have in common, squared."""
+        a, b, longest = self, other, max(self.depth, other.depth)
+        while a is not b:
+            if a.depth >= b.depth:
+                a, b = a.up, b
+            else:
+                b = b.up
+            if a is None:
+                return 0.0
+        return (a.depth / longest) ** 2
+
+
 class _Element:
-    __slots__ = ("left_out", "mark", "name", "number", "parent", "path", "plain")
+    __slots__ = ("block", "cut", "inside", "mark", "name", "number", "parent", "path", "plain")
 
-    def __init__(self, number: int, name: str, parent: _Element | None, mark: int, excused: bool):
+    def __init__(self, number: int, name: str, parent: _Element | None, mark: int, cut: bool):
         self.number, self.name, self.parent, self.mark = number, name, parent, mark
-        self.left_out = mark > 0 and not excused or parent is not None and parent.left_out
+        self.block = self if name in _BLOCKS or parent is None else parent.block
+        # a marked element inside a line, whose text is not the line's
+        self.cut = self.block is not self and (cut or parent.cut)
+        self.inside = name in ("article", "main") or parent is not None and parent.inside
         self.plain = 0  # characters of its own text outside links
-        above = parent.path if parent else ()
-        self.path = (*above, name) if name in _BLOCKS and len(above) < DEPTH else above
+        self.path: _Path | None = None
 
 
 class _Block:
-    __slots__ = ("element", "linked", "text")
+    __slots__ = ("element", "linked", "path", "text")
 
     def __init__(self, element: _Element, text: str, linked: int):
         self.element, self.text, self.linked = element, text, linked
+        self.path: _Path | None = None
 
 
 def _marked(name: str, rest: str, inside: bool) -> int:
@@ -125,7 +165,7 @@ def _marked(name: str, rest: str, inside: bool) -> int:
 
 
 def _excused(elements: list[_Element]) -> frozenset[int]:
-    """Weakly marked elements, as numbers, that are not to be left out."""
+    """Weakly marked elements, as numbers, whose marks do not count."""
     n = len(elements)
     plain, holds, strong = [0] * n, [False] * n, [False] * n
     for e in elements:  # parents come first
@@ -142,42 +182,65 @@ def _excused(elements: list[_Element]) -> frozenset[int]:
 
 
 def blocks(html: str) -> list[_Block]:
-    """The page's blocks of text in page order, with what is no content marked."""
+    """The page's blocks of text in page order, with their paths."""
     found, elements = _parsed(html, frozenset())
-    if any(e.mark == _WEAKLY for e in elements) and (excused := _excused(elements)):
-        found, _ = _parsed(html, excused)
+    excused = _excused(elements)
+    if any(e.mark and e.block is not e for e in elements) and (excused or not found):
+        # lines get back what was cut from them for a mark that does not count, and a page all in such marks its text
+        found, elements = _parsed(html, excused or frozenset(e.number for e in elements))
+    root = _Path(None, "html", 0)
+    for e in elements:
+        mark = 0 if e.number in excused else e.mark
+        if e.parent is None:
+            e.path = root
+        elif e.block is e or mark:
+            e.path = e.parent.path.to(e.name, mark)
+        else:
+            e.path = e.parent.path
+    for b in found:
+        rights = not b.element.inside and len(b.text) < 200 and _RIGHTS.match(b.text)
+        b.path = b.element.path.to("©", _WEAKLY) if rights else b.element.path
     return found
 
 
 def _parsed(html: str, excused: frozenset[int]) -> tuple[list[_Block], list[_Element]]:
-    """The page's blocks and elements; elements with the numbers in excused are not left out for their own marks."""
+    """The page's blocks and elements; the marks of elements with the numbers in excused cut nothing from a line."""
     root = _Element(0, "html", None, 0, False)
     elements = [root]
-    stack, out, number = [root], [], 0
+    stack, out = [root], []
+    open_: dict[str, list[_Element]] = {}  # open elements by name
     texts: list[str] = []
     linked = links = 0
+    has_body = False
 
     def close() -> None:
         nonlocal linked
         if texts:
             text = " ".join("".join(texts).split())
             if text:
-                owner = next(e for e in reversed(stack) if e.name in _BLOCKS)
-                if stack[-1].left_out and not owner.left_out:
-                    owner = stack[-1]
-                out.append(_Block(owner, text, min(linked, len(text))))
+                out.append(_Block(stack[-1].block, text, min(linked, len(text))))
             texts.clear()
         linked = 0
 
+    def leave() -> _Element:
+        nonlocal links
+        gone = stack.pop()
+        open_[gone.name].pop()
+        links -= gone.name == "a"
+        if gone.cut and not stack[-1].cut:
+            texts.append(" ")
+        return gone
+
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.match(html, at)
         at = m.end()
         kind = m.lastgroup
         if kind == "text":
+            top = stack[-1]
             if not links:
-                stack[-1].plain += len(m["text"].strip())
-            if not stack[-1].left_out or stack[-1].name in _BLOCKS:
+                top.plain += len(m["text"].strip())
+            if not top.cut:
                 texts.append(unescape(m["text"]) if "&" in m["text"] else m["text"])
                 if links:
                     linked += len(texts[-1].strip())
@@ -185,37 +248,40 @@ def _parsed(html: str, excused: frozenset[int]) -> tuple[list[_Block], list[_Ele
             continue
         name = m["name"].lower()
         if m["end"]:
-            if not any(e.name == name for e in stack[1:]):
+            if not open_.get(name):
                 if name == "br" or name == "p":
                     texts.append(" ")
                 continue
+            last = open_[name][-1]
             if name in _BLOCKS:
                 close()
-            elif any(e.name in _BLOCKS for e in stack[max(i for i, e in enumerate(stack) if e.name == name) :]):
+            elif last.number < stack[-1].block.number:
                 continue  # an inline end tag does not end the blocks inside it
-            while True:
-                gone = stack.pop()
-                links -= gone.name == "a"
-                if gone.left_out and not stack[-1].left_out and gone.name not in _BLOCKS:
-                    texts.append(" ")
-                if gone.name == name:
-                    break
+            while leave() is not last:
+                pass
             continue
         if name == "br":
             texts.append(" ")
             continue
-        if name == "html":
+        if name == "html" or name == "body" and has_body:
             continue
+        has_body = has_body or name == "body"
+        if name not in _HEAD and open_.get("head"):
+            close()
+            last = open_["head"][-1]
+            while leave() is not last:
+                pass
         if name in _BLOCKS:
             close()
-            for i in range(len(stack) - 1, 0, -1):
-                e = stack[i]
-                if e.name in _CLOSES and name in _CLOSES[e.name]:
-                    links -= sum(x.name == "a" for x in stack[i:])
-                    del stack[i:]
+            e = stack[-1].block
+            while e is not root:
+                if name in _CLOSES.get(e.name, ()):
+                    while leave() is not e:
+                        pass
                     break
-                if e.name in _LISTS or e.name in _BLOCKS and e.name not in _CLOSES and name != "body":
+                if e.name in _LISTS or e.name not in _CLOSES:
                     break
+                e = e.parent.block
         rest = m["rest"]
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -224,130 +290,98 @@ def _parsed(html: str, excused: frozenset[int]) -> tuple[list[_Block], list[_Ele
             continue
         if name in _VOID or rest.endswith("/") and name not in _BLOCKS:
             continue
-        number += 1
-        inside = any(e.name in ("article", "main") for e in stack)
-        element = _Element(number, name, stack[-1], _marked(name, rest, inside), number in excused)
+        mark = _marked(name, rest, stack[-1].inside)
+        element = _Element(len(elements), name, stack[-1], mark, mark > 0 and len(elements) not in excused)
         elements.append(element)
-        if element.left_out and not stack[-1].left_out and name not in _BLOCKS:
+        if element.cut and not stack[-1].cut:
             texts.append(" ")
         stack.append(element)
+        open_.setdefault(name, []).append(element)
         links += name == "a"
     close()
     return out, elements
 
 
-def path_scores(found: list[_Block]) -> dict[tuple, float]:
+def _leads(found: list[_Block]) -> list[_Block | None]:
+    """For each block, the last block of text, but headings, right in the element that its list, table or quotation stands in, if it came before that."""
+    out: list[_Block | None] = []
+    last: dict[int, _Block] = {}  # by the number of the element around a block's own
+    stands: dict[int, _Element | None] = {}  # by the number of a list's item
+    for b in found:
+        e, way = b.element, []
+        while e.parent is not None and e.number not in stands and (e.name in _ITEMS or not way and e.name == "p" and e.parent.block.name in _ITEMS):
+            way.append(e)
+            e = e.parent.block
+            if e.name in ("ul", "ol", "dl", "menu", "dir", "table", "tbody", "thead", "tfoot"):
+                way.append(e)
+                e = e.parent.block if e.parent is not None else e
+        home = stands[e.number] if e.number in stands else e if way else None
+        for x in way:
+            stands[x.number] = home
+        out.append(last.get(home.number) if home is not None else None)
+        if home is None and b.element.parent is not None and b.element.name not in _HEADINGS and b.linked < 0.9 * len(b.text):
+            last[b.element.parent.block.number] = b
+    return out
+
+
+def path_scores(found: list[_Block]) -> dict[_Path, float]:
     """Fused score of each tag path."""
-    sums: dict[tuple, list[float]] = {}
+    sums: dict[_Path, list[float]] = {}
     for b in found:
-        x = sums.setdefault(b.element.path, [0, 0, 0])
+        x = sums.setdefault(b.path, [0, 0, 0])
         x[0] += len(b.text) - b.linked
         x[1] += len(_PUNCTUATION.findall(b.text)) if b.linked < len(b.text) else 0
         x[2] += 1
     ratios = {p: (t / n, q / n) for p, (t, q, n) in sums.items()}
-    paths = [b.element.path for b in found]
-    near: dict[tuple, list[float]] = {}
-    kinship: dict[tuple, float] = {}
-    for i, path in enumerate(paths):
-        weight = text = marks = 0.0
+    paths = [b.path for b in found]
+    fused: dict[_Path, list[float]] = {}
+    kinship: dict[tuple[_Path, _Path], float] = {}
+    for i, (path, lead) in enumerate(zip(paths, _leads(found), strict=True)):
+        near = []
         for j in range(max(0, i - RADIUS), min(len(paths), i + RADIUS + 1)):
             other = paths[j]
             if (kin := kinship.get((path, other))) is None:
-                same = next((k for k, (a, b) in enumerate(zip(path, other, strict=False)) if a != b), min(len(path), len(other)))
-                kin = kinship[path, other] = (same / max(len(path), len(other), 1)) ** 2
-            w = kin * math.exp(-((i - j) ** 2) / 2)
-            weight, text, marks = weight + w, text + w * ratios[other][0], marks + w * ratios[other][1]
-        x = near.setdefault(path, [0, 0])
-        x[0] += math.sqrt(text / weight * (1 + marks / weight)) if weight else 0
+                kin = kinship[path, other] = path.kinship(other)
+            near.append((kin * math.exp(-((i - j) ** 2) / 2), other))
+        if lead is not None:
+            near.append((1.0, lead.path))
+        weight = sum(w for w, _ in near)
+        text, marks = (sum(w * ratios[p][k] for w, p in near) / weight for k in (0, 1))
+        x = fused.setdefault(path, [0, 0])
+        x[0] += math.sqrt(text * (1 + marks)) * WEIGHTS[path.mark]
         x[1] += 1
-    return {p: s / n for p, (s, n) in near.items()}
+    return {p: s / n for p, (s, n) in fused.items()}
+
+
+def content_paths(found: list[_Block], scores: dict[_Path, float]) -> set[_Path]:
+    """Paths that score at least LEAST of the page's usual score, the mean over its text weighted as the paths are.
+
+    If all text is in links, so that every score is zero: the paths with the least marks.
+    """
+    mass = [len(b.text) * WEIGHTS[b.path.mark] for b in found]
+    usual = sum(m * scores[b.path] for m, b in zip(mass, found, strict=True)) / sum(mass)
+    if usual == 0:
+        least = min(b.path.mark for b in found)
+        return {b.path for b in found if b.path.mark == least}
+    return {p for p, s in scores.items() if s >= LEAST * usual}
 
 
 def main_blocks(html: str) -> list[str]:
-    """Texts of the content paths' and of the article's blocks in page order."""
-    found = [b for b in blocks(html) if not b.element.left_out]
+    """Texts of the content paths' blocks, and of headings that such a block follows, in page order."""
+    found = blocks(html)
     if not found:
         return []
-    scores = path_scores(found)
-    size = sum(len(b.text) for b in found)
-    usual = sum(scores[b.element.path] * len(b.text) for b in found) / size
-    content = {p for p, s in scores.items() if s >= LEAST * usual and s > 0}
-    chosen = [b for b in found if b.element.path in content] or found
-    # text under each element, of content blocks and how many other blocks but headings
-    held: dict[int, int] = {}
-    strange: dict[int, int] = {}
-    by_number: dict[int, _Element] = {}
-    for b in found:
-        e: _Element | None = b.element
-        while e is not None:
-            by_number[e.number] = e
-            if b.element.path in content or not content:
-                held[e.number] = held.get(e.number, 0) + len(b.text)
-            elif b.element.name not in _HEADINGS:
-                strange[e.number] = strange.get(e.number, 0) + 1
-            e = e.parent
-    most = sum(len(b.text) for b in chosen)
-    article = by_number[0]
-    while True:
-        inner = [e for e in by_number.values() if e.parent is article and e.name in _BLOCKS and e.name not in ("p", "li", "td", "dd", "blockquote") and held.get(e.number, 0) >= SHARE * most]
-        if not inner:
-            break
-        article = inner[0]
-    e = article
-    while e is not None and e.name not in ("article", "main"):
-        e = e.parent
-    if e is not None:
-        article = e
-    else:  # headings and content that stand just outside belong to it
-        while article.parent is not None and strange.get(article.parent.number, 0) == strange.get(article.number, 0):
-            article = article.parent
-    inside = [_within(b.element, article) for b in found]
-    menus = _menus(found, inside, scores, usual, content, article.name in ("article", "main"))
-    return [b.text for k, b in enumerate(found) if (inside[k] or b.element.path in content) and k not in menus]
-
-
-def _within(e: _Element | None, outer: _Element) -> bool:
-    while e is not None and e is not outer:
-        e = e.parent
-    return e is not None
-
-
-def _list_of(e: _Element) -> _Element | None:
-    """The element whose items are judged together; for a table's cell, the table."""
-    if e.name not in ("li", "div", "td", "dd"):
-        return None
-    up = e.parent
-    while up is not None and (up.name not in _BLOCKS or e.name == "td" and up.name in ("tr", "tbody", "thead", "tfoot")):
-        up = up.parent
-    return up
-
-
-def _menus(found: list[_Block], inside: list[bool], scores: dict[tuple, float], usual: float, content: set[tuple], named: bool) -> set[int]:
-    """Places in found of lists that are links and nothing else, outside the article or without content before them in their own element.
-
-    named: the article is an article or main element, all of which is content.
-    """
-    lists: dict[tuple, list[int]] = {}
-    owners: dict[int, _Element] = {}
-    for k, b in enumerate(found):
-        if (owner := _list_of(b.element)) is not None:
-            owners[owner.number] = owner
-            lists.setdefault((owner.number, b.element.path), []).append(k)
-    first: dict[int, int] = {}  # content block under an element
-    for k, b in enumerate(found):
-        if b.element.path in content and b.linked < 0.9 * len(b.text) and b.element.parent is not None:
-            first.setdefault(b.element.parent.number, k)
-    out: set[int] = set()
-    for (number, path), at in lists.items():
-        n, linked = sum(len(found[k].text) for k in at), sum(found[k].linked for k in at)
-        if len(at) < 3 or linked < 0.9 * n or scores[path] >= usual:
-            continue
-        # a list of its own stands where its element does; bare items stand in theirs
-        stands = owners[number].parent if owners[number].name in ("ul", "ol", "dl", "table", "menu", "dir") else owners[number]
-        before = stands is not None and first.get(stands.number, len(found)) < at[0]
-        if not all(inside[k] for k in at) or not (named or before):
-            out.update(at)
-    return out
+    content = content_paths(found, path_scores(found))
+    out: list[str] = []
+    follows = None  # the next block that is no heading, if it was chosen
+    for b in reversed(found):
+        heading = b.element.name in _HEADINGS
+        chosen = b.path in content or heading and follows is not None and b.path.mark <= follows.path.mark
+        if chosen:
+            out.append(b.text)
+        if not heading:
+            follows = b if chosen else None
+    return out[::-1]
 
 
 def main_text(html: str | None) -> str:
