@@ -130,10 +130,75 @@ def test_code_lengths_by_hand():
     assert bits[0, 0] == pytest.approx(math.log2(5 / 2) + math.log2(5 / 2), rel=1e-6)
 
 
+def counted(texts, order):
+    grams = np.concatenate([language_id._grams(s, at, order) for _, _, s, at in language_id._blocks(pa.array(texts))])
+    return np.unique(grams, return_counts=True)
+
+
 def test_a_symbols_chances_add_up_to_one():
-    counts = np.unique(np.concatenate([language_id._grams(s, at, 3) for _, _, s, at in language_id._blocks(pa.array(["some text or other, and more text", "another text"]))]), return_counts=True)
-    model = language_id.Model({"x": (counts[0], counts[1].astype(float))})
-    assert np.allclose(np.exp2(-model.bits[0].astype(float)).sum(1), 1, atol=1e-5)
+    model = language_id.Model({"x": counted(["some text or other, and more text", "another text"], 3)})
+    for context in list({int(g) >> 8 for g in model.trees[0].trees[0].grams}) + [1, 77 << 8, 5 << 16]:
+        grams = np.array([context << 8 | s for s in range(language_id._SYMBOLS)], np.uint64)
+        assert np.exp2(-model.trees[0].bits(grams)).sum() == pytest.approx(1)
+
+
+def direct_code_length(training, text, order):
+    """Bits of a text by partial matching with escapes by method C and exclusion, symbol by symbol over dictionaries."""
+
+    def symbols(t):
+        out = [0]
+        for b in t.encode():
+            c = int(language_id._CLASS[b])
+            if c or out[-1]:
+                out.append(c)
+        return out
+
+    counts = {}
+    for t in training:
+        s = [0] * order + symbols(t)
+        for i in range(order, len(s)):
+            for k in range(order + 1):
+                followers = counts.setdefault(tuple(s[i - k : i]), {})
+                followers[s[i]] = followers.get(s[i], 0) + 1
+    s = [0] * order + symbols(text)
+    bits = 0.0
+    for i in range(order + 1, len(s)):
+        excluded = set()
+        for k in range(order, -1, -1):
+            left = {x: n for x, n in counts.get(tuple(s[i - k : i]), {}).items() if x not in excluded}
+            whole = sum(left.values()) + len(left)
+            if s[i] in left:
+                bits += math.log2(whole / left[s[i]])
+                break
+            if left:
+                bits += math.log2(whole / len(left))
+            excluded |= set(left)
+        else:
+            bits += math.log2(language_id._SYMBOLS - len(excluded))
+    return bits
+
+
+@pytest.mark.parametrize("order", [0, 1, 3, 5, 7])
+def test_code_lengths_against_a_direct_reading(order):
+    rng = random.Random(order)
+    speech = {name: [" ".join(rng.choice(stock) for _ in range(rng.randrange(1, 40))) for _ in range(12)] for name, stock in (("a", ["the", "cat's", "and", "Dog", "ran"]), ("b", ["der", "Hund", "läuft", "und", "die"]), ("c", ["кот", "и", "the", "2 3"]))}
+    model = language_id.Model({name: counted(texts, order) for name, texts in speech.items()}, order)
+    texts = ["the cat and der Hund", "", "x", "лäß zzz", "кот и и  и 12 the", "!", *speech["b"][:2], "word " * 5000]
+    bits, _ = model.code_lengths(pa.array(texts))
+    for i, text in enumerate(texts):
+        for k, name in enumerate(model.languages):
+            assert bits[i, k] == pytest.approx(direct_code_length(speech[name], text, order), rel=1e-9, abs=1e-9)
+
+
+def test_other_names_and_limits(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"the cat {i} and the dog", "en") for i in range(20)] + [(99, None, None)], "k long, body string, lang string")
+    found = language_id.languages(rows, id_col="k", text_col="body", order=5).collect()
+    assert {r.lang_pred for r in found} == {"en", "und"} and len(found) == 21
+    with pytest.raises(ValueError):
+        language_id.Model({}, order=8)
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 10)
+    with pytest.raises(ValueError):
+        language_id.languages(rows, id_col="k", text_col="body")
 
 
 def test_languages(spark, sf_dir):

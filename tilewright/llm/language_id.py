@@ -6,8 +6,13 @@ context that has been seen: the byte's own share there, or an escape (method
 C: as many escapes as different followers) and then the next shorter context
 without the bytes that were excluded already, down to a uniform choice among
 the bytes that are left.  With the statistics frozen, the code length depends
-on the last ORDER bytes and the byte alone, so that every language's code
-lengths lie in one table, and a text's exact code length is a sum of entries.
+on the last ORDER bytes and the byte alone, so that it is worked out once for
+each different run of ORDER + 1 bytes in a block of texts, and a text's exact
+code length is a sum of these.
+
+The trees are kept sparse, as sorted numbers of contexts and of what follows
+them: their size goes with the different runs in the training texts, not with
+languages times contexts.
 
 Bytes are folded first: ASCII letters to lower case, other ASCII bytes than
 letters and the apostrophe to one separator, so that digits, markup and line
@@ -29,6 +34,7 @@ from ._shingles import text_buffers
 ORDER = 3
 SAMPLE = 2000  # documents that a language is learned from, about; whole texts
 UNKNOWN = "und"
+MODEL_BYTES = 512 << 20  # that a model may have to be sent to every executor
 _BLOCK = 1 << 18  # bytes scored at a time
 
 _SEPARATOR = 0
@@ -64,13 +70,13 @@ def _folded(offsets: np.ndarray, data: np.ndarray, i: int, j: int) -> tuple[np.n
 
 def _grams(symbols: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
     """Each symbol with the order symbols before it, 8 bits each; before a text there are separators."""
-    out = np.zeros(len(symbols), np.uint32)
+    out = np.zeros(len(symbols), np.uint64)
     place = np.arange(len(symbols)) - np.repeat(starts[:-1], np.diff(starts))
     for k in range(order + 1):
-        shifted = np.zeros(len(symbols), np.uint32)
+        shifted = np.zeros(len(symbols), np.uint64)
         shifted[k:] = symbols[: len(symbols) - k]
         shifted[place < k] = _SEPARATOR
-        out |= shifted << np.uint32(8 * k)
+        out |= shifted << np.uint64(8 * k)
     return out
 
 
@@ -94,98 +100,125 @@ def gram_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
                 grams = [_grams(s, at, order) for _, _, s, at in _blocks(of["text"])]
                 if grams:
                     gram, n = np.unique(np.concatenate(grams), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(gram)), pa.array(gram.astype(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(gram)), pa.array(gram.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
     return rows.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class _Tree:
+    """Contexts of one length and what follows them, with what is left of them when what follows a longer one is excluded."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, longer: _Tree | None):
+        """grams: sorted numbers of a context and, in the last 8 bits, a symbol. longer: the tree of contexts one symbol longer."""
+        self.grams, self.n = grams, n
+        self.contexts, first = np.unique(grams >> np.uint64(8), return_index=True)
+        self.total = np.add.reduceat(n, first) if len(n) else np.zeros(0)
+        self.kinds = np.diff(np.append(first, len(grams)))
+        self.longer = longer
+
+    def context_of(self, context: np.ndarray) -> np.ndarray:
+        """Place of each context; -1 for those that are not known."""
+        return _places(self.contexts, context)
+
+    def excluded(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each longer context: the counts here of the symbols that follow it, added up, and the place of its ending here."""
+        mask = np.uint64((1 << 8 * (length + 1)) - 1)
+        at = _places(self.grams, self.longer.grams & mask)
+        owner = np.repeat(np.arange(len(self.longer.contexts)), self.longer.kinds)
+        return np.bincount(owner, self.n[at], len(self.longer.contexts)), self.context_of(self.longer.contexts & (mask >> np.uint64(8)))
+
+
+def _places(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place in the sorted known of each of wanted, -1 where it is not among them."""
+    if not len(known):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, at, -1)
+
+
+class _Language:
+    """One language's context trees, longest contexts first in use."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray, order: int):
+        self.trees: list[_Tree] = []
+        tree = None
+        for k in range(order, -1, -1):
+            some, back = np.unique(grams & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            tree = _Tree(some, np.bincount(back, n, len(some)), tree)
+            self.trees.append(tree)
+        # for every context: what is left of its ending, one symbol shorter, without what follows it
+        self.left: list[tuple[np.ndarray, np.ndarray]] = []
+        for k, shorter in zip(range(order - 1, -1, -1), self.trees[1:], strict=True):
+            total, at = shorter.excluded(k)
+            self.left.append((shorter.total[at] - total, shorter.kinds[at] - shorter.longer.kinds))
+        for t in self.trees:
+            t.longer = None
+
+    def size(self) -> int:
+        return sum(x.nbytes for t in self.trees for x in (t.grams, t.n, t.contexts, t.total, t.kinds)) + sum(a.nbytes + b.nbytes for a, b in self.left)
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Code length of the last symbol of each gram after the others."""
+        order = len(self.trees) - 1
+        out, paid = np.zeros(len(grams)), np.zeros(len(grams))
+        todo = np.arange(len(grams))
+        before = np.full(len(grams), -1)  # place of the longer context, where it was known
+        for step, tree in enumerate(self.trees):
+            k = order - step
+            here = grams[todo] & np.uint64((1 << 8 * (k + 1)) - 1)
+            at = tree.context_of(here >> np.uint64(8))
+            seen = at >= 0
+            total, kinds = np.where(seen, tree.total[at], 0), np.where(seen, tree.kinds[at], 0)
+            if step:
+                escaped = before >= 0
+                left, fewer = self.left[step - 1]
+                total, kinds = np.where(escaped, left[before], total), np.where(escaped, fewer[before], kinds)
+            found = _places(tree.grams, here)
+            coded = found >= 0
+            whole = total + kinds
+            out[todo[coded]] = paid[todo[coded]] + np.log2(whole[coded] / tree.n[found[coded]])
+            more = ~coded & (kinds > 0)
+            paid[todo[more]] += np.log2(whole[more] / kinds[more])
+            todo, before = todo[~coded], at[~coded]
+        if len(todo):
+            out[todo] = paid[todo] + np.log2(_SYMBOLS - len(self.trees[-1].grams))
+        return out
+
+
 class Model:
-    """Code lengths, in bits, of every byte class after every context, for each language."""
+    """Frozen statistics of every language."""
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER):
-        if not 0 <= order <= 3:
-            raise ValueError("order must be 0 to 3: contexts are looked up in a table of 256 ** order places")
+        if not 0 <= order <= 7:
+            raise ValueError("order must be 0 to 7: a context and what follows it are kept in 64 bits")
         self.order = order
         self.languages = sorted(counts)
-        contexts = np.unique(np.concatenate([g >> np.uint32(8) for g, _ in counts.values()])) if counts else np.zeros(0, np.uint32)
-        self.contexts = contexts
-        # contexts that no language has are scored from the trees as they come up
-        self.bits = np.empty((len(counts), len(contexts), _SYMBOLS), np.float32)
-        self.short = []
-        for k, name in enumerate(self.languages):
-            trees = self._trees(*counts[name], order)
-            self.bits[k] = self._lengths(trees, contexts, order)
-            self.short.append(trees)
-        self._index = None
-
-    @staticmethod
-    def _trees(grams: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each context length: sorted contexts (as numbers) and the counts of what follows them."""
-        out = []
-        for k in range(order + 1):
-            context = (grams >> np.uint32(8)) & np.uint32((1 << 8 * k) - 1)
-            known, at = np.unique(context, return_inverse=True)
-            follow = np.zeros((len(known), _SYMBOLS))
-            np.add.at(follow, (at, grams & np.uint32(255)), n)
-            out.append((known, follow))
-        return out
+        self.trees = [_Language(counts[name][0].astype(np.uint64), counts[name][1].astype(float), order) for name in self.languages]
 
-    @staticmethod
-    def _lengths(trees: list[tuple[np.ndarray, np.ndarray]], contexts: np.ndarray, order: int) -> np.ndarray:
-        """Bits of every symbol after every context, by the context's longest known ending and escapes from there."""
-        out = np.empty((len(contexts), _SYMBOLS), np.float32)
-        for a in range(0, len(contexts), 1024):
-            some = contexts[a : a + 1024]
-            bits = np.zeros((len(some), _SYMBOLS))
-            coded = np.zeros((len(some), _SYMBOLS), bool)
-            paid = np.zeros((len(some), 1))
-            for k in range(order, -1, -1):
-                known, follow = trees[k]
-                ending = some & np.uint32((1 << 8 * k) - 1)
-                at = np.minimum(np.searchsorted(known, ending), len(known) - 1)
-                counts = np.where((known[at] == ending)[:, None] & ~coded, follow[at], 0)
-                total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-                here = counts > 0
-                whole = total + kinds
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    bits[here] = (paid + np.log2(whole / counts))[here]
-                    paid += np.where(total > 0, np.log2(whole / np.maximum(kinds, 1)), 0)
-                coded |= here
-            left = (~coded).sum(1, keepdims=True)
-            out[a : a + 1024] = np.where(coded, bits, paid + np.log2(np.maximum(left, 1)))
-        return out
+    def size(self) -> int:
+        """Bytes of the trees."""
+        return sum(t.size() for t in self.trees)
 
     def code_lengths(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(bits of each text in each language, number of symbols of each text)."""
-        if self._index is None:
-            self._index = np.full(1 << 8 * self.order, -1, np.int16 if len(self.contexts) < 1 << 15 else np.int32)
-            self._index[self.contexts] = np.arange(len(self.contexts))
         bits, sizes = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
         for i, j, symbols, starts in _blocks(texts):
-            grams = _grams(symbols, starts, self.order)
-            context = grams >> np.uint32(8)
-            at = self._index[context]
-            cell = at.astype(np.int64) * _SYMBOLS + symbols
-            strange = np.flatnonzero(at < 0)
-            cell[strange] = 0
-            if len(strange):
-                new, back = np.unique(context[strange], return_inverse=True)
-            for k in range(len(self.languages)):
-                each = self.bits[k].reshape(-1)[cell]
-                if len(strange):
-                    each[strange] = self._lengths(self.short[k], new, self.order)[back, symbols[strange]]
+            grams, back = np.unique(_grams(symbols, starts, self.order), return_inverse=True)
+            for k, tree in enumerate(self.trees):
+                each = tree.bits(grams)[back]
                 each[starts[:-1]] = 0  # the separator before the text
-                sums = np.concatenate(([0], np.cumsum(each, dtype=np.float64)))
+                sums = np.concatenate(([0], np.cumsum(each)))
                 bits[i:j, k] = sums[starts[1:]] - sums[starts[:-1]]
             sizes[i:j] = np.diff(starts) - 1
         return bits, sizes
 
 
 def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER, sample: int = SAMPLE) -> Model:
-    """A model of the rows that satisfy `training` (a condition) and have a language and a text with a letter.
+    """A model of the rows that satisfy `training` (a condition) and have a language and a text.
 
     Of each language about `sample` documents are taken, whole, by a hash of
-    their id; all of them where there are fewer.
+    their id; all of them where there are fewer.  Without such rows it knows no
+    language.
     """
     rows = docs.where(training).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -194,7 +227,7 @@ def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     if seen:
         found = gram_counts(rows.where(draw < shares[F.col("lang")]), order).toArrow()
-        langs, gram, n = found["lang"].combine_chunks(), found["gram"].to_numpy().astype(np.uint32), found["n"].to_numpy()
+        langs, gram, n = found["lang"].combine_chunks(), found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy()
         for lang in langs.unique().to_pylist():
             of = pa.compute.equal(langs, lang).to_numpy(zero_copy_only=False)
             order_of = np.argsort(gram[of])
@@ -209,8 +242,11 @@ def predict(docs: DataFrame, model: Model, held_out, id_col: str = "doc_id", tex
     equally likely before.  A text that is null or has no letter is `und` with
     score 0, and so is every text if no language was learned.  Equal code
     lengths go to the first language by name.  Null ids stay null, with
-    held_out false; repeated rows stay repeated.
+    held_out false; repeated rows stay repeated.  An empty table gives an empty
+    result.  Other columns are not looked at.
     """
+    if model.size() > MODEL_BYTES:
+        raise ValueError(f"the model has {model.size()} bytes, more than the {MODEL_BYTES} that are sent to executors: learn from fewer documents or with a lower order")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     languages = pa.array([*model.languages, UNKNOWN])
 
@@ -236,7 +272,13 @@ def predict(docs: DataFrame, model: Model, held_out, id_col: str = "doc_id", tex
     return rows.mapInArrow(score, schema)
 
 
-def languages(docs: DataFrame, folds: int = 5, fold: int = 0, **options) -> DataFrame:
-    """predict() by a model of the documents outside the fold: crc32 of the id modulo folds is not fold."""
-    side = crc_mod("doc_id", folds)
-    return predict(docs, fit(docs, side != fold, **options), side == fold)
+def languages(docs: DataFrame, folds: int = 5, fold: int = 0, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """predict() by a model of the documents outside the fold: crc32 of the id modulo folds is not fold.
+
+    Documents with a null id, text or language are not learned from; repeated
+    rows count as often as they are there.  Without a language to learn, and
+    for null texts and texts without a letter, the prediction is `und`.  An
+    empty table gives an empty result.
+    """
+    side = crc_mod(id_col, folds)
+    return predict(docs, fit(docs, side != fold, id_col, text_col, **options), side == fold, id_col, text_col)
