@@ -244,6 +244,44 @@ def test_isotonic():
     assert list(values) == [0, 0.5, 1] and (np.diff(knots) > 0).all()
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_isotonic_with_ties(seed):
+    """Against the largest of the smallest means of runs of scores, which is another form of the same regression."""
+    rng = np.random.default_rng(seed)
+    scores, labels = rng.integers(0, 12, 80) / 4, rng.integers(0, 2, 80).astype(float)
+    levels = np.unique(scores)
+    mean = lambda a, b: labels[(scores >= levels[a]) & (scores <= levels[b])].mean()
+    want = [max(min(mean(a, b) for b in range(i, len(levels))) for a in range(i + 1)) for i in range(len(levels))]
+    knots, values = quality.isotonic(scores, labels)
+    order = rng.permutation(80)
+    again = quality.isotonic(scores[order], labels[order])
+    assert np.array_equal(knots, again[0]) and np.array_equal(values, again[1]) and (np.diff(knots) > 0).all()
+    assert sorted(set(np.round(want, 12))) == list(np.round(values, 12))
+    assert list(quality.isotonic(np.zeros(4), np.array([0.0, 1, 0, 1]))[1]) == [0.5]
+
+
+def test_fit_against_a_dense_solution(spark):
+    """Ridge weights from the whole matrix at once, and scores from them."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, len(quality.STATISTICS))).astype(np.float32)
+    y = (x[:, 0] + 0.3 * rng.normal(size=300) > 0).astype(float)
+    rows = spark.createDataFrame([(i, x[i].tolist(), float(y[i])) for i in range(300)], "doc_id long, x array<float>, y double")
+    model = quality.fit(rows, features=40)
+    side = {r.doc_id for r in rows.where(F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(quality.CALIBRATION)) == 0).collect()}
+    fitted = np.array([i not in side for i in range(300)])
+    mean, scale = x[fitted].astype(float).mean(0), x[fitted].astype(float).std(0)
+    assert np.allclose(model.kernel.mean, mean) and np.allclose(model.kernel.scale, scale, rtol=1e-5)
+    z = np.clip((x - mean) / scale, -6, 6)
+    features = np.column_stack([np.ones(300), np.sqrt(2 / 40) * np.cos(z @ model.kernel.directions + model.kernel.phases)])
+    penalty = np.diag([1e-6] + [quality.PENALTY] * 40)
+    weights = np.linalg.solve(features[fitted].T @ features[fitted] + penalty, features[fitted].T @ y[fitted])
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    raw = features @ weights
+    knots, values = quality.isotonic(raw[~fitted], y[~fitted])
+    assert np.allclose(model(x), np.interp(raw, knots, values), atol=1e-5)
+    assert np.allclose(model.weights, quality.fit(rows.orderBy(F.rand(1)), features=40).weights, rtol=1e-9)
+
+
 def test_statistics_of_texts_do_not_mix():
     texts = ["A b. c", "", "x|y\n1!", None, "é é é é"]
     together = quality.statistics(pa.array(texts))

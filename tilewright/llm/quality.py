@@ -150,11 +150,15 @@ class Model:
 
 
 def isotonic(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots (mean score of each pool) and values (share of ones), both rising."""
-    order = np.argsort(scores, kind="stable")
+    """Pool adjacent violators: knots (mean score of each pool) and values (share of ones), both rising.
+
+    Equal scores are one pool from the start, so that the order of the rows does not matter.
+    """
+    levels, at = np.unique(scores, return_inverse=True)
+    n, ones = np.bincount(at), np.bincount(at, labels)
     pools: list[list[float]] = []  # sum of labels, of scores, number
-    for s, y in zip(scores[order], labels[order], strict=True):
-        pools.append([y, s, 1])
+    for s, y, k in zip(levels, ones, n, strict=True):
+        pools.append([y, s * k, k])
         while len(pools) > 1 and pools[-2][0] * pools[-1][2] >= pools[-1][0] * pools[-2][2]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
@@ -200,9 +204,10 @@ def fit(rows: DataFrame, features: int = FEATURES, penalty: float = PENALTY, wid
     """A model of rows (doc_id, x, y with y 0 or 1); None without rows.
 
     A row in CALIBRATION, by a hash of its id, calibrates; with rows of one
-    side only, the same rows do both.
+    side only, the same rows do both.  The rows are a bounded sample; they are
+    dealt out to PARTITIONS tasks, each of which hands in its sums.
     """
-    rows = written(rows.select("doc_id", "x", "y").coalesce(PARTITIONS), "labelled").coalesce(PARTITIONS)
+    rows = written(rows.select("doc_id", "x", "y").repartition(PARTITIONS), "labelled")
     side = F.pmod(F.xxhash64(F.lit("calibration"), "doc_id"), F.lit(CALIBRATION)) == 0
     for fitting, calibrating in ((rows.where(~side), rows.where(side)), (rows, rows)):
         sums = _summed(fitting, lambda x, y: [np.array([len(x)]), x.sum(0), (x**2).sum(0)])
