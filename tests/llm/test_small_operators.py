@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.llm import byte_bpe, exact_dedup, mixing, token_counts, vector_search, warc
+from tilewright.llm import _common, byte_bpe, exact_dedup, mixing, token_counts, vector_search, warc
 from tilewright.llm import queries as llm
 
 DOCS = "doc_id long, text string, lang string, source string, kept boolean, size int, score double, row int"
@@ -200,6 +200,22 @@ def test_archives(spark):
     assert least == {(1, "response"), (2, "response")}
 
 
+def test_revisits_name_a_record_of_the_archive(spark):
+    big = "long " * 3000
+    rows = [(1, "u", "<p>x"), (2, "v", "<p>x"), (3, "w", big), (4, "w", big), (4, "w", big), (5, None, big), (None, "n", "<p>x"), (6, "o", "one")]
+    path = _common.scratch(spark, "warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path, segment_bytes=1000, file_records=7)
+    names, refers = [], []
+    for r in spark.read.format("binaryFile").load(path).collect():
+        for fields, _ in warc.parse_archive(bytes(r.content)):
+            if fields["warc-type"] == "response":
+                names.append(fields["warc-record-id"])
+            refers += [fields["warc-refers-to"]] if "warc-refers-to" in fields else []
+    assert len(refers) == 4 and set(refers) <= set(names)
+    found = warc.read_warc(spark, path).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes, r.refers_to or 0) for r in found) == sorted((i or 0, len(h), {"<p>x": 2, big: 4}.get(h, 0) * (i != {"<p>x": 2, big: 4}.get(h, i))) for i, _, h in rows)
+
+
 def test_broken_archives_are_refused():
     record = next(warc.page_records(0, 1, "u", "hello", None, warc.payload_digest(b"hello"), 5)).encode() + b"\r\n\r\n"
     assert len(list(warc.parse_archive(record * 2))) == 2

@@ -85,15 +85,23 @@ def _record(fields: list[tuple[str, object]], block: bytes) -> str:
     return f"WARC/1.1\r\n{head}Content-Length: {len(block)}{_END}{block.decode()}"
 
 
+def _name(page_id: int | None, digest: str) -> str:
+    return f"urn:page:{'' if page_id is None else page_id}:{digest}"
+
+
 def page_records(number: int, page_id: int | None, url: str | None, html: str | None, refers_to: int | None, digest: str, size: int, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> Iterator[str]:
-    """The records of a page, without the two line ends that follow each. number tells records of equal page ids apart."""
-    name = f"urn:page:{'' if page_id is None else page_id}:{number}"
+    """The records of a page, without the two line ends that follow each.
+
+    A record's identifier is made of the page's id and its payload's digest.
+    number tells segments of rows that share both apart.
+    """
+    name = _name(page_id, digest)
     uri = None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
     shared: list[tuple[str, object]] = [("WARC-Date", DATE), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}")]
     http = ("Content-Type", "application/http; msgtype=response")
     if refers_to is not None:
         block = _HTTP + b"Content-Length: %d\r\n\r\n" % size
-        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{name}>"), *shared, ("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", _PROFILE), http], block)
+        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{name}>"), *shared, ("WARC-Refers-To", f"<{_name(refers_to, digest)}>"), ("WARC-Profile", _PROFILE), http], block)
         return
     block = _HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + chunked((html or "").encode(), chunk_bytes)
     first = [("WARC-Type", "response"), ("WARC-Record-ID", f"<{name}>"), *shared, http]
@@ -103,14 +111,15 @@ def page_records(number: int, page_id: int | None, url: str | None, html: str |
     segments = list(_cuts(block, segment_bytes))
     for k, segment in enumerate(segments, 1):
         fields = first if k == 1 else [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{name}:{k}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", f"<{name}>")]
-        yield _record([*fields, ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", len(block) if k == len(segments) else None)], segment)
+        yield _record([*fields, ("Page-Copy", number), ("WARC-Segment-Number", k), ("WARC-Segment-Total-Length", len(block) if k == len(segments) else None)], segment)
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, file_records: int = FILE_RECORDS, compression: str = "gzip") -> None:
     """Write a record, or several segments, for every row of pages to WARC files under path.
 
     Null html is an empty payload, a null url gives a record without target,
-    and a null id stays null.  Of equal payloads of at least least_bytes bytes
+    and a null id stays null.  Rows that repeat an id and a payload repeat the
+    record's identifier.  Of equal payloads of at least least_bytes bytes
     the row with the largest id is the response; rows that repeat that id are
     responses too, and where all ids are null all rows are.
     """
@@ -190,7 +199,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 refers = _page(fields["warc-refers-to"]) if "warc-refers-to" in fields else None
                 segment = int(fields["warc-segment-number"]) if "warc-segment-number" in fields else None
                 total = int(fields["warc-segment-total-length"]) if "warc-segment-total-length" in fields else None
-                origin, size = fields.get("warc-segment-origin-id", name), None
+                origin, size = fields.get("warc-segment-origin-id", name) + fields.get("page-copy", ""), None
                 if kind == "revisit":
                     m = re.search(rb"(?im)^content-length:\s*(\d+)", block)
                     size, block = int(m[1]) if m else None, None
