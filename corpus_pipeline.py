@@ -8,7 +8,7 @@ further columns; what they do with them is said at each.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
@@ -19,31 +19,34 @@ FOLDS = 5
 NEAR = (80, 100)  # near copies: 100 * intersection >= 80 * union
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs under names that no operator uses, and the name that each column got."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _back(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(v).alias(k) for k, v in names.items()])
+
+
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned: not `und`, and with a score of LEAST_SCORE at least.
 
-    Null texts and texts without letters go. Languages are learned as in op4.
+    Null texts and texts without letters go; rows without an id are judged like
+    others.  Languages are learned as in op4; where none can be, nothing stays.
     """
-    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # so that no column has a name of the operator's
-    plain = docs.toDF(*names.values())
+    plain, names = _plain(docs)
     doc_id, text, lang = (names[c] for c in ("doc_id", "text", "lang"))
     side = crc_mod(doc_id, FOLDS)
     model = language_id.fit(plain, side != 0, id_col=doc_id, text_col=text, lang_col=lang)
     known = language_id.predict(plain, model, side == 0, id_col=doc_id, text_col=text, keep=tuple(names.values()))
-    known = known.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return known.select(*[F.col(v).alias(k) for k, v in names.items()])
-
-
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+    return _back(known.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), names)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the smallest id; of rows that repeat id and text, one."""
-    kept = exact_dedup.exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    hashed = docs.withColumn("_sha", F.sha2(exact_dedup.normalised("text"), 256))
-    stays = hashed.join(kept, _same(F.col("doc_id"), F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-    return stays.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    """One document of each group of equal texts, the one with the smallest id, null ids last; of rows that repeat id and text, one."""
+    plain, names = _plain(docs)
+    return _back(exact_dedup.without_duplicates(plain, names["doc_id"], names["text"]), names)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,23 +54,27 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Rows that share an id are judged each by its own text: they go by numbers in the order of id and text hash.
     """
-    keys = [F.col("doc_id"), F.sha2(exact_dedup.normalised("text"), 256)]
-    rows = docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    rows = written(rows.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "numbered")
-    kept = near_dedup.near_duplicates(rows, threshold=NEAR, id_col="_row").where("kept").select(F.col("doc_id").alias("_kept_row"))
-    return rows.join(kept, _same(F.col("_row"), F.col("_kept_row")), "left_semi").select(*docs.columns)
+    plain, names = _plain(docs)
+    doc_id, text = names["doc_id"], names["text"]
+    keys = [F.col(doc_id), F.sha2(exact_dedup.normalised(text), 256)]
+    rows = plain.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = written(rows.withColumn("row", F.when(F.col(doc_id).isNotNull(), F.monotonically_increasing_id())), "numbered")
+    kept = near_dedup.near_duplicates(rows, threshold=NEAR, id_col="row", text_col=text).where("kept").select(F.col("doc_id").alias("row"))
+    # null rows are not looked for, so that they need not be in one place
+    return _back(rows.where("row IS NOT NULL").join(kept, "row", "left_semi").unionByName(rows.where("row IS NULL")), names)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: its words over the document's, halves up.
 
-    Documents without words go. Rows that share an id are taken as often as
-    that one of them that is taken most.
+    Documents without words go; rows without an id and rows that share one are
+    each taken as often as the mix takes that row.
     """
-    taken = mixing.mixed(docs).where("taken > 0")
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = taken.groupBy(F.col("doc_id").alias("_taken_id")).agg(F.max(copies).alias("_copies")).where("_copies > 0")
-    return docs.join(taken, _same(F.col("doc_id"), F.col("_taken_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    plain, names = _plain(docs)
+    rows = written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    taken = mixing.mixed(rows, id_col=names["doc_id"], source_col=names["source"], text_col=names["text"], row_col="row").where("taken > 0")
+    taken = taken.select("row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).where("copies > 0")
+    return _back(rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), names)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,7 +92,7 @@ STAGES = [
     ("byte_bpe", tokens),
 ]
 
-#: SQL can express neither the language model nor the token encoding; see tests/llm/test_pipeline.py.
+#: SQL can express neither the language model nor the token encoding; see tests/llm/test_models.py and tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
