@@ -246,7 +246,7 @@ def test_search_with_ties_and_unusable_vectors(spark):
     rows = [(i, rng.normal(size=8).round(1).tolist()) for i in range(300)] + [(1000 + i, [1.0] * 8) for i in range(60)]
     rows += [(400, None), (420, [0.0] * 8), (440, [None] + [1.0] * 7), (460, [float("nan")] * 8), (480, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (500, [1.0, 2.0]), (501, [2.0, 1.0]), (2000, [])]
     df = spark.createDataFrame([(i, v, 0.0, 1) for i, v in rows], "vec_id long, embedding array<double>, score double, rank int")
-    found = vector_search.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard_rows=50, leaf_rows=8, block_bytes=1000)
+    found = vector_search.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard_bytes=50 * 64, leaf_rows=8, block_bytes=1000)
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in found.collect()) == brute_nearest(rows, 5)
     assert vector_search.nearest(df.limit(0), df.limit(0)).count() == 0
     assert vector_search.nearest(df, df.limit(0)).count() == 0
@@ -259,6 +259,59 @@ def test_larger_factors_find_most(spark, sf_dir):
     assert len(exact & loose) / len(exact) >= 0.9
 
 
+def clustered(rng, n, dim, clusters, width):
+    centres = rng.normal(size=(clusters, dim))
+    vectors = centres[rng.integers(0, clusters, n)] + width * rng.normal(size=(n, dim))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def found_by(tree, ids, queries, k, factor, least=None):
+    tree.scored = 0
+    q, x, score = tree.search(ids, queries, k, factor, least)
+    return set(zip(q.tolist(), x.tolist(), strict=True)), tree.scored
+
+
+def test_the_tree_prunes_clustered_vectors():
+    """Factor one is exact and scores less than half; a larger factor scores less again and finds nine of ten."""
+    rng = np.random.default_rng(5)
+    vectors, ids = clustered(rng, 8000, 16, 80, 0.1), np.arange(8000)
+    tree = vector_search.Tree(ids, vectors)
+    asked = np.arange(0, 8000, 20)
+    products = vectors[asked] @ vectors.T
+    products[np.arange(len(asked)), asked] = -np.inf
+    want = {(q, int(x)) for q, row in enumerate(products) for x in np.argsort(-row, kind="stable")[:20]}
+    exact, scored = found_by(tree, asked, vectors[asked], 20, 1.0)
+    assert exact == want and scored < 0.2 * products.size
+    loose, fewer = found_by(tree, asked, vectors[asked], 20, 3.0)
+    assert len(loose & want) >= 0.9 * len(want) and fewer < 0.8 * scored
+    # a bound from another shard prunes from the start, and keeps what reaches it
+    least = np.sort(products, 1)[:, -5]
+    bound, less = found_by(tree, asked, vectors[asked], 20, 1.0, least)
+    assert bound == {(q, x) for q, x in want if products[q, x] >= least[q]} and less <= scored
+
+
+def test_a_third_of_equal_vectors():
+    """They are one entry, whose ids count one by one."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(3000, 8))
+    vectors[1000:2000] = vectors[1000] * 4
+    ids = rng.permutation(3000)
+    tree = vector_search.Tree(ids, vectors, 16)
+    assert len(tree.vectors) == 2001
+    asked = np.array([5, 1000, 1001, 2500])
+    found, _ = found_by(tree, ids[asked], vectors[asked], 7, 1.0)
+    exact = vector_search.inner(vectors, vectors, np.repeat(asked, 3000), np.tile(np.arange(3000), 4)).reshape(4, -1)
+    assert found == {(q, int(ids[x])) for q in range(4) for x in [x for x in np.lexsort((ids, -exact[q])) if x != asked[q]][:7]}
+
+
+def test_shards_and_blocks_give_the_same(spark):
+    rng = np.random.default_rng(7)
+    vectors = (clustered(rng, 600, 8, 10, 0.2) * 16).round()  # products are exact, and there are ties
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = vector_search.nearest(df, df.where("vec_id % 20 = 0"), k=20, shard_bytes=100 * 64, leaf_rows=8, block_bytes=600).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in found) == brute_nearest([(i, v.tolist()) for i, v in enumerate(vectors)], 20)
+
+
 def test_scratch_is_cleared(spark):
     from tilewright.llm import _common
 

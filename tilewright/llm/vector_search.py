@@ -7,8 +7,11 @@ subtree is passed over when the triangle inequality shows that all it holds is
 farther than the k-th candidate found so far; `factor` multiplies that lower
 bound.  Factor one is exact, larger factors prune more and may miss some.
 
-Vectors are spread over shards by a hash of their id.  Queries are taken in
-blocks of bounded size, each sent to all shards.
+Vectors are spread over shards of bounded size by a hash of their id, and equal
+vectors of a shard are one entry of its tree, however many they are.  A query
+is first searched for in one shard, and then, with the k-th candidate's product
+as its bound, in all others.  Each of the two steps is one job, whose tasks
+hold one shard and one block of queries.
 """
 
 from __future__ import annotations
@@ -21,30 +24,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import scratch, written
+from ._common import written
 
-SHARD_ROWS = 16384
-LEAF_ROWS = 512
-BLOCK_BYTES = 8 << 20  # of the queries that are sent to all shards at once
+SHARD_BYTES = 32 << 20  # of a shard's vectors, in doubles
+BLOCK_BYTES = 16 << 20  # of a block of queries
+LEAF_ROWS = 64
 CHUNK = 512  # queries that go through a tree together
+_TRIED = 8  # rows of a node that are tried as its vantage point
+_SPREAD = 256  # rows that their distances are compared on
 
 _HITS = "query long, query_id long, vec_id long, score double"
+_NO_ID = np.iinfo(np.int64).max
 
 
 class Tree:
-    """A vantage-point tree over the rows of a matrix, kept in leaf order."""
+    """A vantage-point tree over the different rows of a matrix, kept in leaf order."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
+        vectors, of = np.unique(vectors, axis=0, return_inverse=True)
         lengths = np.einsum("ij,ij->i", vectors, vectors)
         self.longest2 = float(lengths.max())
         lifted = np.column_stack([vectors, np.sqrt(np.maximum(self.longest2 - lengths, 0))])
         self.nodes: list[tuple] = []  # (start, end, vantage, (lo, hi, child) of the near and far half) or (start, end)
-        rows = np.arange(len(ids))
+        rows = np.arange(len(vectors))
         self._grow(lifted, rows, 0, leaf_rows)
-        self.lifted = None
-        self.ids, self.vectors = ids[rows], vectors[rows]
+        self.vectors = vectors[rows]
+        place = np.empty_like(rows)
+        place[rows] = np.arange(len(rows))
+        of = place[of.reshape(-1)]
+        order = np.lexsort((ids, of))
+        # ids of entry x, rising: members[starts[x] : starts[x + 1]]
+        self.members, self.starts = ids[order], np.searchsorted(of[order], np.arange(len(rows) + 1))
+        self.first = self.members[self.starts[:-1]]
+        # the smallest id that is not the first one
+        other = np.where(self.members == np.repeat(self.first, np.diff(self.starts)), _NO_ID, self.members)
+        self.second = np.minimum.reduceat(other, self.starts[:-1])
+        self.scored = 0  # products that searches have computed
 
     def _grow(self, lifted: np.ndarray, rows: np.ndarray, start: int, leaf_rows: int) -> int:
         """Put the rows (a view, reordered here) under a new node; its number."""
@@ -52,7 +67,7 @@ class Tree:
         self.nodes.append((start, start + len(rows)))
         if len(rows) <= leaf_rows:
             return number
-        vantage = lifted[rows[len(rows) // 2]]
+        vantage = self._vantage(lifted, rows)
         distance = np.sqrt(((lifted[rows] - vantage) ** 2).sum(1))
         order = np.argsort(distance, kind="stable")
         rows[:], distance = rows[order], distance[order]
@@ -62,29 +77,59 @@ class Tree:
         self.nodes[number] = (start, start + len(rows), vantage, near, far)
         return number
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row of the query, vec_id, score) of each query's k nearest, rows of the query's own id left out."""
-        found = [self._search(query_ids[a : a + CHUNK], queries[a : a + CHUNK], k, factor, a) for a in range(0, len(queries), CHUNK)]
+    @staticmethod
+    def _vantage(lifted: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """That of a few rows whose distances to others differ most."""
+        tried = lifted[rows[np.linspace(0, len(rows) - 1, _TRIED).astype(int)]]
+        others = lifted[rows[np.linspace(0, len(rows) - 1, min(_SPREAD, len(rows))).astype(int)]]
+        distances = np.sqrt(((tried[:, None] - others[None]) ** 2).sum(2))
+        return tried[distances.std(1).argmax()]
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, vec_id, score) of each query's k nearest, rows of the query's own id left out.
+
+        least: for each query, a product below which nothing is wanted.
+        """
+        least = np.full(len(queries), -np.inf) if least is None else least
+        found = [self._search(query_ids[a : a + CHUNK], queries[a : a + CHUNK], k, factor, least[a : a + CHUNK], a) for a in range(0, len(queries), CHUNK)]
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def _search(self, query_ids, queries, k, factor, first):
+    def _search(self, query_ids, queries, k, factor, least, first):
         n = len(queries)
         length2 = np.einsum("ij,ij->i", queries, queries)
         slack = 1e-10 * np.sqrt(length2 * self.longest2)  # above what rounding can do
         lifted = np.column_stack([queries, np.zeros(n)])
-        best = np.full((n, k), -np.inf)
-        seen = np.zeros(n, np.int64) - 1  # the leaf that a query has seen already
-        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        # the best entries so far: product, smallest id that counts, place
+        best, best_id, best_at = np.full((n, k), -np.inf), np.full((n, k), _NO_ID), np.full((n, k), -1)
+        seen = np.full(n, -1)  # the leaf that a query has seen already
+
+        def bound(some: np.ndarray) -> np.ndarray:
+            return np.maximum(best[some, -1], least[some]) - slack[some]
 
         def leaf(number: int, some: np.ndarray) -> None:
             start, end = self.nodes[number][:2]
             score = queries[some] @ self.vectors[start:end].T
-            own = query_ids[some, None] == self.ids[None, start:end]
-            score[own] = -np.inf
-            top = -np.partition(-np.concatenate([best[some], score], 1), k - 1, axis=1)[:, :k]
-            best[some] = top
-            q, x = np.nonzero((score >= (top.min(1) - slack[some])[:, None]) & ~own)
-            hits.append((some[q], x + start, score[q, x]))
+            self.scored += score.size
+            own = query_ids[some]
+            id_ = np.where(self.first[None, start:end] == own[:, None], self.second[None, start:end], self.first[None, start:end])
+            score[id_ == _NO_ID] = -np.inf
+            enough = bound(some)
+            if end - start > k:
+                enough = np.maximum(enough, -np.partition(-score, k - 1, axis=1)[:, k - 1] - 2 * slack[some])
+            q, x = np.nonzero((score >= enough[:, None]) & (score > -np.inf))
+            if not len(q):
+                return
+            exact = inner(queries, self.vectors, some[q], x + start)
+            ids = id_[q, x]
+            gains, q = np.unique(q, return_inverse=True)
+            some = some[gains]
+            owner = np.concatenate([np.repeat(np.arange(len(some)), k), q])
+            value = np.concatenate([best[some].reshape(-1), exact])
+            ids = np.concatenate([best_id[some].reshape(-1), ids])
+            at = np.concatenate([best_at[some].reshape(-1), x + start])
+            order = np.lexsort((ids, -value, owner))
+            keep = order[np.arange(len(order)) - np.searchsorted(owner[order], owner[order]) < k]
+            best[some], best_id[some], best_at[some] = (a[keep].reshape(-1, k) for a in (value, ids, at))
 
         def home(number: int, some: np.ndarray) -> None:
             """The leaf on whose side each query lies."""
@@ -107,24 +152,34 @@ class Tree:
                     leaf(number, some)
                 return
             distance = np.sqrt(((lifted[some] - node[2]) ** 2).sum(1))
-            for low, high, child in node[3:]:
-                reach = np.sqrt(np.maximum(length2[some] + self.longest2 - 2 * (best[some].min(1) - slack[some]), 0))
-                bound = np.maximum(np.maximum(low - distance, distance - high), 0)
-                go = ~(factor * bound > reach * (1 + 1e-9) + 1e-9 * np.sqrt(self.longest2))
+            gaps = [np.maximum(np.maximum(low - distance, distance - high), 0) for low, high, _ in node[3:]]
+            # the half that is nearer to most comes first
+            for which in (0, 1) if (gaps[0] <= gaps[1]).mean() >= 0.5 else (1, 0):
+                reach = np.sqrt(np.maximum(length2[some] + self.longest2 - 2 * bound(some), 0))
+                go = ~(factor * gaps[which] > reach * (1 + 1e-9) + 1e-9 * np.sqrt(self.longest2))
                 if go.any():
-                    rest(child, some[go])
+                    rest(node[3 + which][2], some[go])
 
         home(0, np.arange(n))
         rest(0, np.arange(n))
-        q, x, score = (np.concatenate(p) for p in zip(*hits, strict=True))
-        near = score >= best.min(1)[q] - slack[q]
-        q, x = q[near], x[near]
-        exact = inner(queries, self.vectors, q, x)
-        order = np.lexsort((self.ids[x], -exact, q))
-        q, x, exact = q[order], x[order], exact[order]
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        keep = place < k
-        return q[keep] + first, self.ids[x[keep]], exact[keep]
+        return self._members_of(query_ids, best, best_id, best_at, k, least - slack, first)
+
+    def _members_of(self, query_ids, best, best_id, best_at, k, least, first):
+        """The k best ids of each query, from its best entries."""
+        q, place = np.nonzero((best_at >= 0) & (best >= least[:, None]))
+        score, ids, at = best[q, place], best_id[q, place], best_at[q, place]
+        more: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(q, ids, score)]
+        for i in np.flatnonzero(np.diff(self.starts)[at] > 1):
+            some = self.members[self.starts[at[i]] : self.starts[at[i] + 1]]
+            # the smallest one is there already; equal ids stand together
+            own = query_ids[q[i]]
+            some = np.concatenate([some[: np.searchsorted(some, own)][: k + 1], some[np.searchsorted(some, own, "right") :][: k + 1]])[1 : k + 1]
+            more.append((np.full(len(some), q[i]), some, np.full(len(some), score[i])))
+        q, ids, score = (np.concatenate(x) for x in zip(*more, strict=True))
+        order = np.lexsort((ids, -score, q))
+        q, ids, score = q[order], ids[order], score[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[keep] + first, ids[keep], score[keep]
 
 
 def inner(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -152,20 +207,36 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """One row for each shard and dimension: dim, tree. Every usable vector is in one."""
-    rows = usable(vectors, id_col, vector_col)
-    shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("dim", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard_bytes: int = SHARD_BYTES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """One row for each shard and dimension: dim, shard, shards (their number), tree. Every usable vector is in one."""
+    rows = usable(vectors, id_col, vector_col).withColumn("dim", F.size("v"))
+    shards = max(1, -(-(rows.agg(F.sum("dim")).first()[0] or 0) * 8 // shard_bytes))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
 
     def grow(group: pa.Table) -> pa.Table:
         tree = Tree(group["vec_id"].to_numpy(), _matrix(group["v"]), leaf_rows)
-        return pa.table({"dim": pa.array([group["dim"][0].as_py()], pa.int32()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+        return pa.table({"dim": group["dim"][:1], "shard": group["shard"][:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    return rows.groupBy("dim", "shard").applyInArrow(grow, "dim int, shard int, tree binary").withColumn("shards", F.lit(shards))
+
+
+def _searched(index: DataFrame, asked: DataFrame, blocks: int, k: int, factor: float) -> DataFrame:
+    """Hits of rows query, vec_id, v, dim, least, shard in their shards."""
+
+    def search(asked: pa.Table, tree: pa.Table) -> pa.Table:
+        schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        if not asked.num_rows or not tree.num_rows:
+            return schema.empty_table()
+        numbers, ids = asked["query"].to_numpy(), asked["vec_id"].to_numpy()
+        q, x, score = pickle.loads(tree["tree"][0].as_py()).search(ids, _matrix(asked["v"]), k, factor, asked["least"].to_numpy())
+        return pa.table([numbers[q], ids[q], x, score], schema=schema)
 
-    return rows.groupBy("dim", "shard").applyInArrow(grow, "dim int, tree binary")
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
+    spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return asked.groupBy("dim", "shard", "block").cogroup(spread.groupBy("dim", "shard", "block")).applyInArrow(search, _HITS)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float = 1.0, id_col: str = "vec_id", vector_col: str = "embedding", shard_bytes: int = SHARD_BYTES, leaf_rows: int = LEAF_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of vectors with the largest inner product with each row of queries.
 
     Nearest first, ties to the smaller vec_id; fewer than k where there are not
@@ -176,37 +247,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     Without a query or without a vector the result is empty.
     """
     spark = vectors.sparkSession
-    index = written(build_index(vectors, id_col, vector_col, shard_rows, leaf_rows), "vp-index")
-    asked = written(usable(queries, id_col, vector_col).withColumn("query", F.monotonically_increasing_id()), "queries")
-    n, dim = asked.agg(F.count("*"), F.max(F.size("v"))).first()
-    empty = spark.createDataFrame([], _HITS)
-    blocks = -(-n * 8 * (dim or 1) // block_bytes)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(max(1, blocks))))
-    shards = max(1, index.count())
-    root = scratch(spark, "hits")
-    for block in range(blocks):
-        part = asked.where(F.col("block") == block).toArrow()
-        if not part.num_rows:
-            continue
-        by_dim = {}
-        dims = np.array([len(v) for v in part["v"]])
-        for d in np.unique(dims):
-            at = pa.array(np.flatnonzero(dims == d))
-            some = part.take(at)
-            by_dim[int(d)] = (some["query"].to_numpy(), some["vec_id"].to_numpy(), _matrix(some["v"]))
-        sent = spark.sparkContext.broadcast(by_dim)
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for d, blob in zip(batch["dim"], batch["tree"], strict=True):
-                    if (asked := sent.value.get(d.as_py())) is not None:
-                        numbers, ids, matrix = asked
-                        q, x, score = pickle.loads(blob.as_py()).search(ids, matrix, k, factor)
-                        yield pa.RecordBatch.from_arrays([pa.array(numbers[q]), pa.array(ids[q]), pa.array(x), pa.array(score)], names=["query", "query_id", "vec_id", "score"])
-
-        index.repartition(shards).mapInArrow(search, _HITS).write.parquet(f"{root}/block={block}")
-        sent.unpersist()
-    hits = spark.read.schema(empty.schema).parquet(f"{root}/block=*") if n else empty
+    index = written(build_index(vectors, id_col, vector_col, shard_bytes, leaf_rows), "vp-index")
+    asked = usable(queries, id_col, vector_col).withColumn("query", F.monotonically_increasing_id()).withColumn("dim", F.size("v"))
+    asked = written(asked, "queries")
+    size = (asked.agg(F.sum("dim")).first()[0] or 0) * 8
+    shards = index.agg(F.max("shards")).first()[0]
+    if not size or not shards:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    home = asked.withColumn("least", F.lit(float("-inf"))).withColumn("shard", F.pmod(F.xxhash64("query"), F.lit(shards)).cast("int"))
+    hits = written(_searched(index, home, -(-size // (block_bytes * shards)), k, factor), "hits")
+    if shards > 1:
+        known = hits.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k).select("query", "least")
+        rest = home.drop("least").withColumnRenamed("shard", "home").join(known, "query", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").drop("home")
+        hits = hits.unionByName(written(_searched(index, rest, -(-size // block_bytes), k, factor), "more-hits"))
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
