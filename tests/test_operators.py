@@ -185,3 +185,55 @@ def test_checkpoints_and_tasks(spark, tmp_path):
     assert [r[0] for r in t.limit(2).select(tasks.is_complete(F.col("completed_requests"), F.col("total_requests"), F.lit(0))).collect()] == [True, False]
     samples = spark.createDataFrame([("d", 1), ("d", 2)], "dataset_path string, sample_id int")
     assert tasks.total_requests(tasks.freeze(samples, str(tmp_path / "frozen")), 3, 2) == 12
+
+
+def test_scratch_tables_go_when_nothing_reads_them(spark):
+    import gc
+    import os
+
+    from tilewright import scratch
+
+    a = scratch.written(spark.range(5), "a")
+    b = a.where("id > 1")
+    path_a = a.scratch_path.removeprefix("file://")
+    del a
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    scratch.sweep(spark)
+    assert b.count() == 3  # b still reads it
+    del b
+    for _ in range(10):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        scratch.sweep(spark)
+    assert not os.path.exists(path_a)
+    c = scratch.written(spark.range(5), "c")
+    scratch.drop(c)
+    assert not os.path.exists(c.scratch_path.removeprefix("file://"))
+
+
+def test_where_results_are(spark, tmp_path):
+    for name in ("b", "a", "empty"):
+        (tmp_path / name).mkdir()
+    for name in ("b", "a"):
+        (tmp_path / name / "complete_test_results.json").write_text("{}")
+        (tmp_path / name / "temp_progress_1.json").write_text("{}")
+    root = str(tmp_path)
+    assert results.result_paths(spark, root) == [f"{root}/{n}/complete_test_results*.json" for n in "ab"]
+    assert results.result_paths(spark, f"{root}/a") == [f"{root}/a/complete_test_results*.json"]
+    assert results.result_paths(spark, f"{root}/a/complete_test_results.json") == [f"{root}/a/complete_test_results.json"]
+    assert results.result_paths(spark, f"{root}/empty") == results.result_paths(spark, f"{root}/none") == []
+
+
+def test_reports_refuse_too_many_models(spark, monkeypatch):
+    monkeypatch.setattr(results, "MOST_MODELS", 2)
+    assert len(results.report(spark.createDataFrame([("a", 1.0), ("b", 2.0)], "model string, score double"))) == 6
+    with pytest.raises(ValueError):
+        results.report(spark.createDataFrame([(m, 1.0) for m in "abc"], "model string, score double"))
+
+
+def test_progress_files_are_cleaned_up(spark, tmp_path):
+    for name in ("temp_progress_1.json", "temp_progress_2-00001.json", "complete_test_results.json"):
+        (tmp_path / name).write_text("{}")
+    tasks.clean_up(spark, str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["complete_test_results.json"]

@@ -2,6 +2,7 @@
 
 import pytest
 
+from tilewright.plans import files, files_oracle  # noqa: F401  register their queries
 from tilewright.plans.oracle import ORACLE_SQL
 from tilewright.plans.queries import QUERIES
 

@@ -103,8 +103,10 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) == ""
 
 
-def score(answer: Column, gold: Column, correct: float = 1.0, wrong: float = 0.0) -> Column:
-    hit = (F.coalesce(answer, F.lit("")) != "") & (F.coalesce(gold, F.lit("")) != "") & (extract_answer(answer) == strip(gold))
+def score(answer: Column, gold: Column, correct: float = 1.0, wrong: float = 0.0, extracted: Column | None = None) -> Column:
+    """correct if the extracted answer (worked out here if it is not given) is the gold answer, else wrong."""
+    found = extract_answer(answer) if extracted is None else extracted
+    hit = (F.coalesce(answer, F.lit("")) != "") & (F.coalesce(gold, F.lit("")) != "") & (found == strip(gold))
     return F.when(hit, F.lit(float(correct))).otherwise(F.lit(float(wrong)))
 
 
@@ -123,6 +125,13 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, r'[<>:"/\\|?*]', "_")
 
 
+def ratios_are_valid(early: Column, mid: Column, late: Column) -> Column:
+    """valid_ratios() of numbers in columns; null is not valid."""
+    parts = [early, mid, late]
+    inside = parts[0].between(0, 1) & parts[1].between(0, 1) & parts[2].between(0, 1)
+    return F.coalesce(inside & (F.abs(early + mid + late - 1) < 0.001), F.lit(False))
+
+
 def valid_ratios(ratios: dict[str, float]) -> bool:
     """Whether the ratios are for early, mid and late, each 0 to 1, and add up to 1."""
     if set(ratios) != {"early", "mid", "late"}:

@@ -5,6 +5,7 @@ A request is one (model, dataset_path, sample_id, eval_id).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -30,12 +31,12 @@ def work_list(models: DataFrame, samples: DataFrame, eval_times: int) -> DataFra
 
 def pending(work: DataFrame, done: DataFrame) -> DataFrame:
     """The requests of the work list that are not done."""
-    return work.join(done.select(*KEYS).distinct(), KEYS, "left_anti")
+    return work.join(done.select(*KEYS), KEYS, "left_anti")
 
 
 def restrict(samples: DataFrame, allowed: DataFrame) -> DataFrame:
     """The samples that some allowed request is for."""
-    return samples.join(allowed.select("dataset_path", "sample_id").distinct(), ["dataset_path", "sample_id"], "left_semi")
+    return samples.join(allowed.select("dataset_path", "sample_id"), ["dataset_path", "sample_id"], "left_semi")
 
 
 def request_order() -> list[Column]:
@@ -73,9 +74,34 @@ def predict(requests: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], s
     return requests.mapInPandas(run, schema)
 
 
+def predict_timed(requests: DataFrame, ask: Callable[[dict], dict]) -> DataFrame:
+    """requests with answer and the three token counts, which ask() gives for one request, and start_ts, end_ts and seconds of the call.
+
+    A call that raises is timed too, and counts as an empty answer without tokens.
+    """
+    counts = ("prompt_tokens", "completion_tokens", "total_tokens")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for request in batch.to_dict("records"):
+                start, clock = time.time(), time.perf_counter()
+                try:
+                    given = ask(request)
+                except Exception:  # a model that fails must not end the run
+                    given = {}
+                seconds = time.perf_counter() - clock
+                rows.append(request | {"answer": given.get("answer", "")} | {c: int(given.get(c, 0)) for c in counts} | {"start_ts": pd.Timestamp(start, unit="s").floor("us"), "end_ts": pd.Timestamp(start + seconds, unit="s").floor("us"), "seconds": seconds})
+            yield pd.DataFrame(rows, columns=[*batch.columns, "answer", *counts, "start_ts", "end_ts", "seconds"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
+    return requests.mapInPandas(run, f"{schema}, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double")
+
+
 def scored(responses: DataFrame, correct: float = 1.0, wrong: float = 0.0) -> DataFrame:
     """responses (with answer and gold) with extracted and score."""
-    return responses.withColumn("extracted", extract_answer(F.col("answer"))).withColumn("score", score(F.col("answer"), F.col("gold"), correct, wrong))
+    found = responses.withColumn("extracted", extract_answer(F.col("answer")))
+    return found.withColumn("score", score(F.col("answer"), F.col("gold"), correct, wrong, F.col("extracted")))
 
 
 def split_empty(responses: DataFrame, filter_empty: bool) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from ..functions.text import ANSWER_MARK, TASK_MARK
-from ..functions.tiles import ROUND_NUMBERS, TILE_NAMES, WIND_NAMES
+# Fixed values, written out here too, so that a wrong one in the functions shows.
+ANSWER_MARK, TASK_MARK = "答案：", "[任务]"
+TILE_NAMES = "1万 2万 3万 4万 5万 6万 7万 8万 9万 1筒 2筒 3筒 4筒 5筒 6筒 7筒 8筒 9筒 1索 2索 3索 4索 5索 6索 7索 8索 9索 东 南 西 北 白 发 中".split()
+WIND_NAMES, ROUND_NUMBERS = "东 南 西 北".split(), "一 二 三 四".split()
 
 
 def _list(values) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Positions in the table, and the defaults of missing values.
@@ -13,15 +13,16 @@ GAME_ID = 511
 
 
 def read_boards(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
-    """The Parquet file, or all *.parquet files of the folder, with the file's path as source_file."""
-    reader = spark.read.option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", str(skip_unreadable).lower())
-    return reader.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
+    """The Parquet file, or all *.parquet files of the folder, with the file's path as source_file and the row's place in it, from 0, as source_row."""
+    skip = str(skip_unreadable).lower()
+    # the schema is taken from all files then, since the first one may be one that can't be read
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", skip).option("mergeSchema", skip)
+    return reader.parquet(path).withColumns({"source_file": F.col("_metadata.file_path"), "source_row": F.col("_metadata.row_index")})
 
 
-def limit_per_file(df: DataFrame, n: int, file: str = "source_file", order: str | Column = "game_id") -> DataFrame:
-    """The first n rows of each file."""
-    place = Window.partitionBy(file).orderBy(order)
-    return df.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= n).drop("_place")
+def limit_per_file(df: DataFrame, n: int, row: str = "source_row") -> DataFrame:
+    """The first n rows of each file, by their place in it; no rows are moved for it."""
+    return df.where(F.col(row) < n)
 
 
 def column_at(df: DataFrame, i: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from . import files
 
 
 def read_lines(spark: SparkSession, path: str, keep_empty: bool = False) -> DataFrame:
@@ -25,8 +26,11 @@ def to_line(text: str = "text") -> Column:
     return F.to_json(F.struct(F.col(text).alias("text")))
 
 
-def write_lines(df: DataFrame, path: str, text: str = "text") -> None:
+def write_lines(df: DataFrame, path: str, text: str = "text", name: str | None = None) -> None:
+    """A line for each row; with a name the files are name.jsonl, or name-00000.jsonl and so on where there are several."""
     df.select(to_line(text).alias("value")).write.mode("overwrite").text(path)
+    if name is not None:
+        files.name_files(df.sparkSession, path, lambda k, n: f"{name}-{k:05d}.jsonl" if n > 1 else f"{name}.jsonl")
 
 
 def write_parts(df: DataFrame, path: str, part: str, order: str, line: str = "line") -> None:
@@ -38,3 +42,20 @@ def write_parts(df: DataFrame, path: str, part: str, order: str, line: str = "li
 def write_buckets(df: DataFrame, path: str, bucket: str = "bucket", line: str = "line") -> None:
     """One folder for each bucket, in as many files as there are tasks."""
     df.select(F.col(bucket), F.col(line).alias("value")).write.mode("overwrite").partitionBy(bucket).text(path)
+
+
+def write_part_files(df: DataFrame, path: str, part: str, order: str, prefix: str, line: str = "line") -> None:
+    """write_parts() as files prefix_00000.jsonl and so on."""
+    write_parts(df, path, part, order, line)
+    files.name_folders(df.sparkSession, path, part, lambda v: f"{prefix}_{int(v):05d}", ".jsonl")
+
+
+def write_bucket_files(df: DataFrame, path: str, bucket: str = "bucket", line: str = "line") -> None:
+    """write_buckets() as files named after the buckets, numbered where a bucket has several."""
+    write_buckets(df, path, bucket, line)
+    files.name_folders(df.sparkSession, path, bucket, lambda v: v, ".jsonl")
+
+
+def write_balanced(df: DataFrame, path: str, line: str = "line") -> None:
+    """The files of sampling.rebalance(), train_balanced_00000.jsonl and so on, each shuffled within."""
+    write_part_files(df, path, "file_no", "place", "train_balanced", line)
