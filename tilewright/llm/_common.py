@@ -1,65 +1,21 @@
-"""What the operators share: reading tables, and cutting lineage by a written table."""
+"""What the operators share."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import clear, drop, scratch, written  # noqa: F401  the operators take them from here
 from ..sources.tables import read_table
 
 #: Words are split at the space and at the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
-_own: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name, spread=name in ("documents", "pages"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        _own[app] = tempfile.mkdtemp(prefix="tilewright-")
-        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(f"file://{_own[app]}")
-    return f"file://{_own[app]}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the application's part of the shared folder."""
-    return f"{_part(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def _part(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/tilewright/{spark.sparkContext.applicationId}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df, written to the shared folder and read back: computed once, with a short lineage, and safe when executors are lost."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clear(spark: SparkSession) -> None:
-    """Delete what this application has written to the shared folder. Results that have not been stored yet can't be read after that."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_part(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def crc_mod(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % n

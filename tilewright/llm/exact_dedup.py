@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import SPACES, written
+from ._common import SPACES, drop, written
 
 _PREFIX = 32  # characters of a text in the splitters' key
 
@@ -36,14 +36,14 @@ def normalised(text: str | Column) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), SPACES, " ")
 
 
-def _sorted_texts(docs: DataFrame, id_col: str, text_col: str, keep: list[str], partitions: int | None) -> DataFrame:
-    """Columns doc_id, text, text_sha256, part, and those in keep, sorted by content within numbered partitions of ranges of contents."""
+def _sorted_texts(docs: DataFrame, id_col: str, text_col: str, keep: list[str], partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """(rows, the table that they are read from). Columns doc_id, text, text_sha256, part, and those in keep, sorted by content within numbered partitions of ranges of contents."""
     # under names of our own, whatever the others are
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
     rows = written(rows.withColumn("text_sha256", F.sha2(normalised("text"), 256)).withColumn("prefix", F.substring(normalised("text"), 1, _PREFIX)), "hashed")
     keys = [F.col("prefix"), F.col("text_sha256"), F.col("doc_id").asc_nulls_last()]
     parts = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
-    return parts.sortWithinPartitions(*keys).drop("prefix").withColumn("part", F.spark_partition_id())
+    return parts.sortWithinPartitions(*keys).drop("prefix").withColumn("part", F.spark_partition_id()), rows
 
 
 def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
@@ -121,7 +121,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     come last.  Of rows that also share the id exactly one is kept.  An empty
     table gives an empty result.  Other columns are not looked at.
     """
-    runs = written(_sorted_texts(docs, id_col, text_col, [], partitions).mapInArrow(_runs, _RUNS), "runs")
+    rows, hashed = _sorted_texts(docs, id_col, text_col, [], partitions)
+    runs = written(rows.mapInArrow(_runs, _RUNS), "runs")
+    drop(hashed)
     # at most two of these for each partition
     of_text = Window.partitionBy("border")
     cut = runs.where("border IS NOT NULL").select("part", "run", F.min("run_keep").over(of_text).alias("all_keep"), F.sum("run_size").over(of_text).alias("all_size"), (F.row_number().over(of_text.orderBy("part", "run")) == 1).alias("leads"))
@@ -163,9 +165,11 @@ def _firsts(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
     """The rows of docs that exact_duplicates() keeps, with all their columns; names that differ only in case are not allowed."""
     others = [c for c in docs.columns if c != text_col]
-    rows = _sorted_texts(docs, id_col, text_col, others, partitions)
-    schema = rows.drop("text_sha256").schema.add("border", "string")
-    firsts = written(rows.drop("text_sha256").mapInArrow(_firsts(rows.drop("text_sha256").columns), schema), "firsts")
+    rows, hashed = _sorted_texts(docs, id_col, text_col, others, partitions)
+    rows = rows.drop("text_sha256")
+    names = rows.columns
+    firsts = written(rows.mapInArrow(_firsts(names), rows.schema.add("border", "string")), "firsts")
+    drop(hashed)
     order = Window.partitionBy("border").orderBy(F.col("doc_id").asc_nulls_last(), "part")
     cut = firsts.where("border IS NOT NULL").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
     kept = firsts.where("border IS NULL").unionByName(cut)
