@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ._common import SPACES, drop, written
 
@@ -168,7 +169,7 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows, hashed = _sorted_texts(docs, id_col, text_col, others, partitions)
     rows = rows.drop("text_sha256")
     names = rows.columns
-    firsts = written(rows.mapInArrow(_firsts(names), rows.schema.add("border", "string")), "firsts")
+    firsts = written(rows.mapInArrow(_firsts(names), StructType([*rows.schema.fields, StructField("border", StringType())])), "firsts")
     drop(hashed)
     order = Window.partitionBy("border").orderBy(F.col("doc_id").asc_nulls_last(), "part")
     cut = firsts.where("border IS NOT NULL").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
