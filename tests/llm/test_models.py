@@ -76,6 +76,52 @@ def test_near_duplicates(spark, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def chain(n, words, shift):
+    """Texts of which neighbours share most words, but none is a near copy of another; each fifth has one of its own."""
+    line = [f"c{i}" for i in range(n * shift + words)]
+    texts = [" ".join(line[i * shift : i * shift + words]) for i in range(n)]
+    return texts + [t + " and more" for t in texts[::5]]
+
+
+def test_a_chained_group_takes_work_in_proportion(spark, monkeypatch):
+    """One candidate group of unlike classes: what is compared grows with their number, not with its square, and no link is lost."""
+    kept = {}
+    write = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: kept.setdefault(name, []).append(write(df, name)) or kept[name][-1])
+    work = []
+    for n in (700, 2800):
+        kept.clear()
+        texts = chain(n, 144, 20)
+        rng = random.Random(n)
+        ids = rng.sample(range(10 * n), len(texts))
+        docs = documents(spark, [(i, t, None, None) for i, t in zip(ids, texts, strict=True)])
+        found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, block_texts=64).collect()}
+        want = {i: i for i in ids}
+        for k in range(n, len(texts)):
+            pair = ids[(k - n) * 5], ids[k]
+            want |= dict.fromkeys(pair, min(pair))
+        assert found == want
+        assert max(r.texts for r in kept["sizes"][0].collect()) > n // 2  # it is one group, or nearly
+        compared = sum(r.n * r.rests for r in kept["buckets"][0].collect())
+        work.append(compared / len(texts))
+    assert work[1] < 1.5 * work[0]
+
+
+def test_blocks_and_hot_keys_give_the_same(spark, monkeypatch):
+    """Keys beyond HOT are dealt out; bands with more classes than a block are cut in a grid."""
+    from tilewright.llm import _components
+
+    rng = random.Random(8)
+    texts = family(rng, 60, 120, 14) + family(rng, 40, 60, 2) + ["one text"] * 30 + [None] * 30 + [""] * 5
+    rows = [(2000 - i, t) for i, t in enumerate(texts)] + [(5, texts[3]), (6, texts[70])]
+    docs = documents(spark, [(i, t, None, None) for i, t in rows])
+    want = brute_components(rows)
+    monkeypatch.setattr(near_dedup, "HOT", 10)
+    monkeypatch.setattr(_components, "HOT", 10)
+    found = near_dedup.near_duplicates(docs, block_texts=5).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
+
+
 def test_near_duplicates_edges(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
     rows = near_dedup.near_duplicates(documents(spark, [(None, "a b c d e f", None, None), (3, "a b c d e f", None, None), (3, "a b c d e f", None, None), (2, "", None, None)])).collect()

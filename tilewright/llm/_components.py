@@ -8,6 +8,24 @@ from pyspark.sql import functions as F
 from ._common import written
 
 ROUNDS = 60
+HOT = 1000  # rows beyond which a key is dealt out to several tasks
+SALTS = 32
+
+
+def joined(rows: DataFrame, of_key: DataFrame, key: list[str], hot: bool) -> DataFrame:
+    """rows with the columns of of_key, which has one row for each key and, as n, how many of rows have it.
+
+    hot: whether some n is above HOT.  Rows of such keys are dealt to SALTS
+    tasks, and what belongs to the key goes to each; rows of other keys are
+    joined as usual.  That is a choice of plan, and the rows are the same.
+    """
+    if not hot:
+        return rows.join(of_key.drop("n"), key)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    heavy = of_key.where(F.col("n") > HOT).drop("n").withColumn("_heavy", F.lit(True)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    both = rows.withColumn("_salt", salt).join(heavy, [*key, "_salt"], "left")
+    rest = both.where("_heavy IS NULL").select(*rows.columns).join(of_key.where(F.col("n") <= HOT).drop("n"), key)
+    return both.where("_heavy").drop("_heavy", "_salt").unionByName(rest)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,25 +37,27 @@ def components(edges: DataFrame) -> DataFrame:
     edges of one node need not be in one task.  It is over when every node has
     one edge, to a node that has none of its own.
     """
-    edges = written(_small(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")), "stars")
+    edges = written(_small(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"), False), "stars")
     for _ in range(ROUNDS):
         ends = edges.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
-        open_ = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1")
-        if open_.agg(F.count("*")).first()[0] == 0:
+        nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"), F.count("*").alias("n"))
+        open_, most = nodes.agg(F.count_if((F.col("up") > 1) | (F.col("up") == 1) & (F.col("down") == 1)), F.max("n")).first()
+        if open_ == 0:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        edges = written(_small(_large(edges)), "stars")
+        hot = most > HOT
+        edges = written(_small(_large(edges, hot), hot), "stars")
     raise RuntimeError(f"no components after {ROUNDS} rounds")
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, hot: bool) -> DataFrame:
     both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+    return joined(both, least, ["a"], hot).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, hot: bool) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
     # each smaller neighbour goes to m, and so does the node itself, which its row with m itself stands for
-    handed = down.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    handed = joined(down, least, ["a"], hot).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
     return handed.distinct()

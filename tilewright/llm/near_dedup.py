@@ -8,11 +8,14 @@ group.  Within a group every link that can exist is decided on the texts' full
 shingle sets, so groups only have to be large enough, never exact.
 
 Texts with equal shingle sets are one class, and only one of a class is
-compared.  A group with many classes is cut into blocks of bounded size: first
-each block is linked within itself and with a few hubs of its group; then those
-classes that are not in their group's largest component are compared with all
-blocks.  Tasks hold one or two blocks and give links that join two components,
-at most one for each class, not pairs.
+compared.  A group with many classes is cut into blocks of bounded size, and
+each block is linked within itself and with a few hubs of its group, by at most
+one link for each class, not pairs.  What links are left lead from classes that
+are not in their group's largest component.  These are compared, by signature,
+with the classes of other components that share a band with them, since pairs
+without a common band are out of the method's reach anyway; a band with more
+classes than a block is cut into a grid of blocks.  Pairs whose signatures
+agree enough are verified on their texts.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import written
-from ._components import components
+from ._components import HOT, components, joined
 from ._shingles import mix, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -35,7 +38,7 @@ PLACES = 21
 BLOCK_TEXTS = 1024
 BLOCK_SHINGLES = 1 << 20
 HUBS = 16
-SLACK = 5.5  # standard deviations by which the estimate may be below the threshold
+SLACK = 7.0  # standard deviations by which the estimate may be below the threshold
 _SEED = 0xC1AC
 _U = np.uint64
 
@@ -122,6 +125,28 @@ class _Forest:
         self.tree[self.root(i)] = self.root(j)
 
 
+def _short_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of 16-bit coordinates for each set."""
+    minhash = _circulant(BANDS * ROWS)
+    return np.array([minhash.signature(s) & 0xFFFF for s in sets], np.uint16).reshape(len(sets), minhash.size)
+
+
+def _least_agreeing(threshold: tuple[int, int]) -> float:
+    """How many coordinates agree, at least, if two sets are as similar as the threshold, but for SLACK."""
+    share, size = threshold[0] / threshold[1], BANDS * ROWS
+    return (share - SLACK * (share * (1 - share) / size) ** 0.5) * size
+
+
+def _similar(a: np.ndarray, b: np.ndarray, threshold: tuple[int, int]) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return threshold[1] * both >= threshold[0] * (len(a) + len(b) - both)
+
+
 class _Texts:
     """Shingle sets and signatures of the rows of a table (doc_id, text, h1, h2), by size; each class once."""
 
@@ -143,10 +168,8 @@ class _Texts:
         self.ids = np.array(ids, np.int64)[self.rows] if len(self.rows) else np.zeros(0, np.int64)
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.threshold = threshold
-        share = threshold[0] / threshold[1]
-        minhash = _circulant(BANDS * ROWS)
-        self.signatures = np.array([minhash.signature(s) & 0xFFFF for s in self.sets], np.uint16).reshape(len(self.sets), -1)
-        self.least = (share - SLACK * (share * (1 - share) / minhash.size) ** 0.5) * minhash.size
+        self.signatures = _short_signatures(self.sets)
+        self.least = _least_agreeing(threshold)
 
     def reach(self, i: int) -> int:
         """End of the texts that are not too large for text i to link with, from i on."""
@@ -160,12 +183,7 @@ class _Texts:
         return others[near][np.argsort(-agree[near], kind="stable")]
 
     def linked(self, i: int, j: int) -> bool:
-        a, b = self.sets[i], self.sets[j]
-        if len(a) > len(b):
-            a, b = b, a
-        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-        both = int((b[at] == a).sum())
-        return self.threshold[1] * both >= self.threshold[0] * (len(a) + len(b) - both)
+        return _similar(self.sets[i], self.sets[j], self.threshold)
 
 
 def _link_block(texts: _Texts) -> list[tuple[int, int]]:
@@ -181,21 +199,6 @@ def _link_block(texts: _Texts) -> list[tuple[int, int]]:
     return [(i, least[forest.root(i)]) for i in range(len(texts.sets)) if least[forest.root(i)] != i]
 
 
-def _link_across(texts: _Texts, labels: np.ndarray, home: np.ndarray, rest: np.ndarray, asking: np.ndarray) -> list[tuple[int, int]]:
-    """Links between different labels: of asking texts (which are all in rest) with all texts of other home blocks."""
-    forest, out = _Forest(labels), []
-    for i in np.flatnonzero(asking):
-        low = int(np.searchsorted(texts.sizes, -(-texts.sizes[i] * texts.threshold[0] // texts.threshold[1])))
-        others = np.arange(low, texts.reach(i))
-        # two of the rest meet twice, once from each side
-        others = others[(home[others] != home[i]) & (labels[others] != labels[i]) & (~rest[others] | (texts.ids[others] > texts.ids[i]))]
-        for j in texts.likely(i, others):
-            if forest.root(i) != forest.root(j) and texts.linked(i, j):
-                forest.join(i, j)
-                out.append((int(i), int(j)))
-    return out
-
-
 def _links(texts: _Texts, found: list[tuple[int, int]]) -> pa.Table:
     i, j = np.array(found, np.int64).reshape(-1, 2).T
     return pa.table({"a": texts.ids[i], "b": texts.ids[j]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
@@ -218,20 +221,21 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
         raise ValueError("the bands are made for thresholds of 0.8 and more")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = written(_signed(rows, BANDS, ROWS, width), "signatures")
-    named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = written(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "classes")
+    takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    classes = signed.where(takes_part).groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    classes = written(classes, "classes")
     banded = classes.select("rep", F.explode("bands").alias("band"))
-    centres = banded.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1").select("band", "b")
-    candidates = banded.join(centres, "band").select(F.col("rep").alias("a"), "b")
+    centres = written(banded.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1"), "centres")
+    candidates = joined(banded, centres, ["band"], _hot(centres)).select(F.col("rep").alias("a"), "b")
     groups = components(candidates)
     roots = groups.select(F.col("component").alias("rep"), F.col("component").alias("cluster")).distinct()
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).unionByName(roots)
 
-    members = groups.join(classes.select("rep", "n_shingles", "h1", "h2"), "rep")
-    members = written(members, "members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("texts"), F.sum("n_shingles").alias("shingles"))
-    sizes = sizes.select("cluster", "texts", F.greatest(F.ceil(F.col("texts") / block_texts), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks"))
-    placed = members.join(sizes, "cluster").select(
+    members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2"), "rep"), "members")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    sizes = written(sizes.select("cluster", "n", F.col("n").alias("texts"), F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")), "sizes")
+    many = sizes.where("blocks > 1").limit(1).count() > 0
+    placed = joined(members, sizes, ["cluster"], _hot(sizes)).select(
         "rep", "cluster", "h1", "h2", "n_shingles", "blocks",
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
         ((F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("hub"), "rep"), F.greatest(F.lit(1), F.floor(F.col("texts") / HUBS))) == 0)).alias("hub"),
@@ -239,7 +243,6 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     placed = written(placed, "placed")
     # the texts of the groups alone, since all that follows needs no others
     texts = placed.select("rep").join(rows.withColumnRenamed("doc_id", "rep").where("rep IS NOT NULL"), "rep")
-    many = placed.where("blocks > 1").limit(1).count() > 0
     if many:
         texts = written(texts, "texts")
 
@@ -256,36 +259,113 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     found = links.where("whole").select(F.col("a").alias("node"), F.col("b").alias("component"))
     if many:
         known = components(links.where("NOT whole"))
-        more = _across(placed.where("blocks > 1"), texts, known, width, threshold, block_texts, block_shingles)
+        more = _across(placed.where("blocks > 1"), texts, classes, known, width, threshold, block_texts)
         found = found.unionByName(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
-    of_class = classes.select("h1", "h2", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    of_class = of_class.select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "h1", "h2").join(of_class, ["h1", "h2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    of_class = classes.select("h1", "h2", "n", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    of_class = of_class.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
+    kept = F.col("doc_id") == F.col("component")
+    linked = joined(signed.where(takes_part).select("doc_id", "n_shingles", "h1", "h2"), of_class, ["h1", "h2"], _hot(classes))
+    alone = signed.where(~takes_part).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return linked.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")).unionByName(alone)
+
 
+def _hot(of_key: DataFrame) -> bool:
+    """Whether a key has so many rows that they are to be dealt out."""
+    return of_key.where(F.col("n") > HOT).limit(1).count() > 0
 
-def _across(placed: DataFrame, texts: DataFrame, known: DataFrame, width: int, threshold: tuple[int, int], block_texts: int, block_shingles: int) -> DataFrame:
-    """Links between blocks of one group that the first round has not found."""
+
+_PIECES = "cluster long, band long, turn int, block int, asking boolean, rep long, component long, rest boolean, n_shingles long, signature binary"
+
+
+def _across(placed: DataFrame, texts: DataFrame, classes: DataFrame, known: DataFrame, width: int, threshold: tuple[int, int], block_texts: int) -> DataFrame:
+    """Links between components of one group that the first round has not found."""
     labelled = placed.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = written(labelled, "labelled")
+    labelled = written(labelled.select("rep", "cluster", "h1", "h2", "n_shingles", "component"), "labelled")
     by_component = labelled.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-    largest = by_component.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-    labelled = labelled.join(largest, "cluster").withColumn("rest", F.col("component") != F.col("largest"))
-    counts = labelled.where("rest").groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_texts), F.ceil(F.sum("n_shingles") / block_shingles)).cast("int").alias("rests"))
-    labelled = written(labelled.join(counts, "cluster"), "rests")  # groups that are one component drop out
-    common = [*map(F.col, ("rep", "cluster", "h1", "h2", "component", "rest")), F.col("block").alias("home")]
-    asked = labelled.select(*common, F.col("block"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("turn"), F.lit(False).alias("asking"))
-    asking = labelled.where("rest").select(*common, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64(F.lit("rest"), "rep"), F.col("rests")).cast("int").alias("turn"), F.lit(True).alias("asking"))
-
-    def between(table: pa.Table) -> pa.Table:
-        # a text that is in both parts is asking
-        table = table.sort_by([("asking", "descending")])
-        some = _Texts(table, width, threshold)
-        picked = table.take(pa.array(some.rows))
-        labels, home = picked["component"].to_numpy(), picked["home"].to_numpy()
-        rest, asks = (picked[c].to_numpy(zero_copy_only=False) for c in ("rest", "asking"))
-        return _links(some, _link_across(some, labels, home, rest, asks))
+    largest = by_component.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.sum("n").alias("n"), F.count("*").alias("components")).where("components > 1").drop("components")
+    labelled = joined(labelled, largest, ["cluster"], _hot(largest)).withColumn("rest", F.col("component") != F.col("largest")).drop("largest")
+    labelled = written(labelled, "open")  # groups that are one component have dropped out
+    signed = labelled.select("rep", "h1", "h2").join(texts, "rep").mapInArrow(_signing(width), "rep long, h1 long, h2 long, signature binary, text string")
+    own = written(signed.dropDuplicates(["rep", "h1", "h2"]), "own-texts")
+
+    banded = labelled.join(classes.select("rep", "bands"), "rep").select("rep", "cluster", "component", "rest", "n_shingles", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("cluster", "band").agg(F.count("*").alias("n"), F.count_if("rest").alias("rests"), F.min("component").alias("low"), F.max("component").alias("high")).where("rests > 0 AND low <> high")
+    buckets = buckets.select("cluster", "band", "n", "rests", F.ceil(F.col("n") / block_texts).cast("int").alias("blocks"), F.ceil(F.col("rests") / block_texts).cast("int").alias("turns"))
+    buckets = written(buckets, "buckets")
+    chosen = written(joined(banded, buckets.drop("rests"), ["cluster", "band"], _hot(buckets)), "chosen")
+    place = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    common = [F.col(c) for c in ("cluster", "band", "rep", "component", "rest", "n_shingles")]
+    asked = chosen.select(*common, place("blocks").alias("block"), every("turns").alias("turn"), F.lit(False).alias("asking"))
+    asking = chosen.where("rest").select(*common, every("blocks").alias("block"), place("turns").alias("turn"), F.lit(True).alias("asking"))
+    pieces = asked.unionByName(asking).join(own.select("rep", "signature"), "rep").select(*[x.split()[0] for x in _PIECES.split(", ")])
+    keys = ["cluster", "band", "turn", "block"]
+    pairs = pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_likely_pairs(threshold), "a long, b long").distinct()
+    with_texts = pairs.join(own.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
+    return written(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_verifying(width, threshold), "a long, b long"), "links-across")
+
+
+def _signing(width: int):
+    """Signatures of the rows whose text is their class's own, and not that of another row with the same id."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch["text"], width))
+            own = [len(x) > 0 and set_hash(x) == (a, b) for x, a, b in zip(sets, batch["h1"].to_pylist(), batch["h2"].to_pylist(), strict=True)]
+            rows = _short_signatures([x for x, keep in zip(sets, own, strict=True) if keep])
+            some = batch.select(["rep", "h1", "h2", "text"]).filter(pa.array(own, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([some["rep"], some["h1"], some["h2"], pa.array([r.tobytes() for r in rows], pa.binary()), some["text"]], names=["rep", "h1", "h2", "signature", "text"])
+
+    return sign
+
+
+def _likely_pairs(threshold: tuple[int, int]):
+    """Of sorted pieces, the pairs of an asking class and another, of other components, that may be similar by size and signature."""
+    least = _least_agreeing(threshold)
+    low, whole = threshold
+
+    def pairs_of(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        asking, rest = (group[c].to_numpy(zero_copy_only=False) for c in ("asking", "rest"))
+        rep, component, size = (group[c].to_numpy() for c in ("rep", "component", "n_shingles"))
+        signatures = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(rep), -1)
+        for i in np.flatnonzero(asking):
+            # two of the rest meet twice, once from each side
+            j = np.flatnonzero(~asking & (component != component[i]) & (~rest | (rep > rep[i])) & (whole * np.minimum(size, size[i]) >= low * np.maximum(size, size[i])))
+            if len(j):
+                j = j[(signatures[j] == signatures[i]).sum(1) >= least]
+                yield np.full(len(j), rep[i]), rep[j]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        last = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = list(pairs_of(pa.Table.from_batches(waiting)))
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("cluster", "band", "turn", "block")], 1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+                if last is not None and not np.array_equal(last, keys[a]):
+                    yield from done()
+                    waiting = []
+                last = keys[a]
+                waiting.append(batch.slice(a, b - a))
+        if waiting:
+            yield from done()
+
+    return run
+
+
+def _verifying(width: int, threshold: tuple[int, int]):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [_similar(x, y, threshold) for x, y in zip(shingle_sets(batch["text_a"], width), shingle_sets(batch["text_b"], width), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = asked.unionByName(asking).join(texts, "rep").withColumnRenamed("rep", "doc_id")
-    return written(both.groupBy("cluster", "turn", "block").applyInArrow(between, "a long, b long"), "links-across")
+    return verify
