@@ -214,8 +214,9 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
     The whole text is encoded, without special tokens; a null text counts as
     empty.  An empty text has 0 tokens and the digests of the empty string.
-    Null ids stay null and repeated rows stay repeated.  path must lead to the
-    rank file on every executor.
+    Null ids stay null and repeated rows stay repeated.  An empty table gives an
+    empty result.  Other columns are not looked at.  path must lead to the rank
+    file on every executor.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import written
@@ -22,7 +22,11 @@ SLICE = 1024  # lengths summed together before the slices are
 
 
 def histogram(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """n_tokens, n_docs: how many rows of docs have each length. Null texts count as empty and have 0 tokens."""
+    """n_tokens, n_docs: how many rows of docs have each length.
+
+    Null texts count as empty and have 0 tokens; repeated rows each count.  An
+    empty table gives an empty result.  Other columns are not looked at.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
@@ -71,12 +75,21 @@ def limits(lengths: DataFrame) -> DataFrame:
 
 
 def quantiles(table: DataFrame, shares: Sequence[float]) -> DataFrame:
-    """share, n_tokens: of limits(), the smallest length within which that share of the documents lies."""
-    wanted = table.select("n_tokens", "share_within", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
-    return wanted.where("share_within >= share").groupBy("share").agg(F.min("n_tokens").alias("n_tokens"))
+    """share, n_tokens: of limits(), the smallest length within which that share of the documents lies; nothing for an empty table."""
+    found = table.agg(F.array(*[F.struct(F.lit(float(s)).alias("share"), F.min(F.when(F.col("share_within") >= s, F.col("n_tokens"))).alias("n_tokens")) for s in shares]).alias("rows"))
+    return found.select(F.inline("rows")).where("n_tokens IS NOT NULL")
 
 
 def truncated_totals(lengths: DataFrame, at: Sequence[int]) -> DataFrame:
-    """context_limit, total: all tokens when documents are cut at each limit, whether or not a document has that length."""
-    cut = lengths.select("n_tokens", "n_docs", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in at])).alias("context_limit"))
-    return cut.groupBy("context_limit").agg(F.sum(F.least("n_tokens", "context_limit") * F.col("n_docs")).alias("total"))
+    """context_limit, total: all tokens when documents are cut at each limit, whether or not a document has that length.
+
+    What is within the largest length up to the limit, and the limit for every
+    document beyond it.  Nothing for an empty histogram.
+    """
+
+    def total(limit: int) -> Column:
+        below = F.max_by(F.struct("tokens_within", "docs_beyond"), F.when(F.col("n_tokens") <= limit, F.col("n_tokens")))
+        return F.coalesce(below["tokens_within"] + below["docs_beyond"] * limit, F.max("docs_within") * limit)
+
+    found = limits(lengths).agg(F.array(*[F.struct(F.lit(int(x)).cast("long").alias("context_limit"), total(int(x)).alias("total")) for x in at]).alias("rows"))
+    return found.select(F.inline("rows")).where("total IS NOT NULL")
