@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
 from tilewright.llm._common import crc_mod, table, written
+from tilewright.shipping import ship
 
 LEAST_SCORE = 0.5  # of the language prediction
 FOLDS = 5
@@ -35,6 +36,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts and texts without letters go; rows without an id are judged like
     others.  Languages are learned as in op4; where none can be, nothing stays.
     """
+    ship(spark)
     plain, names = _plain(docs)
     doc_id, text, lang = (names[c] for c in ("doc_id", "text", "lang"))
     side = crc_mod(doc_id, FOLDS)
@@ -45,6 +47,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the smallest id, null ids last; of rows that repeat id and text, one."""
+    ship(spark)
     plain, names = _plain(docs)
     return _back(exact_dedup.without_duplicates(plain, names["doc_id"], names["text"]), names)
 
@@ -54,6 +57,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Rows that share an id are judged each by its own text: they go by numbers in the order of id and text hash.
     """
+    ship(spark)
     plain, names = _plain(docs)
     doc_id, text = names["doc_id"], names["text"]
     keys = [F.col(doc_id), F.sha2(exact_dedup.normalised(text), 256)]
@@ -70,6 +74,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Documents without words go; rows without an id and rows that share one are
     each taken as often as the mix takes that row.
     """
+    ship(spark)
     plain, names = _plain(docs)
     rows = written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
     taken = mixing.mixed(rows, id_col=names["doc_id"], source_col=names["source"], text_col=names["text"], row_col="row").where("taken > 0")
@@ -81,6 +86,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens and digests of each document's ids and of what they decode to."""
     import public_tokenizers
 
+    ship(spark)
     return byte_bpe.token_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
