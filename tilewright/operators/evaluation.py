@@ -8,6 +8,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,16 +84,18 @@ def predict_timed(requests: DataFrame, ask: Callable[[dict], dict]) -> DataFrame
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            given, starts, seconds = [], [], []
             for request in batch.to_dict("records"):
-                start, clock = time.time(), time.perf_counter()
+                starts.append(time.time())
+                clock = time.perf_counter()
                 try:
-                    given = ask(request)
+                    given.append(ask(request))
                 except Exception:  # a model that fails must not end the run
-                    given = {}
-                seconds = time.perf_counter() - clock
-                rows.append(request | {"answer": given.get("answer", "")} | {c: int(given.get(c, 0)) for c in counts} | {"start_ts": pd.Timestamp(start, unit="s").floor("us"), "end_ts": pd.Timestamp(start + seconds, unit="s").floor("us"), "seconds": seconds})
-            yield pd.DataFrame(rows, columns=[*batch.columns, "answer", *counts, "start_ts", "end_ts", "seconds"])
+                    given.append({})
+                seconds.append(time.perf_counter() - clock)
+            start, took = np.array(starts), np.array(seconds)
+            moments = {name: pd.to_datetime(x, unit="s").floor("us") for name, x in (("start_ts", start), ("end_ts", start + took))}
+            yield batch.assign(answer=[g.get("answer", "") for g in given], **{c: [int(g.get(c, 0)) for g in given] for c in counts}, **moments, seconds=took)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
     return requests.mapInPandas(run, f"{schema}, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double")
