@@ -10,6 +10,7 @@ from ..operators import evaluation, metrics, sampling
 from ..scratch import scratch, written
 from ..sources import boards as board_source
 from ..sources import files, jsonl, results, tasks
+from ..streaming import resume
 from . import synth
 from .queries import _lines, _work, query
 
@@ -106,6 +107,43 @@ def q_results_files(spark, sf_dir):
     return results.explode_entries(found).select("model", "dataset", "dataset_path", "sample_id", "eval_id", "answer", "extracted", "score")
 
 
+@query
+def q_partial_results(spark, sf_dir):
+    """Results of a run that is not over: they are no complete results, but are read by their path."""
+    root = scratch(spark, "partial")
+    entries = written(_entries(spark, sf_dir).where("model <> 'C'"), "entries")
+    results.write_results(entries, f"{root}/task_1", name="partial_results_20240101_000000")
+    complete = results.result_paths(spark, root)
+    found = results.explode_entries(results.read_results(spark, f"{root}/task_1/partial_results_*.json"))
+    return found.groupBy("model").agg(F.count("*").alias("answers"), F.sum("score").alias("score"), F.lit(len(complete)).alias("complete"))
+
+
+@query
+def q_stream_once(spark, sf_dir):
+    """Answers that arrive in two batches of files, each run going on where the last one ended; a request counts once."""
+    root = scratch(spark, "stream")
+    rows = synth.responses(spark, sf_dir).select("model", "dataset_path", F.col("sample_id").cast("int").alias("sample_id"), "eval_id", "answer", "gold", F.lit("2024-01-01T00:00:00Z").alias("start_ts"))
+    for last in (1, 2):
+        # the second batch repeats what the first one has of repetition 1
+        rows.where(F.col("eval_id").between(last - 1, last)).write.mode("append").json(f"{root}/in")
+        stream = resume.once(resume.answers(spark, f"{root}/in"))
+        resume.run_once(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").groupBy("model", "eval_id").agg(F.count("*").alias("answers"), F.count_distinct("sample_id").alias("samples"))
+
+
+@query
+def q_stream_rate(spark, sf_dir):
+    """Requests of each model in sliding windows of 60 seconds, counted by a stream that has ended."""
+    root = scratch(spark, "rate")
+    q = synth.requests(spark, sf_dir).select("model", "start_ts")
+    written(q, "requests").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(q.schema).parquet(f"{root}/in")
+    name = f"rate_{root[-8:]}"
+    rate = resume.request_rate(stream).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    rate.awaitTermination()
+    return spark.table(name).select(F.unix_micros(F.col("window.start")).alias("from_us"), "model", "requests")
+
+
 @query
 def q_results_listed(spark, sf_dir):
     """Results as a list of entries with model_name and mixed answers, as older runs have them."""

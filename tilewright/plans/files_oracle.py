@@ -57,6 +57,9 @@ ORACLE_SQL |= {
         SELECT key, 'file' AS taken FROM p, files WHERE file_no < files
         UNION ALL SELECT key, 'sample' FROM c WHERE n <= CASE category WHEN 'early' THEN 33 WHEN 'mid' THEN 33 WHEN 'late' THEN 34 ELSE 0 END""",
     "q_results_files": f"{_R} SELECT model, dataset, dataset_path, CAST(sample_id AS INT) AS sample_id, eval_id, answer, extracted, score FROM results",
+    "q_partial_results": f"{_R} SELECT model, count(*) AS answers, sum(score) AS score, CAST(0 AS INT) AS complete FROM results WHERE model <> 'C' GROUP BY model",
+    "q_stream_once": f"{_R} SELECT model, eval_id, count(*) AS answers, count(DISTINCT sample_id) AS samples FROM responses GROUP BY model, eval_id",
+    "q_stream_rate": f"""WITH {_REQUESTS}, w AS (SELECT model, start_us // 10000000 * 10000000 - 10000000 * k AS from_us FROM requests, range(6) AS r(k)) SELECT from_us, model, count(*) AS requests FROM w GROUP BY ALL""",
     "q_results_listed": f"{_R} SELECT model, CAST(sample_id AS INT) AS sample_id, eval_id, answer, score FROM results",
     "q_checkpoint_resume": f"""{_R}, {_WORK} SELECT w.model, w.dataset_path, CAST(w.sample_id AS INT) AS sample_id, w.eval_id FROM work w
         WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.model = w.model AND r.sample_id = w.sample_id AND r.eval_id = w.eval_id AND r.eval_id <= 1 AND {_FILLED})""",
