@@ -102,7 +102,7 @@ def test_a_chained_group_takes_work_in_proportion(spark, monkeypatch):
             want |= dict.fromkeys(pair, min(pair))
         assert found == want
         assert max(r.texts for r in kept["sizes"][0].collect()) > n // 2  # it is one group, or nearly
-        compared = sum(r.n * r.rests for r in kept["buckets"][0].collect())
+        compared = sum(r.n * r.rests for r in kept["compared"][0].collect())
         work.append(compared / len(texts))
     assert work[1] < 1.5 * work[0]
 

@@ -11,11 +11,10 @@ Texts with equal shingle sets are one class, and only one of a class is
 compared.  A group with many classes is cut into blocks of bounded size, and
 each block is linked within itself and with a few hubs of its group, by at most
 one link for each class, not pairs.  What links are left lead from classes that
-are not in their group's largest component.  These are compared, by signature,
-with the classes of other components that share a band with them, since pairs
-without a common band are out of the method's reach anyway; a band with more
-classes than a block is cut into a grid of blocks.  Pairs whose signatures
-agree enough are verified on their texts.
+are not in their group's largest component.  These are compared with the
+classes of other components that share a band with them, or with all of the
+group where that is less work, again in blocks.  Tasks hold one or two blocks
+and give links that join two components, not pairs.
 """
 
 from __future__ import annotations
@@ -199,6 +198,21 @@ def _link_block(texts: _Texts) -> list[tuple[int, int]]:
     return [(i, least[forest.root(i)]) for i in range(len(texts.sets)) if least[forest.root(i)] != i]
 
 
+def _link_across(texts: _Texts, labels: np.ndarray, home: np.ndarray, rest: np.ndarray, asking: np.ndarray) -> list[tuple[int, int]]:
+    """Links between different labels: of asking texts (which are all in rest) with all texts of other home blocks."""
+    forest, out = _Forest(labels), []
+    for i in np.flatnonzero(asking):
+        low = int(np.searchsorted(texts.sizes, -(-texts.sizes[i] * texts.threshold[0] // texts.threshold[1])))
+        others = np.arange(low, texts.reach(i))
+        # two of the rest meet twice, once from each side
+        others = others[(home[others] != home[i]) & (labels[others] != labels[i]) & (~rest[others] | (texts.ids[others] > texts.ids[i]))]
+        for j in texts.likely(i, others):
+            if forest.root(i) != forest.root(j) and texts.linked(i, j):
+                forest.join(i, j)
+                out.append((int(i), int(j)))
+    return out
+
+
 def _links(texts: _Texts, found: list[tuple[int, int]]) -> pa.Table:
     i, j = np.array(found, np.int64).reshape(-1, 2).T
     return pa.table({"a": texts.ids[i], "b": texts.ids[j]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
@@ -234,7 +248,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2"), "rep"), "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
     sizes = written(sizes.select("cluster", "n", F.col("n").alias("texts"), F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")), "sizes")
-    many = sizes.where("blocks > 1").limit(1).count() > 0
+    many = not _empty(sizes.where("blocks > 1"))
     placed = joined(members, sizes, ["cluster"], _hot(sizes)).select(
         "rep", "cluster", "h1", "h2", "n_shingles", "blocks",
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
@@ -259,8 +273,10 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     found = links.where("whole").select(F.col("a").alias("node"), F.col("b").alias("component"))
     if many:
         known = components(links.where("NOT whole"))
-        more = _across(placed.where("blocks > 1"), texts, classes, known, width, threshold, block_texts)
-        found = found.unionByName(components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+        more = _across(placed.where("blocks > 1"), texts, classes, known, width, threshold, block_texts, block_shingles)
+        if more is not None:
+            known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        found = found.unionByName(known)
     of_class = classes.select("h1", "h2", "n", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     of_class = of_class.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
     kept = F.col("doc_id") == F.col("component")
@@ -271,80 +287,66 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
 
 def _hot(of_key: DataFrame) -> bool:
     """Whether a key has so many rows that they are to be dealt out."""
-    return of_key.where(F.col("n") > HOT).limit(1).count() > 0
-
+    return not _empty(of_key.where(F.col("n") > HOT))
 
-_PIECES = "cluster long, band long, turn int, block int, asking boolean, rep long, component long, rest boolean, n_shingles long, signature binary"
 
+def _across(placed: DataFrame, texts: DataFrame, classes: DataFrame, known: DataFrame, width: int, threshold: tuple[int, int], block_texts: int, block_shingles: int) -> DataFrame | None:
+    """Links between components of one group that the first round has not found; None if there are none.
 
-def _across(placed: DataFrame, texts: DataFrame, classes: DataFrame, known: DataFrame, width: int, threshold: tuple[int, int], block_texts: int) -> DataFrame:
-    """Links between components of one group that the first round has not found."""
+    They lead from the rest, the classes outside the group's largest component,
+    to classes of another component and another block.  A group is compared
+    band by band, or as a whole where that is less work (as in a group of near
+    copies, whose members share most bands).
+    """
     labelled = placed.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    labelled = written(labelled.select("rep", "cluster", "h1", "h2", "n_shingles", "component"), "labelled")
+    labelled = written(labelled.select("rep", "cluster", "h1", "h2", "n_shingles", "component", F.col("block").alias("home")), "labelled")
     by_component = labelled.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     largest = by_component.groupBy("cluster").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.sum("n").alias("n"), F.count("*").alias("components")).where("components > 1").drop("components")
     labelled = joined(labelled, largest, ["cluster"], _hot(largest)).withColumn("rest", F.col("component") != F.col("largest")).drop("largest")
     labelled = written(labelled, "open")  # groups that are one component have dropped out
-    signed = labelled.select("rep", "h1", "h2").join(texts, "rep").mapInArrow(_signing(width), "rep long, h1 long, h2 long, signature binary, text string")
-    own = written(signed.dropDuplicates(["rep", "h1", "h2"]), "own-texts")
-
-    banded = labelled.join(classes.select("rep", "bands"), "rep").select("rep", "cluster", "component", "rest", "n_shingles", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("cluster", "band").agg(F.count("*").alias("n"), F.count_if("rest").alias("rests"), F.min("component").alias("low"), F.max("component").alias("high")).where("rests > 0 AND low <> high")
-    buckets = buckets.select("cluster", "band", "n", "rests", F.ceil(F.col("n") / block_texts).cast("int").alias("blocks"), F.ceil(F.col("rests") / block_texts).cast("int").alias("turns"))
-    buckets = written(buckets, "buckets")
-    chosen = written(joined(banded, buckets.drop("rests"), ["cluster", "band"], _hot(buckets)), "chosen")
+    if _empty(labelled):
+        return None
+    banded = labelled.join(classes.select("rep", "h1", "h2", "bands"), ["rep", "h1", "h2"]).select(*labelled.columns, F.explode("bands").alias("band"))
+
+    def parts(rows: DataFrame, *keys: str) -> DataFrame:
+        """How many blocks of classes, and of the rest, there are under a key with several components."""
+        found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if("rest").alias("rests"), F.sum("n_shingles").alias("shingles"), F.sum(F.when(F.col("rest"), F.col("n_shingles"))).alias("rest_shingles"), F.min("component").alias("low"), F.max("component").alias("high"))
+        blocks = lambda n, shingles: F.greatest(F.ceil(F.col(n) / block_texts), F.ceil(F.col(shingles) / block_shingles)).cast("int")
+        return found.where("rests > 0 AND low <> high").select(*keys, "n", "rests", blocks("n", "shingles").alias("blocks"), blocks("rests", "rest_shingles").alias("turns"))
+
+    buckets, whole = written(parts(banded, "cluster", "band"), "buckets"), parts(labelled, "cluster")
+    work = buckets.groupBy("cluster").agg(F.sum(F.col("n") * F.col("rests")).alias("by_band"))
+    whole = written(whole.join(work, "cluster").withColumn("banded", F.col("by_band") < F.col("n") * F.col("rests")), "whole")
+    buckets = written(buckets.join(whole.where("banded").select("cluster"), "cluster"), "compared")
+    in_bands = joined(banded, buckets.drop("rests"), ["cluster", "band"], _hot(buckets))
+    as_whole = joined(labelled, whole.where("NOT banded").drop("rests", "by_band", "banded"), ["cluster"], _hot(whole)).withColumn("band", F.lit(0).cast("long"))
+    chosen = in_bands.unionByName(as_whole)
     place = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    common = [F.col(c) for c in ("cluster", "band", "rep", "component", "rest", "n_shingles")]
+    common = [F.col(c) for c in ("cluster", "band", "rep", "h1", "h2", "component", "home", "rest")]
     asked = chosen.select(*common, place("blocks").alias("block"), every("turns").alias("turn"), F.lit(False).alias("asking"))
     asking = chosen.where("rest").select(*common, every("blocks").alias("block"), place("turns").alias("turn"), F.lit(True).alias("asking"))
-    pieces = asked.unionByName(asking).join(own.select("rep", "signature"), "rep").select(*[x.split()[0] for x in _PIECES.split(", ")])
     keys = ["cluster", "band", "turn", "block"]
-    pairs = pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_likely_pairs(threshold), "a long, b long").distinct()
-    with_texts = pairs.join(own.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a").join(own.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(with_texts.select("a", "b", "text_a", "text_b").mapInArrow(_verifying(width, threshold), "a long, b long"), "links-across")
+    pieces = asked.unionByName(asking).join(texts, "rep").withColumnRenamed("rep", "doc_id")
+    # a text that is in both parts is asking
+    pieces = pieces.repartition(*keys).sortWithinPartitions(*keys, F.col("asking").desc())
+    links = written(pieces.mapInArrow(_linking(width, threshold), "a long, b long"), "links-across")
+    return None if _empty(links) else links
 
 
-def _signing(width: int):
-    """Signatures of the rows whose text is their class's own, and not that of another row with the same id."""
+def _linking(width: int, threshold: tuple[int, int]):
+    """Links in each group of sorted pieces, at most one for each two components."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(shingle_sets(batch["text"], width))
-            own = [len(x) > 0 and set_hash(x) == (a, b) for x, a, b in zip(sets, batch["h1"].to_pylist(), batch["h2"].to_pylist(), strict=True)]
-            rows = _short_signatures([x for x, keep in zip(sets, own, strict=True) if keep])
-            some = batch.select(["rep", "h1", "h2", "text"]).filter(pa.array(own, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([some["rep"], some["h1"], some["h2"], pa.array([r.tobytes() for r in rows], pa.binary()), some["text"]], names=["rep", "h1", "h2", "signature", "text"])
-
-    return sign
-
-
-def _likely_pairs(threshold: tuple[int, int]):
-    """Of sorted pieces, the pairs of an asking class and another, of other components, that may be similar by size and signature."""
-    least = _least_agreeing(threshold)
-    low, whole = threshold
-
-    def pairs_of(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        asking, rest = (group[c].to_numpy(zero_copy_only=False) for c in ("asking", "rest"))
-        rep, component, size = (group[c].to_numpy() for c in ("rep", "component", "n_shingles"))
-        signatures = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(rep), -1)
-        for i in np.flatnonzero(asking):
-            # two of the rest meet twice, once from each side
-            j = np.flatnonzero(~asking & (component != component[i]) & (~rest | (rep > rep[i])) & (whole * np.minimum(size, size[i]) >= low * np.maximum(size, size[i])))
-            if len(j):
-                j = j[(signatures[j] == signatures[i]).sum(1) >= least]
-                yield np.full(len(j), rep[i]), rep[j]
+    def linked(group: pa.Table) -> pa.Table:
+        some = _Texts(group, width, threshold)
+        picked = group.take(pa.array(some.rows))
+        labels, home = picked["component"].to_numpy(), picked["home"].to_numpy()
+        rest, asks = (picked[c].to_numpy(zero_copy_only=False) for c in ("rest", "asking"))
+        return _links(some, _link_across(some, labels, home, rest, asks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         last = None
-
-        def done() -> Iterator[pa.RecordBatch]:
-            found = list(pairs_of(pa.Table.from_batches(waiting)))
-            if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -352,20 +354,15 @@ def _likely_pairs(threshold: tuple[int, int]):
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
                 if last is not None and not np.array_equal(last, keys[a]):
-                    yield from done()
+                    yield from linked(pa.Table.from_batches(waiting)).to_batches()
                     waiting = []
                 last = keys[a]
                 waiting.append(batch.slice(a, b - a))
         if waiting:
-            yield from done()
+            yield from linked(pa.Table.from_batches(waiting)).to_batches()
 
     return run
 
 
-def _verifying(width: int, threshold: tuple[int, int]):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [_similar(x, y, threshold) for x, y in zip(shingle_sets(batch["text_a"], width), shingle_sets(batch["text_b"], width), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return verify
+def _empty(table: DataFrame) -> bool:
+    return table.limit(1).count() == 0
