@@ -120,3 +120,36 @@ def test_limit_per_file(spark, tmp_path):
         spark.range(5).selectExpr("id AS game_id").coalesce(1).write.parquet(str(tmp_path / f"f{k}"))
     df = source.read_boards(spark, str(tmp_path / "f*"))
     assert source.limit_per_file(df, 2).count() == 4
+
+
+def test_texts_of_odd_boards(spark):
+    from tilewright.functions.boards import board_texts
+
+    one = [0] * 34
+    one[0], one[33] = 2, 1
+    none = [0] * 34
+    schema = "k int, hand array<int>, melds array<array<int>>, discards array<array<int>>, pov int"
+    rows = [(0, one, [one, none, none, none], [none, one, none, None], 1), (1, None, None, None, 0), (2, none, [one] * 4, [one] * 4, 7), (3, [None, -1, 1], [], [[1]], None), (4, one, [one] * 4, [one] * 4, 3)]
+    df = spark.createDataFrame(rows, schema)
+    found = {r.k: r.t for r in df.select("k", board_texts(*[F.col(c) for c in ("hand", "melds", "discards", "pov")]).alias("t")).collect()}
+    tiles_ = "1万 1万 中"
+
+    def seats(word, *texts):
+        return ", ".join(f"{n}{word}：{t}" for n, t in zip(("本家", "下家", "对家", "上家"), texts, strict=True))
+
+    assert found[0] == (tiles_, seats("副露", "无", "无", "无", tiles_), seats("", tiles_, "无", "无", "无"))
+    assert found[1] == (None, seats("副露", *["无"] * 4), seats("", *["无"] * 4))
+    assert found[2] == ("", seats("副露", "无", tiles_, tiles_, tiles_), seats("", "无", tiles_, tiles_, tiles_))
+    assert found[3] == ("3万", seats("副露", *["无"] * 4), seats("", *["无"] * 4))
+    assert found[4] == (tiles_, seats("副露", *[tiles_] * 4), seats("", *[tiles_] * 4))
+
+
+def test_rules_as_columns_and_in_arrow_batches_agree(spark, sf_dir):
+    from tilewright.functions import tiles
+    from tilewright.plans import queries, synth
+
+    b = queries.features(synth.boards(spark, sf_dir))
+    least = F.least("standard", tiles.shanten_pairs(F.col("hand")), tiles.shanten_orphans(F.col("hand")))
+    kinds = F.array_distinct(tiles.expand_counts(F.col("hand")))
+    wrong = b.where((F.col("shanten") != least) | (F.col("turn") != tiles.turn(F.col("discards"))) | (F.col("tiles") != kinds))
+    assert b.count() == 1500 and wrong.count() == 0

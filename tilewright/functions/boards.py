@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .danger import tile_dangers
+from .prompt import MELD_WORD, NONE, SEATS
 from .shanten import evaluate, suit_table
+from .tiles import TILE_NAMES
 
 _FIELDS = ("standard", "shanten", "ukeire")
 
@@ -43,6 +46,38 @@ def _following() -> np.ndarray:
     return start + (tile - start + 1) % size
 
 
+def _named(counts: np.ndarray) -> pa.Array:
+    """Names of the tiles of each row of 34 counts, with spaces between."""
+    row, kind = np.nonzero(counts)
+    names = pa.array(TILE_NAMES).take(pa.array(np.repeat(kind, counts[row, kind])))
+    ends = np.concatenate(([0], np.cumsum(counts.sum(1)))).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), names), " ")
+
+
+def _seats(counts: np.ndarray, pov: pa.Array, word: str) -> pa.Array:
+    """Each seat's tiles, from the own seat on, of four times 34 counts in each row."""
+    own = pov.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    known, rows, parts = pov.is_valid().to_numpy(zero_copy_only=False), np.arange(len(own)), []
+    for i, name in enumerate(SEATS):
+        seat = own if i == 0 else np.fmod(own + i, 4)
+        there = known & (seat >= 0) & (seat < 4)
+        tiles = _named(np.where(there[:, None], counts[rows, np.clip(seat, 0, 3)], 0))
+        parts.append(pc.binary_join_element_wise(f"{name}{word}：", pc.if_else(pc.equal(tiles, ""), NONE, tiles), ""))
+    return pc.binary_join_element_wise(*parts, ", ")
+
+
+def board_texts(hand: Column, melds: Column, discards: Column, pov: Column) -> Column:
+    """struct(hand, melds, discards): the tiles of a board as the prompt names them."""
+
+    @F.arrow_udf("hand string, melds string, discards string")
+    def compute(hand: pa.Array, melds: pa.Array, discards: pa.Array, pov: pa.Array) -> pa.Array:
+        own = pc.if_else(hand.is_valid(), _named(_counts(hand, 34)), None)
+        seats = [_seats(_counts(x, 136).reshape(-1, 4, 34), pov, word) for x, word in ((melds, MELD_WORD), (discards, ""))]
+        return pa.StructArray.from_arrays([own, *seats], names=["hand", "melds", "discards"])
+
+    return compute(hand, melds, discards, pov)
+
+
 def board_features(hand: Column, indicators: Column, melds: Column, discards: Column, riichi: Column) -> Column:
     """struct(turn, standard, shanten, ukeire, tiles, dangers): tiles are the distinct tiles of the hand, dangers theirs."""
     table = SparkSession.active().sparkContext.broadcast(suit_table())  # 2 MB

@@ -7,11 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .tiles import ROUND_NUMBERS, expand_counts, tile_name, tile_names, wind_name
+from .tiles import ROUND_NUMBERS, tile_name, tile_names, wind_name
 
 # The prompt's wording.
 SEATS = ["本家", "下家", "对家", "上家"]
 NONE = "无"
+MELD_WORD = "副露"
 TEMPLATE = """[情景分析]
 - 牌局: {round}，{role} (第{turn}巡，牌墙余{wall}张{sticks})。
 - 状态: 当前排名 {rank}/4 (与一位差 {diff})。
@@ -84,23 +85,22 @@ def joined(names: Column) -> Column:
     return F.coalesce(F.when(F.size(names) > 0, F.array_join(names, " ")), F.lit(NONE))
 
 
-def seat_lists(groups: Column, pov: Column, word: str) -> Column:
-    """Each seat's tiles, from the own seat on."""
-    return F.concat_ws(", ", *[F.concat(F.lit(f"{SEATS[i]}{word}："), joined(tile_names(expand_counts(F.get(groups, _seat(i, pov)))))) for i in range(4)])
-
-
 def percent(p: Column) -> Column:
     return F.format_string("%.1f%%", p * 100)
 
 
 def prompt(b: dict[str, Column]) -> Column:
-    """The prompt of a board; b has wind, dealer, pov, honba, sticks, wall, turn, scores, dora, hand, melds, discards, shanten, ukeire, safe_prob, avg_prob, risk_prob."""
+    """The prompt of a board.
+
+    b has wind, dealer, pov, honba, sticks, wall, turn, scores, dora, shanten,
+    ukeire, safe_prob, avg_prob, risk_prob and, as text, the hand, melds and
+    discards of boards.board_texts().
+    """
     pov, scores = b["pov"], b["scores"]
     fields = {name: b[name] for name in ("turn", "wall", "shanten", "ukeire")}
     fields |= {"round": round_name(b["wind"], b["dealer"]), "role": dealer_label(pov, b["dealer"]), "sticks": stick_info(b["honba"], b["sticks"])}
     fields |= {"rank": rank(scores, pov), "diff": diff_to_top(scores, pov), "scores": seat_scores(scores, pov)}
-    fields |= {"dora": joined(tile_names(b["dora"])), "hand": F.array_join(tile_names(expand_counts(b["hand"])), " ")}
-    fields |= {"melds": seat_lists(b["melds"], pov, "副露"), "discards": seat_lists(b["discards"], pov, "")}
+    fields |= {"dora": joined(tile_names(b["dora"])), "hand": b["hand"], "melds": b["melds"], "discards": b["discards"]}
     fields |= {name: percent(b[f"{of}_prob"]) for name, of in (("safe", "safe"), ("mean", "avg"), ("risk", "risk"))}
     return fill(TEMPLATE, fields)
 

@@ -30,7 +30,9 @@ def features(b: DataFrame) -> DataFrame:
 def training_text(b: DataFrame) -> DataFrame:
     """Boards with the text of their training line; boards without a valid label go."""
     b = features(b.where(F.col("label").between(0, 33)))
-    return b.withColumn("text", F.concat(prompt.prompt({c: F.col(c) for c in b.columns}), F.lit("\n"), prompt.answer(F.col("label"))))
+    b = b.withColumn("texts", boards.board_texts(*[F.col(c) for c in ("hand", "melds", "discards", "pov")]))
+    fields = {c: F.col(c) for c in b.columns} | {c: F.col(f"texts.{c}") for c in ("hand", "melds", "discards")}
+    return b.withColumn("text", F.concat(prompt.prompt(fields), F.lit("\n"), prompt.answer(F.col("label")))).drop("texts")
 
 
 def _ints(c: str) -> Column:
