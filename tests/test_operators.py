@@ -187,29 +187,35 @@ def test_checkpoints_and_tasks(spark, tmp_path):
     assert tasks.total_requests(tasks.freeze(samples, str(tmp_path / "frozen")), 3, 2) == 12
 
 
-def test_scratch_tables_go_when_nothing_reads_them(spark):
-    import gc
+def test_scratch_tables_go_with_their_scope(spark):
     import os
 
     from tilewright import scratch
 
-    a = scratch.written(spark.range(5), "a")
-    b = a.where("id > 1")
-    path_a = a.scratch_path.removeprefix("file://")
-    del a
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    scratch.sweep(spark)
-    assert b.count() == 3  # b still reads it
-    del b
-    for _ in range(10):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        scratch.sweep(spark)
-    assert not os.path.exists(path_a)
-    c = scratch.written(spark.range(5), "c")
-    scratch.drop(c)
-    assert not os.path.exists(c.scratch_path.removeprefix("file://"))
+    def there(table):
+        return os.path.exists(table.scratch_path.removeprefix("file://"))
+
+    with scratch.scope(spark) as outer:
+        with scratch.scope(spark) as inner:
+            a, b, c = (scratch.written(spark.range(5), name) for name in "abc")
+            path = scratch.scratch(spark, "files")
+            spark.range(3).write.parquet(path)
+            both = inner.keep(a.join(b.where("id > 1"), "id"))
+        assert [there(t) for t in (a, b, c)] == [True, True, False]
+        assert not os.path.exists(path.removeprefix("file://"))
+        assert both.count() == 3
+        d = outer.keep(scratch.written(both, "d"))
+    assert [there(t) for t in (a, b, d)] == [False, False, True]
+    assert d.count() == 3
+    with pytest.raises(ValueError), scratch.scope(spark) as scope:
+        e = scope.keep(scratch.written(spark.range(5), "e"))
+        raise ValueError
+    assert not there(e)
+    scratch.drop(d)
+    assert not there(d)
+    f = scratch.written(spark.range(5), "f")
+    scratch.clear(spark)
+    assert not there(f)
 
 
 def test_where_results_are(spark, tmp_path):

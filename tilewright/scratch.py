@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,68 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the application's part of the shared folder."""
-    return f"{_part(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's part of the shared folder; it belongs to the scope that is open, if one is."""
+    path = f"{_part(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].paths.append(path)
+    return path
+
+
+class Scope:
+    """The scratch paths of one piece of work."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, result: DataFrame) -> DataFrame:
+        """result, with the tables that its plan reads kept beyond the scope's end."""
+        read = read_by(result)
+        self.kept.update(p for p in self.paths if _qualified(self.spark, p) in read)
+        return result
+
+
+_scopes: list[Scope] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """What is written inside is deleted at the end, also after an error, but for what is kept.
+
+    What is kept belongs to the scope around this one, if there is one.
+    """
+    mine = Scope(spark)
+    _scopes.append(mine)
+    try:
+        yield mine
+    except BaseException:
+        mine.kept.clear()
+        raise
+    finally:
+        _scopes.remove(mine)
+        for path in mine.paths:
+            if path not in mine.kept:
+                _forget(spark, path)
+            elif _scopes:
+                _scopes[-1].paths.append(path)
+
+
+def read_by(result: DataFrame) -> set[str]:
+    """The folders that the plan of a DataFrame reads."""
+    paths, leaves = set(), result._jdf.queryExecution().analyzed().collectLeaves().toList()
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or not leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            continue
+        roots = leaf.relation().location().rootPaths()
+        paths.update(_qualified(result.sparkSession, roots.apply(i).toString()) for i in range(roots.size()))
+    return paths
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
 
 
 def _part(spark: SparkSession) -> str:
@@ -43,9 +105,10 @@ _tables: list[tuple[str, str, object]] = []
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written to the shared folder and read back: computed once, with a short lineage, and safe when executors are lost.
 
-    The table is deleted, when another is written, once the JVM has collected
-    every plan that reads it; so a chain of steps whose results are stored
-    needs no more room than the last of them.
+    The table goes with the scope that it was written in.  Outside of scopes,
+    and after them for what was kept, it is deleted, when another is written,
+    once the JVM has collected every plan that reads it; so a chain of steps
+    whose results are stored needs no more room than the last of them.
     """
     spark = df.sparkSession
     sweep(spark)
@@ -68,8 +131,12 @@ def sweep(spark: SparkSession) -> None:
 
 def drop(table: DataFrame) -> None:
     """Delete a table from written(), of which nothing is read any more."""
-    _tables[:] = [t for t in _tables if t[1] != table.scratch_path]
-    _delete(table.sparkSession, table.scratch_path)
+    _forget(table.sparkSession, table.scratch_path)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    _tables[:] = [t for t in _tables if t[1] != path]
+    _delete(spark, path)
 
 
 def clear(spark: SparkSession) -> None:
