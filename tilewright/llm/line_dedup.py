@@ -83,8 +83,8 @@ class Runs:
     def add(self, keys: DataFrame) -> None:
         """Add a batch of (doc_id, key), whose documents are in no other batch."""
         own = keys.groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("last"))
-        if any(self.levels):
-            settled = self._all().where(F.col("docs") >= self.min_docs).select(F.col("key").alias("of_key"), F.col("last").alias("held"))
+        for name in self._names():
+            settled = self.spark.table(name).where(F.col("docs") >= self.min_docs).select(F.col("key").alias("of_key"), F.col("last").alias("held"))
             own = own.join(settled, (F.col("key") == F.col("of_key")) & (F.col("held") >= F.col("last")), "left_anti")
         self._put(own, 0)
 
@@ -94,35 +94,37 @@ class Runs:
         docs is min_docs at least, but no full count: what was settled is not
         counted on.
         """
-        if not any(self.levels):
+        names = self._names()
+        if not names:
             return self.spark.createDataFrame([], "key binary, docs long, last long")
-        return self._merged(self._all()).where(F.col("docs") >= self.min_docs)
+        return self._merged(names).where(F.col("docs") >= self.min_docs)
 
     def clear(self) -> None:
-        for name in [n for level in self.levels for n in level]:
+        for name in self._names():
             self.spark.sql(f"DROP TABLE {name}")
         self.levels = []
 
-    @staticmethod
-    def _merged(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def _names(self) -> list[str]:
+        return [name for level in self.levels for name in level]
 
-    def _all(self, level: int | None = None) -> DataFrame:
-        names = self.levels[level] if level is not None else [n for level in self.levels for n in level]
+    def _merged(self, names: list[str]) -> DataFrame:
+        """One run of several. Two are merged bucket by bucket, without a shuffle."""
         rows = self.spark.table(names[0])
         for name in names[1:]:
-            rows = rows.unionByName(self.spark.table(name))
+            other = self.spark.table(name).select("key", F.col("docs").alias("more"), F.col("last").alias("also"))
+            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+            rows = rows.join(other, "key", "full_outer").select("key", docs.alias("docs"), F.greatest("last", "also").alias("last"))
         return rows
 
     def _put(self, rows: DataFrame, level: int) -> None:
-        """Write rows, which are hashed by key into as many partitions as there are buckets, as a run; compact the level if it is full."""
+        """Write rows, of which a partition has few buckets' keys, as a run; compact the level if it is full."""
         name = f"tilewright_run_{uuid.uuid4().hex}"
         rows.write.bucketBy(self.buckets, "key").sortBy("key").option("path", scratch(self.spark, "run")).saveAsTable(name)
         if len(self.levels) == level:
             self.levels.append([])
         self.levels[level].append(name)
         if len(self.levels[level]) >= self.fanout:
-            self._put(self._merged(self._all(level)), level + 1)
+            self._put(self._merged(self.levels[level]), level + 1)
             for old in self.levels[level]:
                 self.spark.sql(f"DROP TABLE {old}")
             self.levels[level] = []
