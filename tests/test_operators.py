@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from tilewright.operators import evaluation, metrics, sampling
 from tilewright.sources import jsonl, results, tasks
-from tilewright.streaming import resume
 
 
 def lines(spark, counts):
@@ -138,17 +137,6 @@ def test_settings():
     assert (c.eval_times, c.sample_count, c.score_agg) == (3, 10, "sum")
 
 
-def test_stream_counts_each_request_once(spark, tmp_path):
-    row = '{"model": "A", "dataset_path": "d", "sample_id": 1, "eval_id": %d, "answer": "x", "gold": "x", "start_ts": "2024-01-01T00:00:00Z"}\n'
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in/1.json").write_text(row % 0 + row % 0 + row % 1)
-    stream = resume.once(resume.answers(spark, str(tmp_path / "in")))
-    resume.run_once(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
-    (tmp_path / "in/2.json").write_text(row % 1 + row % 2)
-    resume.run_once(resume.once(resume.answers(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(60)
-    assert sorted(r.eval_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2]
-
-
 def test_reports_read_back(spark, tmp_path):
     scores_ = spark.createDataFrame([("a", 1.5), ("b", -2.0)], "model string, score double")
     times = spark.createDataFrame([("a", 3.0, 1.5, 2)], "model string, total_seconds double, mean_seconds double, requests long")

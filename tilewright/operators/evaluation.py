@@ -10,10 +10,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_answer, is_blank, score
+from .prefix import first_rows
 
 KEYS = ["model", "dataset_path", "sample_id", "eval_id"]
 #: Why a request is unfinished; the later reason wins.
@@ -49,17 +50,14 @@ def budget_per_model(requests: DataFrame, limits: dict[str, int | None]) -> Data
     bounds = {m: n for m, n in limits.items() if n is not None}
     if not bounds:
         return requests
-    limit = F.create_map(*[F.lit(x) for m, n in bounds.items() for x in (m, n)])[F.col("model")]
     bounded = F.coalesce(F.col("model").isin(*bounds), F.lit(False))
-    place = Window.partitionBy("model").orderBy(*request_order())
-    # the largest limit is a constant, so that each task passes on no more rows of a model than that
-    first = requests.where(bounded).withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= max(bounds.values())).where(F.col("_place") <= limit).drop("_place")
+    first = first_rows(requests.where(bounded), request_order(), bounds, F.col("model"))
     return first.unionByName(requests.where(~bounded))
 
 
 def budget(requests: DataFrame, limit: int | None) -> DataFrame:
     """The first requests of all; 0 or None is no limit."""
-    return requests.orderBy(*request_order()).limit(limit) if limit else requests
+    return first_rows(requests, request_order(), {0: limit}) if limit else requests
 
 
 def predict(requests: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

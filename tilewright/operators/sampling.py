@@ -7,9 +7,12 @@ task: positions come from counts per hash bucket and ranks within buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..scratch import written
+
+#: The stages of a game, their shares in a file, and the shares of a sample.
 BUCKETS = ("early", "mid_pre", "mid_mid", "late")
 RATIOS = {"early": 0.15, "mid_pre": 0.20, "mid_mid": 0.30, "late": 0.35}
 STRATA = {"early": 0.33, "mid": 0.33, "late": 0.34}
@@ -93,15 +96,21 @@ def strata_sizes(available: dict[str, int], n: int, ratios: dict[str, float] = S
 
 
 def stratified_sample(df: DataFrame, key: str, category: str, n: int, seed: str | int = 0, ratios: dict[str, float] = STRATA) -> DataFrame:
-    """n rows of df by strata, as strata_sizes() says; rows of other categories are never drawn."""
-    known = df.where(F.col(category).isin(*STRATA))
-    available = {r[category]: r["count"] for r in known.groupBy(category).count().collect()}
-    take, everything = strata_sizes(available, n, ratios)
+    """n rows of df by strata, as strata_sizes() says; rows of other categories are never drawn.
+
+    One scan: each task counts its rows of each category and passes on the n
+    first of them in the order of the shuffle, of which the n first of all are
+    kept in a table. What is drawn is among these, whatever the counts are.
+    """
     order = [shuffle_key(seed, F.col(key)), F.col(key)]
+    counts = Observation()
+    known = df.where(F.col(category).isin(*STRATA)).observe(counts, F.count("*").alias("rows"), *[F.count_if(F.col(category) == c).alias(c) for c in STRATA])
+    place = F.row_number().over(Window.partitionBy(category).orderBy(*order))
+    first = written(known.withColumn("_place", place).where(F.col("_place") <= n), "first-of-strata")
+    take, everything = strata_sizes({c: counts.get[c] for c in STRATA}, n, ratios)
     if not everything:
         limit = F.create_map(*[F.lit(x) for c, k in take.items() for x in (c, k)])[F.col(category)]
-        ranked = positions(known, order[0], [category], "_position", order[1])
-        known = ranked.where(F.col("_position") < limit).drop("_position")
+        first = first.where(F.col("_place") <= limit)
         if sum(take.values()) <= n:
-            return known
-    return known.orderBy(*order).limit(n)
+            return first.drop("_place")
+    return first.drop("_place").orderBy(*order).limit(n)

@@ -10,7 +10,7 @@ from ..operators import evaluation, metrics, sampling
 from ..scratch import scratch, written
 from ..sources import boards as board_source
 from ..sources import files, jsonl, results, tasks
-from ..streaming import resume
+from ..streaming import resume, schedule
 from . import synth
 from .queries import _lines, _work, query
 
@@ -44,10 +44,10 @@ def q_jsonl_parsed(spark, sf_dir):
 
 @query
 def q_jsonl_sink(spark, sf_dir):
-    """Texts that were written as one named file and read back from it."""
+    """Texts that were written as named files and read back from them."""
     path = scratch(spark, "lines")
-    jsonl.write_lines(synth.prompts(spark, sf_dir).coalesce(1), path, name="data-train")
-    return jsonl.parse(jsonl.read_lines(spark, f"{path}/data-train.jsonl")).groupBy("text").agg(F.count("*").alias("n"))
+    jsonl.write_lines(synth.prompts(spark, sf_dir), path, name="data-train")
+    return jsonl.parse(jsonl.read_lines(spark, f"{path}/data-train*.jsonl")).groupBy("text").agg(F.count("*").alias("n"))
 
 
 @query
@@ -68,8 +68,9 @@ def q_part_files(spark, sf_dir):
 def q_bucket_files(spark, sf_dir):
     path = scratch(spark, "buckets")
     rows = _lines(spark, sf_dir).select("bucket", F.col("key").cast("string").alias("line"))
-    jsonl.write_bucket_files(rows.coalesce(1), path)
-    found = spark.read.text(path).select(files.file_name().alias("file_name"), F.col("value").cast("long").alias("key"))
+    jsonl.write_bucket_files(rows, path)
+    # a bucket that several tasks have written is in numbered files
+    found = spark.read.text(path).select(F.regexp_replace(files.file_name(), r"-\d{5}(?=\.jsonl$)", "").alias("file_name"), F.col("value").cast("long").alias("key"))
     return found.where("file_name LIKE '%.jsonl'")
 
 
@@ -120,15 +121,25 @@ def q_partial_results(spark, sf_dir):
 
 @query
 def q_stream_once(spark, sf_dir):
-    """Answers that arrive in two batches of files, each run going on where the last one ended; a request counts once."""
+    """Answers that arrive in two batches of files, each run going on where the last one ended; a request counts once.
+
+    The second batch repeats what the first one has of repetition 1, five hours
+    later, and what it has of repetition 2 began an hour before everything else
+    and comes twice. In the end a batch is stored once more.
+    """
     root = scratch(spark, "stream")
-    rows = synth.responses(spark, sf_dir).select("model", "dataset_path", F.col("sample_id").cast("int").alias("sample_id"), "eval_id", "answer", "gold", F.lit("2024-01-01T00:00:00Z").alias("start_ts"))
-    for last in (1, 2):
-        # the second batch repeats what the first one has of repetition 1
-        rows.where(F.col("eval_id").between(last - 1, last)).write.mode("append").json(f"{root}/in")
-        stream = resume.once(resume.answers(spark, f"{root}/in"))
-        resume.run_once(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/out").groupBy("model", "eval_id").agg(F.count("*").alias("answers"), F.count_distinct("sample_id").alias("samples"))
+    rows = synth.responses(spark, sf_dir).select("model", "dataset_path", F.col("sample_id").cast("int").alias("sample_id"), "eval_id", "answer", "gold")
+    at = lambda moment: F.lit(f"2024-01-01T{moment}Z").alias("start_ts")
+    batches = [
+        rows.where("eval_id < 2").select("*", at("10:00:00")),
+        rows.where("eval_id = 1").select("*", at("15:00:01")).unionByName(rows.where("eval_id = 2").select("*", F.explode(F.array(at("09:00:00"), at("09:30:00"))).alias("start_ts"))),
+    ]
+    for batch in batches:
+        batch.write.mode("append").json(f"{root}/in")
+        resume.run_once(resume.answers(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    resume.store(batches[0].withColumn("start_ts", F.col("start_ts").cast("timestamp")), 0, f"{root}/out")
+    micros = F.unix_micros("start_ts")
+    return resume.stored(spark, f"{root}/out").groupBy("model", "eval_id").agg(F.count("*").alias("answers"), F.count_distinct("sample_id").alias("samples"), F.min(micros).alias("first_us"), F.max(micros).alias("last_us"))
 
 
 @query
@@ -136,12 +147,28 @@ def q_stream_rate(spark, sf_dir):
     """Requests of each model in sliding windows of 60 seconds, counted by a stream that has ended."""
     root = scratch(spark, "rate")
     q = synth.requests(spark, sf_dir).select("model", "start_ts")
-    written(q, "requests").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(q.schema).parquet(f"{root}/in")
-    name = f"rate_{root[-8:]}"
-    rate = resume.request_rate(stream).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
-    rate.awaitTermination()
-    return spark.table(name).select(F.unix_micros(F.col("window.start")).alias("from_us"), "model", "requests")
+    q.write.parquet(f"{root}/in")
+    rate = resume.request_rate(spark.readStream.schema(q.schema).parquet(f"{root}/in"))
+    resume.run_updates(rate, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return resume.latest_rates(spark.read.parquet(f"{root}/out")).select(F.unix_micros(F.col("window.start")).alias("from_us"), "model", "requests")
+
+
+@query
+def q_schedule(spark, sf_dir):
+    """When requests that arrive at the start of their day are sent under a rate and a number in flight, by a stream that is stopped and goes on."""
+    root = scratch(spark, "schedule")
+    day = 86_400_000_000
+    q = synth.requests(spark, sf_dir).select(
+        F.concat("model", (F.col("event_id") % 8).cast("string")).alias("model"), F.col("event_id").alias("request_id"),
+        (F.floor(F.unix_micros(F.col("start_ts").cast("timestamp")) / day) * day).cast("long").alias("arrival_us"), (F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))).alias("busy_us"),
+    )
+    limits = {f"{m}{k}": (0 if k % 4 == 0 else 6, in_flight) for m, in_flight in zip(synth.MODELS, (1, 2, 8), strict=True) for k in range(8)}
+    half = F.col("arrival_us") < F.unix_micros(F.lit("2024-01-15T00:00:00Z").cast("timestamp"))
+    for part in (half, ~half):
+        q.where(part).write.mode("append").parquet(f"{root}/in")
+        stream = schedule.scheduled(spark.readStream.schema(q.schema).parquet(f"{root}/in"), limits, seconds=600)
+        stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
 
 
 @query

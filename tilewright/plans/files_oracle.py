@@ -58,7 +58,19 @@ ORACLE_SQL |= {
         UNION ALL SELECT key, 'sample' FROM c WHERE n <= CASE category WHEN 'early' THEN 33 WHEN 'mid' THEN 33 WHEN 'late' THEN 34 ELSE 0 END""",
     "q_results_files": f"{_R} SELECT model, dataset, dataset_path, CAST(sample_id AS INT) AS sample_id, eval_id, answer, extracted, score FROM results",
     "q_partial_results": f"{_R} SELECT model, count(*) AS answers, sum(score) AS score, CAST(0 AS INT) AS complete FROM results WHERE model <> 'C' GROUP BY model",
-    "q_stream_once": f"{_R} SELECT model, eval_id, count(*) AS answers, count(DISTINCT sample_id) AS samples FROM responses GROUP BY model, eval_id",
+    "q_stream_once": f"""{_R} SELECT model, eval_id, count(*) AS answers, count(DISTINCT sample_id) AS samples, epoch_us(CASE eval_id WHEN 2 THEN TIMESTAMP '2024-01-01 09:00:00' ELSE TIMESTAMP '2024-01-01 10:00:00' END) AS first_us, first_us AS last_us
+        FROM responses GROUP BY model, eval_id""",
+    "q_schedule": f"""WITH RECURSIVE {_REQUESTS}, r AS (SELECT model || event_id % 8 AS model, event_id, start_us // 86400000000 * 86400000000 AS arrival, millis * 1000 AS busy,
+            CASE WHEN event_id % 4 = 0 THEN NULL ELSE 6 END AS per, CASE model WHEN 'A' THEN 1 WHEN 'B' THEN 2 ELSE 8 END AS cap FROM requests),
+        n AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY arrival, event_id) AS n FROM r),
+        s(model, n, event_id, arrival, submit, start, finish, times, ends) AS (
+            SELECT DISTINCT model, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM n
+            UNION ALL
+            SELECT model, n, event_id, arrival, submit, start, start + busy, (CASE WHEN len(times) >= per THEN times[2:] ELSE times END) || [submit], list_sort((CASE WHEN len(ends) >= cap THEN ends[2:] ELSE ends END) || [start + busy]) FROM (
+                SELECT *, CASE WHEN len(ends) >= cap THEN greatest(submit, ends[1]) ELSE submit END AS start FROM (
+                    SELECT n.model, n.n, n.event_id, n.arrival, n.busy, n.cap, n.per, s.times, s.ends, CASE WHEN len(s.times) >= n.per THEN greatest(n.arrival, s.start, s.times[1] + 600000000) ELSE greatest(n.arrival, s.start) END AS submit
+                    FROM s JOIN n ON n.model = s.model AND n.n = s.n + 1)))
+        SELECT model, event_id AS request_id, arrival AS arrival_us, submit AS submit_us, start AS start_us, finish AS end_us FROM s WHERE n > 0""",
     "q_stream_rate": f"""WITH {_REQUESTS}, w AS (SELECT model, start_us // 10000000 * 10000000 - 10000000 * k AS from_us FROM requests, range(6) AS r(k)) SELECT from_us, model, count(*) AS requests FROM w GROUP BY ALL""",
     "q_results_listed": f"{_R} SELECT model, CAST(sample_id AS INT) AS sample_id, eval_id, answer, score FROM results",
     "q_checkpoint_resume": f"""{_R}, {_WORK} SELECT w.model, w.dataset_path, CAST(w.sample_id AS INT) AS sample_id, w.eval_id FROM work w

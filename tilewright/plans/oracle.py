@@ -241,6 +241,13 @@ ORACLE_SQL: dict[str, str] = {
         avg(completion_tokens) AS mean_completion_tokens, CAST(sum(total_tokens) AS BIGINT) AS sum_total_tokens, avg(total_tokens) AS mean_total_tokens FROM requests WHERE prompt_tokens IS NOT NULL GROUP BY model""",
     "q_request_span": f"WITH {_REQUESTS} SELECT coalesce(model, 'all') AS model, min(start_us) AS first_us, max(end_us) AS last_us, (max(end_us) - min(start_us)) / 1e6::DOUBLE AS duration_s FROM requests GROUP BY ROLLUP (model)",
     "q_rate_60s": f"WITH {_REQUESTS} SELECT event_id, model, count(*) OVER (PARTITION BY model ORDER BY start_us RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW) AS in_window FROM requests",
+    # straight from the definition: each request follows the one `per` places before it
+    "q_rate_limited": f"""WITH RECURSIVE {_REQUESTS}, n AS (SELECT event_id, model, start_us // 86400000000 * 86400000000 AS arrival, CASE model WHEN 'A' THEN 5 WHEN 'B' THEN 11 END AS per,
+            row_number() OVER (PARTITION BY model ORDER BY start_us // 86400000000, event_id) - 1 AS number FROM requests),
+        s(event_id, model, number, per, arrival, submit) AS (
+            SELECT event_id, model, number, per, arrival, arrival FROM n WHERE per IS NULL OR number < per
+            UNION ALL SELECT n.event_id, n.model, n.number, n.per, n.arrival, greatest(n.arrival, s.submit + 3600000000) FROM s JOIN n ON n.model = s.model AND n.number = s.number + s.per)
+        SELECT event_id, model, number, submit AS submit_us, submit - arrival AS wait_us FROM s""",
     "q_in_flight": f"""WITH {_REQUESTS}, e AS (SELECT model, start_us AS moment, 1 AS step FROM requests UNION ALL SELECT model, end_us, -1 FROM requests),
         r AS (SELECT model, sum(step) OVER (PARTITION BY model ORDER BY moment, step ROWS UNBOUNDED PRECEDING) AS running FROM e) SELECT model, CAST(max(running) AS BIGINT) AS most_in_flight FROM r GROUP BY model""",
     "q_running_score": f"""{_R}, s AS (SELECT {_SAMPLE}, sum(score) AS final_score FROM results GROUP BY ALL)

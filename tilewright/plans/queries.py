@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boards, danger, prompt, text, tiles
-from ..operators import evaluation, metrics, sampling
+from ..operators import evaluation, limits, metrics, sampling
 from ..sources import boards as board_source
 from . import synth
 
@@ -269,6 +269,15 @@ def q_rate_60s(spark, sf_dir):
     return metrics.rate_window(synth.requests(spark, sf_dir)).select("event_id", "model", "in_window")
 
 
+@query
+def q_rate_limited(spark, sf_dir):
+    """When requests that all arrive at the start of their day may be sent, under another limit an hour for each model."""
+    day = 86_400_000_000
+    rows = synth.requests(spark, sf_dir).select("event_id", "model", (F.floor(F.unix_micros(F.col("start_ts").cast("timestamp")) / day) * day).cast("long").alias("arrival_us"))
+    limit = F.expr("CASE model WHEN 'A' THEN 5 WHEN 'B' THEN 11 END")
+    return limits.rate_limited(rows, limit, 3600).select("event_id", "model", "number", "submit_us", "wait_us")
+
+
 @query
 def q_in_flight(spark, sf_dir):
     return metrics.in_flight(synth.requests(spark, sf_dir))

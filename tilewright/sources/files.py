@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,24 +18,44 @@ def _listed(spark: SparkSession, path: str):
     return fs, {s.getPath().getName(): s for s in found}
 
 
+def _renamed(spark: SparkSession, fs, source, path: str) -> None:
+    """Rename a file; what has the name already is replaced. An error if the file system does not do it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(source, target):
+        raise OSError(f"{source.toString()} could not be renamed to {path}")
+
+
 def name_files(spark: SparkSession, path: str, name: Callable[[int, int], str]) -> None:
     """Give the part files in a folder the names name(k, how many there are). Only names are changed, no data is moved."""
     fs, found = _listed(spark, path)
     parts = sorted(n for n in found if n.startswith("part-"))
     for k, part in enumerate(parts):
-        fs.rename(found[part].getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, name(k, len(parts))))
+        _renamed(spark, fs, found[part].getPath(), f"{path}/{name(k, len(parts))}")
 
 
 def name_folders(spark: SparkSession, path: str, column: str, name: Callable[[str], str], suffix: str) -> None:
-    """Turn the folders column=value of a partitioned table into files name(value) + suffix, numbered where a folder has several."""
+    """Turn the folders column=value of a partitioned table into files name(value) + suffix, numbered where a folder has several.
+
+    What file names cannot have becomes an underscore; values whose files would
+    then have one name are an error. A folder is deleted when all its files have
+    been moved.
+    """
     fs, found = _listed(spark, path)
-    for folder in sorted(n for n in found if n.startswith(f"{column}=")):
-        stem = name(folder.split("=", 1)[1])
+    folders = sorted(n for n in found if n.startswith(f"{column}="))
+    stems = {n: re.sub(r'[\\/:*?"<>|]', "_", name(unquote(n.split("=", 1)[1]))) for n in folders}
+    if len(set(stems.values())) < len(stems):
+        raise ValueError(f"values of {column} give the same file name")
+    for folder, stem in stems.items():
         _, inside = _listed(spark, f"{path}/{folder}")
         parts = sorted(n for n in inside if n.startswith("part-"))
         for k, part in enumerate(parts):
             number = f"-{k:05d}" if len(parts) > 1 else ""
-            fs.rename(inside[part].getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{stem}{number}{suffix}"))
+            _renamed(spark, fs, inside[part].getPath(), f"{path}/{stem}{number}{suffix}")
+        _, left = _listed(spark, f"{path}/{folder}")
+        if any(n.startswith("part-") for n in left):
+            raise OSError(f"{path}/{folder} still has files")
         fs.delete(found[folder].getPath(), True)
 
 

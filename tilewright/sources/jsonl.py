@@ -33,10 +33,20 @@ def write_lines(df: DataFrame, path: str, text: str = "text", name: str | None =
         files.name_files(df.sparkSession, path, lambda k, n: f"{name}-{k:05d}.jsonl" if n > 1 else f"{name}.jsonl")
 
 
+#: Tasks that write parts, at most; beyond, a task writes several parts, one after the other.
+PART_TASKS = 10_000
+
+
+def dealt_parts(df: DataFrame, part: str, order: str, tasks: int = PART_TASKS) -> DataFrame:
+    """df with one partition for each part number from 0 up to the greatest, sorted by part and order."""
+    parts = (df.agg(F.max(part)).first()[0] or 0) + 1
+    n = max(1, min(parts, tasks))
+    return df.repartitionById(n, F.coalesce(F.pmod(F.col(part), F.lit(n)), F.lit(0)).cast("int")).sortWithinPartitions(part, order)
+
+
 def write_parts(df: DataFrame, path: str, part: str, order: str, line: str = "line") -> None:
-    """One folder for each part, its lines in the given order; a part is never split over tasks."""
-    rows = df.repartition(F.col(part)).sortWithinPartitions(part, order)
-    rows.select(F.col(part), F.col(line).alias("value")).write.mode("overwrite").partitionBy(part).text(path)
+    """One folder for each part, its lines in the given order. A part is a task of its own, so parts of equal sizes are tasks of equal sizes."""
+    dealt_parts(df, part, order).select(F.col(part), F.col(line).alias("value")).write.mode("overwrite").partitionBy(part).text(path)
 
 
 def write_buckets(df: DataFrame, path: str, bucket: str = "bucket", line: str = "line") -> None:
