@@ -108,6 +108,15 @@ def q_results_files(spark, sf_dir):
     return results.explode_entries(found).select("model", "dataset", "dataset_path", "sample_id", "eval_id", "answer", "extracted", "score")
 
 
+@query
+def q_results_large(spark, sf_dir):
+    """The same results from documents that are read by byte ranges, of which each cuts some."""
+    root = scratch(spark, "large")
+    results.write_results(_entries(spark, sf_dir), root, per_file=10 * results.ENTRIES)
+    found = results.read_results(spark, root, whole_bytes=0, split_bytes=1 << 18)
+    return results.explode_entries(found).select("model", "dataset", "dataset_path", "sample_id", "eval_id", "answer", "extracted", "score")
+
+
 @query
 def q_partial_results(spark, sf_dir):
     """Results of a run that is not over: they are no complete results, but are read by their path."""

@@ -57,6 +57,7 @@ ORACLE_SQL |= {
         SELECT key, 'file' AS taken FROM p, files WHERE file_no < files
         UNION ALL SELECT key, 'sample' FROM c WHERE n <= CASE category WHEN 'early' THEN 33 WHEN 'mid' THEN 33 WHEN 'late' THEN 34 ELSE 0 END""",
     "q_results_files": f"{_R} SELECT model, dataset, dataset_path, CAST(sample_id AS INT) AS sample_id, eval_id, answer, extracted, score FROM results",
+    "q_results_large": f"{_R} SELECT model, dataset, dataset_path, CAST(sample_id AS INT) AS sample_id, eval_id, answer, extracted, score FROM results",
     "q_partial_results": f"{_R} SELECT model, count(*) AS answers, sum(score) AS score, CAST(0 AS INT) AS complete FROM results WHERE model <> 'C' GROUP BY model",
     "q_stream_once": f"""{_R} SELECT model, eval_id, count(*) AS answers, count(DISTINCT sample_id) AS samples, epoch_us(CASE eval_id WHEN 2 THEN TIMESTAMP '2024-01-01 09:00:00' ELSE TIMESTAMP '2024-01-01 10:00:00' END) AS first_us, first_us AS last_us
         FROM responses GROUP BY model, eval_id""",
