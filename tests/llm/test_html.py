@@ -150,3 +150,19 @@ def test_very_deep_pages():
     began = time.process_time()
     assert html_text.main_text("<div>" * 100_000 + "deep" + "</div>" * 100_000) == "deep"
     assert time.process_time() - began < 8
+
+
+@pytest.mark.parametrize("item", ["<li><p>word, word.", "<dt>a<dd><p>x.", "<p><li>", "<tr><td><p>x", "<li><dd><p>x", "<p><table><tr><td>x"])
+@pytest.mark.parametrize("start", ["<ul>", "<dl>", "<table>", ""])
+def test_items_without_end_tags_take_linear_time(start, item):
+    began = time.process_time()
+    html_text.main_text(start + item * 100_000)
+    assert time.process_time() - began < 8
+
+
+def test_items_end_each_other():
+    paths = {b.path for b in html_text.blocks("<ul><li><p>a<li><p>b<li>c</ul>")}
+    assert len(paths) == 2  # ul li p and ul li
+    found = html_text.blocks("<table><tr><td><p>a<td>b<tr><td><p>c</table>")
+    assert [b.text for b in found] == ["a", "b", "c"] and len({b.path for b in found}) == 2
+    assert [b.text for b in html_text.blocks("<dl><dt>a<dd><p>b<dt>c<dd>d</dl>")] == ["a", "b", "c", "d"]

@@ -122,6 +122,23 @@ def test_blocks_and_hot_keys_give_the_same(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == want
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_rows_that_share_an_id_are_judged_each_by_its_text(spark, block):
+    rng = random.Random(12)
+    t, u = family(rng, 2, 100, 1), family(rng, 3, 100, 1)
+    rows = [(5, t[0]), (5, u[0]), (3, t[1]), (9, u[1]), (1, u[2])]
+    found = near_dedup.near_duplicates(documents(spark, [(i, x, None, None) for i, x in rows]), block_texts=block).collect()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found)
+    assert got == brute_components(rows)
+    assert [c for *_, c in got] == [1, 3, 1, 3, 1]
+    for seed in range(2):
+        rng = random.Random(seed)
+        texts = [x for _ in range(12) for x in family(rng, rng.randrange(1, 7), 60, 3)] + ["one two", "One two", "", None]
+        rows = [(rng.randrange(9), x) for x in texts for _ in range(rng.choice([1, 1, 2]))]
+        found = near_dedup.near_duplicates(documents(spark, [(i, x, None, None) for i, x in rows]), block_texts=block).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(rows)
+
+
 def test_near_duplicates_edges(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
     rows = near_dedup.near_duplicates(documents(spark, [(None, "a b c d e f", None, None), (3, "a b c d e f", None, None), (3, "a b c d e f", None, None), (2, "", None, None)])).collect()

@@ -274,14 +274,14 @@ def _parsed(html: str, excused: frozenset[int]) -> tuple[list[_Block], list[_Ele
         if name in _BLOCKS:
             close()
             e = stack[-1].block
-            while e is not root:
-                if name in _CLOSES.get(e.name, ()):
+            while e is not root and e.name in _CLOSES:
+                around = e.parent.block
+                if name in _CLOSES[e.name]:
                     while leave() is not e:
                         pass
+                elif e.name in _LISTS:
                     break
-                if e.name in _LISTS or e.name not in _CLOSES:
-                    break
-                e = e.parent.block
+                e = around
         rest = m["rest"]
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at)

@@ -86,7 +86,7 @@ def _circulant(size: int) -> Circulant:
 
 
 def _signed(rows: DataFrame, bands: int, per_band: int, width: int) -> DataFrame:
-    """doc_id, n_shingles, h1, h2 and the band hashes (null for texts without words) of rows doc_id, text."""
+    """doc_id, t, n_shingles, h1, h2 and the band hashes (null for texts without words) of rows doc_id, text, t."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = _circulant(bands * per_band)
@@ -102,9 +102,9 @@ def _signed(rows: DataFrame, bands: int, per_band: int, width: int) -> DataFrame
             some = np.array(sizes, np.int64) > 0
             offsets = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[some].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], names=["doc_id", "n_shingles", "h1", "h2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["t"], pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], names=["doc_id", "t", "n_shingles", "h1", "h2", "bands"])
 
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
+    return rows.mapInArrow(sign, "doc_id long, t long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
 class _Forest:
@@ -155,7 +155,7 @@ class _Texts:
         k = 0
         for chunk in table["text"].chunks:
             for s in shingle_sets(chunk, width):
-                # rows may share an id with the class's own; repeated rows come again
+                # repeated rows come again; ids are those of classes
                 if len(s) and ids[k] not in seen and set_hash(s) == (h1[k], h2[k]):
                     seen.add(ids[k])
                     sets.append(s)
@@ -226,17 +226,20 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     have none and are linked with nothing.  Two texts are linked if
     threshold[1] * |intersection| >= threshold[0] * |union|.  component_id is
     the smallest id that links lead to, and kept marks the rows that have it
-    for their own.  Rows that share an id are each taken for their own text.
+    for their own.  Links are between rows: rows that share an id are each taken
+    for their own text, and may belong to different components.
     A row with a null id takes no part: its component_id is null and kept is
     true.  The threshold may not be below 0.8, for which the bands are made.
     An empty table gives an empty result.  Other columns are not looked at.
     """
     if threshold[0] * 10 < threshold[1] * 8:
         raise ValueError("the bands are made for thresholds of 0.8 and more")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
     signed = written(_signed(rows, BANDS, ROWS, width), "signatures")
     takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    classes = signed.where(takes_part).groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    # rows may share an id without being of one class, so classes have numbers of their own
+    classes = signed.where(takes_part).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("first"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    classes = classes.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", F.col("first.doc_id").alias("least"), F.col("first.t").alias("t"), "n", "n_shingles", "bands")
     classes = written(classes, "classes")
     banded = classes.select("rep", F.explode("bands").alias("band"))
     centres = written(banded.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1"), "centres")
@@ -245,18 +248,18 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     roots = groups.select(F.col("component").alias("rep"), F.col("component").alias("cluster")).distinct()
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).unionByName(roots)
 
-    members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2"), "rep"), "members")
+    members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2", "least", "t"), "rep"), "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
     sizes = written(sizes.select("cluster", "n", F.col("n").alias("texts"), F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")), "sizes")
     many = not _empty(sizes.where("blocks > 1"))
     placed = joined(members, sizes, ["cluster"], _hot(sizes)).select(
-        "rep", "cluster", "h1", "h2", "n_shingles", "blocks",
+        "rep", "cluster", "h1", "h2", "least", "t", "n_shingles", "blocks",
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
         ((F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("hub"), "rep"), F.greatest(F.lit(1), F.floor(F.col("texts") / HUBS))) == 0)).alias("hub"),
     )
     placed = written(placed, "placed")
     # the texts of the groups alone, since all that follows needs no others
-    texts = placed.select("rep").join(rows.withColumnRenamed("doc_id", "rep").where("rep IS NOT NULL"), "rep")
+    texts = placed.select("rep", F.col("least").alias("doc_id"), "t").join(rows.where("doc_id IS NOT NULL"), ["doc_id", "t"]).select("rep", "text")
     if many:
         texts = written(texts, "texts")
 
@@ -277,8 +280,12 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
         if more is not None:
             known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
         found = found.unionByName(known)
-    of_class = classes.select("h1", "h2", "n", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    of_class = of_class.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
+    found = found.select(F.col("node").alias("rep"), "component")
+    found = written(found.unionByName(found.select(F.col("component").alias("rep"), "component").distinct()).join(classes.select("rep", "least"), "rep"), "found")
+    lowest = written(found.groupBy("component").agg(F.min("least").alias("lowest"), F.count("*").alias("n")), "lowest")
+    found = joined(found.select("rep", "component"), lowest, ["component"], _hot(lowest))
+    of_class = classes.select("h1", "h2", "n", "rep", "least").join(found.select("rep", "lowest"), "rep", "left")
+    of_class = of_class.select("h1", "h2", "n", F.coalesce("lowest", "least").alias("component"))
     kept = F.col("doc_id") == F.col("component")
     linked = joined(signed.where(takes_part).select("doc_id", "n_shingles", "h1", "h2"), of_class, ["h1", "h2"], _hot(classes))
     alone = signed.where(~takes_part).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
