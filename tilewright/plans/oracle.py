@@ -50,6 +50,33 @@ _SEEN = f"""
     ),
     f1 AS (SELECT *, list_transform(seen, lambda c: greatest(0, 4 - c)) AS remaining FROM f0)
 """
+# All ways to take a suit apart, tile by tile: x, y and z are what is left of the counts at place and the next two.
+_TEXTBOOK = """
+    hands AS (SELECT key, hand, len(meld_tiles[pov + 1]) // 3 AS calls FROM f1),
+    suits AS (SELECT DISTINCT hand[9 * s + 1:9 * s + 9] AS d FROM hands, range(3) AS r(s)),
+    ways(d, place, x, y, z, blocks, pair, v) AS (
+        SELECT d, 1, d[1], d[2], d[3], 0, 0, 0 FROM suits
+        UNION
+        SELECT d, place + m.step, CASE m.step WHEN 1 THEN y ELSE x - m.a END, CASE m.step WHEN 1 THEN z ELSE y - m.b END, CASE m.step WHEN 1 THEN coalesce(d[place + 3], 0) ELSE z - m.c END, ways.blocks + m.blocks, ways.pair + m.pair, ways.v + m.v
+        FROM ways JOIN (VALUES (1, 0, 0, 0, 0, 0, 0), (0, 1, 0, 0, 0, 0, 0), (0, 3, 0, 0, 1, 0, 2), (0, 1, 1, 1, 1, 0, 2), (0, 1, 1, 0, 1, 0, 1), (0, 1, 0, 1, 1, 0, 1), (0, 2, 0, 0, 1, 0, 1), (0, 2, 0, 0, 0, 1, 1)) AS m(step, a, b, c, blocks, pair, v)
+          ON CASE m.step WHEN 1 THEN x = 0 AND place < 9 ELSE x >= m.a AND y >= m.b AND z >= m.c AND ways.blocks + m.blocks <= 4 AND ways.pair + m.pair <= 1 END
+    ),
+    suit_best AS (SELECT d, blocks, pair, max(v) AS v FROM ways WHERE place = 9 AND x = 0 GROUP BY ALL),
+    kinds AS (SELECT DISTINCT key, unnest(hand[28:34]) AS n, generate_subscripts(hand[28:34], 1) AS kind FROM hands),
+    honors(key, kind, blocks, pair, v) AS (
+        SELECT key, 0, 0, 0, 0 FROM hands
+        UNION
+        SELECT h.key, k.kind, h.blocks + m.blocks, h.pair + m.pair, h.v + m.v
+        FROM honors h JOIN kinds k ON k.key = h.key AND k.kind = h.kind + 1 JOIN (VALUES (0, 0, 0, 0), (3, 1, 0, 2), (2, 1, 0, 1), (2, 0, 1, 1)) AS m(least, blocks, pair, v) ON k.n >= m.least AND h.blocks + m.blocks <= 4 AND h.pair + m.pair <= 1
+    ),
+    honor_best AS (SELECT key, blocks, pair, max(v) AS v FROM honors WHERE kind = 7 GROUP BY ALL),
+    two AS (SELECT h.key, a.blocks + b.blocks AS blocks, a.pair + b.pair AS pair, max(a.v + b.v) AS v FROM hands h JOIN suit_best a ON a.d = h.hand[1:9] JOIN suit_best b ON b.d = h.hand[10:18] WHERE a.blocks + b.blocks <= 4 AND a.pair + b.pair <= 1 GROUP BY ALL),
+    three AS (SELECT h.key, a.blocks + b.blocks AS blocks, a.pair + b.pair AS pair, max(a.v + b.v) AS v FROM hands h JOIN two a ON a.key = h.key JOIN suit_best b ON b.d = h.hand[19:27] WHERE a.blocks + b.blocks <= 4 AND a.pair + b.pair <= 1 GROUP BY ALL),
+    whole AS (SELECT h.key, h.calls, h.hand, CAST(8 - 2 * h.calls - max(a.v + b.v) AS INT) AS standard FROM hands h JOIN three a ON a.key = h.key JOIN honor_best b ON b.key = h.key WHERE a.blocks + b.blocks + h.calls <= 4 AND a.pair + b.pair <= 1 GROUP BY h.key, h.calls, h.hand)
+    SELECT key, standard, CAST(CASE WHEN calls > 0 THEN standard ELSE least(standard,
+        6 - len(list_filter(hand, lambda c: c >= 2)) + greatest(0, 7 - len(list_filter(hand, lambda c: c >= 1))),
+        13 - len(list_filter([1, 9, 10, 18, 19, 27, 28, 29, 30, 31, 32, 33, 34], lambda i: hand[i] > 0)) - CASE WHEN len(list_filter([1, 9, 10, 18, 19, 27, 28, 29, 30, 31, 32, 33, 34], lambda i: hand[i] > 1)) > 0 THEN 1 ELSE 0 END) END AS INT) AS shanten FROM whole
+"""
 # The moves from the lowest tile of a suit, which is written as digits without the zeros before its lowest tile.
 _SHANTEN = """
     hands AS (SELECT key, -1 AS tile, 0 AS open, hand AS h FROM f1
@@ -187,6 +214,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_shanten_special": f"""{_B} SELECT key, CAST(6 - len(list_filter(hand, lambda c: c >= 2)) + greatest(0, 7 - len(list_filter(hand, lambda c: c >= 1))) AS INT) AS pairs,
         CAST(13 - len(list_filter([1, 9, 10, 18, 19, 27, 28, 29, 30, 31, 32, 33, 34], lambda i: hand[i] > 0)) - CASE WHEN len(list_filter([1, 9, 10, 18, 19, 27, 28, 29, 30, 31, 32, 33, 34], lambda i: hand[i] > 1)) > 0 THEN 1 ELSE 0 END AS INT) AS orphans FROM f1""",
     "q_shanten": f"WITH RECURSIVE {_BOARDS}, {_SEEN}, {_SHANTEN} SELECT * FROM found",
+    "q_shanten_textbook": f"WITH RECURSIVE {_BOARDS}, {_SEEN}, {_TEXTBOOK}",
     "q_tile_danger": f"{_B}, {_DANGER} SELECT key, tile, danger FROM dangers",
     "q_danger_prob": f"{_B}, {_DANGER} SELECT key, round(safe_prob, 9) AS safe_prob, round(avg_prob, 9) AS avg_prob, round(risk_prob, 9) AS risk_prob FROM probs",
     "q_prompt": _TEXT_OF_BOARDS,

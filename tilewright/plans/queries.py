@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import boards, danger, prompt, text, tiles
+from ..functions import boards, danger, prompt, text, textbook, tiles
 from ..operators import evaluation, limits, metrics, sampling
 from ..sources import boards as board_source
 from . import synth
@@ -73,6 +73,14 @@ def q_shanten(spark, sf_dir):
     return features(synth.boards(spark, sf_dir)).select("key", "standard", "shanten", "ukeire")
 
 
+@query
+def q_shanten_textbook(spark, sf_dir):
+    """By the textbook, with the own seat's calls as blocks that are there."""
+    b = synth.boards(spark, sf_dir)
+    calls = F.expr("CAST(aggregate(melds[pov], 0, (a, x) -> a + x) DIV 3 AS INT)")
+    return b.select("key", textbook.textbook_shanten(F.col("hand"), F.col("hand"), calls).alias("r")).select("key", "r.standard", "r.shanten")
+
+
 @query
 def q_tile_danger(spark, sf_dir):
     b = features(synth.boards(spark, sf_dir))
