@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.evaluation import KEYS
 from ..sources import files
@@ -32,23 +33,24 @@ def _batches(spark: SparkSession, path: str) -> dict[int, str]:
     return {n: folder for n, folder in numbers.items() if files.exists(spark, f"{folder}/_SUCCESS")}
 
 
-def stored(spark: SparkSession, path: str, schema: str = ANSWERS, before: int | None = None) -> DataFrame:
-    """What is stored in a folder: all of it, or what the batches before one have stored."""
-    folders = [folder for n, folder in sorted(_batches(spark, path).items()) if before is None or n < before]
+def stored(spark: SparkSession, path: str, schema: str | StructType = ANSWERS, before: int | None = None, only: int | None = None) -> DataFrame:
+    """What is stored in a folder: all of it, what the batches before one have stored, or only one."""
+    folders = [folder for n, folder in sorted(_batches(spark, path).items()) if (before is None or n < before) and only in (None, n)]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def store(rows: DataFrame, batch: int, path: str) -> None:
+def store(rows: DataFrame, batch: int, path: str, asked: DataFrame | None = None) -> None:
     """Store a batch's requests that no batch before it has stored.
 
     Each batch has a folder of its own, which it overwrites, and is compared
     with those before it alone; so a batch that is run again, after a failure
-    at any point, changes nothing.  The batch's own keys are looked up in what
-    is stored, of which no other columns are read.
+    at any point, changes nothing.  The batch's own keys, or those of asked if
+    that is given (so that rows is computed once), are looked up in what is
+    stored, of which no other columns are read.
     """
     spark = rows.sparkSession
     rows = first_answers(rows)
-    known = stored(spark, path, before=batch).select(*KEYS).join(rows.select(*KEYS), KEYS, "left_semi")
+    known = stored(spark, path, rows.schema, before=batch).select(*KEYS).join((rows if asked is None else asked).select(*KEYS), KEYS, "left_semi")
     new = rows.join(known, KEYS, "left_anti")
     new.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/batch={batch}")
 
