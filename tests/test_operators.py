@@ -141,7 +141,9 @@ def test_reports_read_back(spark, tmp_path):
     scores_ = spark.createDataFrame([("a", 1.5), ("b", -2.0)], "model string, score double")
     times = spark.createDataFrame([("a", 3.0, 1.5, 2)], "model string, total_seconds double, mean_seconds double, requests long")
     lines_ = results.report(scores_, times)
-    assert "  a: 总耗时 3.00秒, 平均耗时 1.50秒, 请求次数 2" in lines_
+    assert "  a: 总耗时 3.00秒, 平均耗时 1.50秒, 请求次数 2" in lines_ and "  b: 总耗时 0.00秒, 平均耗时 0.00秒, 请求次数 0" in lines_
+    none = spark.createDataFrame([], "model string, requests long")
+    assert results.report(scores_, tokens=none)[-2:] == ["  a: 暂无Token消耗数据", "  b: 暂无Token消耗数据"]
     (tmp_path / "r.txt").write_text("\n".join(lines_), encoding="utf-8")
     assert {(r.model, r.score) for r in results.read_scores(spark, str(tmp_path / "r.txt")).collect()} == {("a", 1.5), ("b", -2.0)}
 
@@ -160,6 +162,29 @@ def test_settings_of_models(spark):
     assert tasks.settings_table(spark, [a]).first().temperature == 0.1
 
 
+def test_settings_are_moved_into_their_ranges():
+    a = tasks.ModelSettings(temperature=9, top_p=-1, max_tokens=0, timeout=1e6, max_concurrent_requests=0, max_concurrent_total=-5).in_range()
+    assert (a.temperature, a.top_p, a.max_tokens, a.timeout, a.max_concurrent_requests, a.max_concurrent_total) == (2.0, 0.0, 1, 600.0, 1, -1)
+    assert tasks.ModelSettings().in_range() == tasks.ModelSettings()
+    c = results.EvaluationConfig(sample_count=0, eval_times=101, correct_score=-1, wrong_score=1).in_range()
+    assert (c.sample_count, c.eval_times, c.correct_score, c.wrong_score) == (1, 100, 0, 0)
+
+
+def test_errors_are_told(spark):
+    def ask(request):
+        raise KeyError("x") if request["sample_id"] else OSError("no answer")
+
+    df = spark.createDataFrame([("m", "d", i, 0) for i in range(2)], "model string, dataset_path string, sample_id long, eval_id int")
+    assert {r.error for r in evaluation.predict_timed(df, ask).collect()} == {"KeyError('x')", "OSError('no answer')"}
+
+    def call(batch):
+        raise ValueError("broken")
+
+    schema = "model string, dataset_path string, sample_id long, eval_id int, answer string, prompt_tokens int, completion_tokens int, total_tokens int"
+    assert {r.error for r in evaluation.predict(df, call, f"{schema}, error string").collect()} == {"ValueError('broken')"}
+    assert [r.answer for r in evaluation.predict(df, call, schema).collect()] == ["", ""]
+
+
 def test_checkpoints_and_tasks(spark, tmp_path):
     (tmp_path / "temp_progress_1.json").write_text('{"task_name": "t", "scores": {"a": 1.0}, "completed_requests": 1, "total_tasks": 9}')
     (tmp_path / "temp_progress_2.json").write_text('{"task_name": "t",\n "scores": {"a": 2.0}, "completed_requests": 5, "total_tasks": 9, "unfinished_requests": [{"model": "a", "dataset": "d", "sample_id": 1, "eval_id": 0, "reason": "unfinished"}]}')

@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import extract_answer, is_blank, score
 from .prefix import first_rows
@@ -61,42 +62,47 @@ def budget(requests: DataFrame, limit: int | None) -> DataFrame:
 
 
 def predict(requests: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Answers of a model: call() gets some requests as pandas rows and gives answers; what it raises counts as empty answers without tokens."""
+    """Answers of a model: call() gets some requests as pandas rows and gives answers; what it raises counts as empty answers without tokens, and is told in the column error if the schema has one."""
+    told = "error" in StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             try:
-                yield call(batch)
-            except Exception:  # a model that fails must not end the run
-                yield batch.assign(answer="", prompt_tokens=0, completion_tokens=0, total_tokens=0)
+                answers = call(batch)
+                yield answers.assign(error=None) if told and "error" not in answers else answers
+            except Exception as e:  # a model that fails must not end the run
+                yield batch.assign(answer="", prompt_tokens=0, completion_tokens=0, total_tokens=0, **({"error": repr(e)} if told else {}))
 
     return requests.mapInPandas(run, schema)
 
 
 def predict_timed(requests: DataFrame, ask: Callable[[dict], dict]) -> DataFrame:
-    """requests with answer and the three token counts, which ask() gives for one request, and start_ts, end_ts and seconds of the call.
+    """requests with answer and the three token counts, which ask() gives for one request, start_ts, end_ts and seconds of the call, and error.
 
-    A call that raises is timed too, and counts as an empty answer without tokens.
+    A call that raises is timed too, and counts as an empty answer without
+    tokens; error says what it raised, and is null for others.
     """
     counts = ("prompt_tokens", "completion_tokens", "total_tokens")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            given, starts, seconds = [], [], []
+            given, starts, seconds, errors = [], [], [], []
             for request in batch.to_dict("records"):
                 starts.append(time.time())
                 clock = time.perf_counter()
                 try:
                     given.append(ask(request))
-                except Exception:  # a model that fails must not end the run
+                    errors.append(None)
+                except Exception as e:  # a model that fails must not end the run
                     given.append({})
+                    errors.append(repr(e))
                 seconds.append(time.perf_counter() - clock)
             start, took = np.array(starts), np.array(seconds)
             moments = {name: pd.to_datetime(x, unit="s").floor("us") for name, x in (("start_ts", start), ("end_ts", start + took))}
-            yield batch.assign(answer=[g.get("answer", "") for g in given], **{c: [int(g.get(c, 0)) for g in given] for c in counts}, **moments, seconds=took)
+            yield batch.assign(answer=[g.get("answer", "") for g in given], **{c: [int(g.get(c, 0)) for g in given] for c in counts}, **moments, seconds=took, error=pd.Series(errors, batch.index, dtype=object))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema)
-    return requests.mapInPandas(run, f"{schema}, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double")
+    return requests.mapInPandas(run, f"{schema}, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double, error string")
 
 
 def scored(responses: DataFrame, correct: float = 1.0, wrong: float = 0.0) -> DataFrame:

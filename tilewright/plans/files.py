@@ -10,9 +10,9 @@ from ..operators import evaluation, metrics, sampling
 from ..scratch import scratch, written
 from ..sources import boards as board_source
 from ..sources import files, jsonl, results, tasks
-from ..streaming import resume, schedule
+from ..streaming import resume, runs, schedule
 from . import synth
-from .queries import _lines, _work, query
+from .queries import _lines, _work, query, training_text
 
 
 def _raw_lines(spark, sf_dir) -> DataFrame:
@@ -359,6 +359,35 @@ def q_board_files(spark, sf_dir):
     return df.groupBy(text.base_name(F.col("source_file")).alias("file_name")).agg(F.count("*").alias("boards"), F.sum("c0").alias("winds"))
 
 
+@query
+def q_convert_folder(spark, sf_dir):
+    """The training lines of a folder's files, in a file named after each; the file that is not readable is passed over."""
+    out = scratch(spark, "converted")
+    read = board_source.read_boards(spark, _board_files(spark, sf_dir), skip_unreadable=True)
+    packed = board_source.pack(read.withColumn("_file", files.output_name(F.lit("train"), F.col("source_file"))), "_file", "source_row")
+    lines = training_text(packed).select("_file", "source_row", jsonl.to_line("text").alias("line"))
+    jsonl.write_named(lines, out, "_file", ["source_row"])
+    found = jsonl.read_lines(spark, out).select(files.file_name().alias("file_name"), F.get_json_object("line", "$.text").alias("text"))
+    return found.groupBy("file_name", "text").agg(F.count("*").alias("n"))
+
+
+@query
+def q_evaluation_run(spark, sf_dir):
+    """A run that is stopped after its first slice and another one that does the rest, with their progress."""
+    path = scratch(spark, "run")
+    work = written(_work(spark, sf_dir).where("eval_id = 0"), "work")
+    ask = lambda request: {"answer": f"{request['model']}{request['sample_id']}"}
+    first = runs.Evaluation(spark, work, ask, path, slices=2)
+    first.after_slice = lambda k: first.stop() if k == 0 else None
+    first.start().join()
+    rest = runs.Evaluation(spark, work, ask, path, slices=2)
+    stopped = spark.createDataFrame([(m, n < total) for m, (n, total) in first.progress.current().items()], "model string, stopped boolean")
+    rest.start().join()
+    done = spark.createDataFrame([(m, n, total) for m, (n, total) in rest.progress.current().items()], "model string, done long, total long")
+    stored = resume.stored(spark, path, runs.ANSWERS).groupBy("model").agg(F.count("*").alias("answers"), F.count_distinct("answer").alias("distinct"))
+    return stored.join(done, "model").join(stopped, "model")
+
+
 @query
 def q_limit_per_file(spark, sf_dir):
     """The first 100 boards of each file."""

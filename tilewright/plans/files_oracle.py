@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import _B, _BUCKET, _CATEGORY, _LINES, _NAMES, _PROMPTS, _R, _REQUESTS, _RESPONSES, _WORK, ORACLE_SQL, _strip
+from .oracle import _TEXT_OF_BOARDS, _B, _BUCKET, _CATEGORY, _LINES, _NAMES, _PROMPTS, _R, _REQUESTS, _RESPONSES, _WORK, ORACLE_SQL, _strip
 
 _RAW = "SELECT key, text, CASE key % 13 WHEN 3 THEN '' WHEN 4 THEN '  ' WHEN 5 THEN '{bad' WHEN 6 THEN '{\"other\": 1}' ELSE '{\"text\":' || CAST(to_json(text) AS VARCHAR) || '}' END AS line FROM prompts"
 _SETS = "SELECT 'data/set_' || (o_orderkey % 3) || '.jsonl' AS dataset_path, o_orderkey AS sample_id FROM orders"
@@ -99,6 +99,8 @@ ORACLE_SQL |= {
     "q_tile_index": f"{_R} SELECT model, sample_id, eval_id, CAST(coalesce(list_position({_NAMES}, extracted), 0) - 1 AS INT) AS tile FROM results",
     "q_count_map": f"{_B}, t AS (SELECT key, unnest(hand_tiles) AS t FROM f1) SELECT key, {_NAMES}[t + 1] AS tile, CAST(count(*) AS INT) AS n FROM t GROUP BY ALL",
     "q_board_files": "SELECT 'boards_' || (o_orderkey % 3) || '.parquet' AS file_name, count(*) AS boards, CAST(sum(o_orderkey % 5) AS BIGINT) AS winds FROM orders GROUP BY ALL",
+    "q_convert_folder": f"SELECT 'train-boards_' || key % 3 || '.jsonl' AS file_name, text, count(*) AS n FROM ({_TEXT_OF_BOARDS}) GROUP BY ALL",
+    "q_evaluation_run": f"""{_R}, {_WORK} SELECT model, count(*) AS answers, count(DISTINCT sample_id) AS distinct, count(*) AS done, count(*) AS total, true AS stopped FROM work WHERE eval_id = 0 GROUP BY model""",
     "q_limit_per_file": "SELECT o_orderkey AS key FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) <= 100",
     "q_predict": f"""{_R}, {_WORK} SELECT model, sample_id, eval_id, CASE WHEN sample_id % 5 = 0 THEN '' ELSE model || sample_id END AS answer, CAST(CASE WHEN sample_id % 5 = 0 THEN 0 ELSE 3 + eval_id END AS INT) AS total_tokens, true AS timed FROM work""",
     "q_top_k": f"""{_R}, l AS (SELECT model, sample_id, any_value(gold) AS gold, list(extracted ORDER BY eval_id) AS found FROM results GROUP BY model, sample_id)

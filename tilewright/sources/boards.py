@@ -37,8 +37,8 @@ def _number(df: DataFrame, i: int, default: int | None) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
-def pack(df: DataFrame) -> DataFrame:
-    """Named scalars and arrays from the positions; positions that are not used are never read.
+def pack(df: DataFrame, *keep: str) -> DataFrame:
+    """Named scalars and arrays from the positions, and the columns in keep; positions that are not used are never read.
 
     melds and discards are four arrays of 34 counts, riichi four flags.
     """
@@ -54,6 +54,7 @@ def pack(df: DataFrame) -> DataFrame:
         F.array(*map(counts, MELDS)).alias("melds"),
         F.array(*map(counts, DISCARDS)).alias("discards"),
         F.when(game.isNull() | game.isin("0", "0.0", "NaN"), "").otherwise(game).alias("game_id"),
+        *keep,
     )
 
 

@@ -54,6 +54,13 @@ def write_buckets(df: DataFrame, path: str, bucket: str = "bucket", line: str =
     df.select(F.col(bucket), F.col(line).alias("value")).write.mode("overwrite").partitionBy(bucket).text(path)
 
 
+def write_named(df: DataFrame, path: str, file_name: str, order: list[str], line: str = "line") -> None:
+    """One file for each value of file_name, which it is called, its lines in order; a file is written by one task, as a stream."""
+    rows = df.repartition(F.col(file_name)).sortWithinPartitions(file_name, *order)
+    rows.select(F.col(file_name), F.col(line).alias("value")).write.mode("overwrite").partitionBy(file_name).text(path)
+    files.name_folders(df.sparkSession, path, file_name, lambda v: v, "")
+
+
 def write_part_files(df: DataFrame, path: str, part: str, order: str, prefix: str, line: str = "line") -> None:
     """write_parts() as files prefix_00000.jsonl and so on."""
     write_parts(df, path, part, order, line)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from ..operators.evaluation import KEYS, pending, predict_timed
 from . import resume
 
-ANSWERS = "model string, dataset_path string, sample_id long, eval_id int, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double"
+ANSWERS = "model string, dataset_path string, sample_id long, eval_id int, answer string, prompt_tokens int, completion_tokens int, total_tokens int, start_ts timestamp_ntz, end_ts timestamp_ntz, seconds double, error string"
 
 
 class Progress:
@@ -51,6 +51,7 @@ class Evaluation:
         self.spark, self.work, self.ask, self.path, self.slices = spark, work, ask, path, slices
         self.progress = Progress({r["model"]: r["count"] for r in work.groupBy("model").count().collect()})
         self.error: BaseException | None = None
+        self.after_slice: Callable[[int], None] = lambda k: None
         self._tag = f"evaluation-{uuid.uuid4().hex}"
         self._stop = threading.Event()
         self._thread: threading.Thread | None = None
@@ -92,6 +93,7 @@ class Evaluation:
                 resume.store(predict_timed(mine, self.ask), first + k, self.path, mine)
                 stored = resume.stored(self.spark, self.path, ANSWERS, only=first + k)
                 self.progress.stored(first + k, {r["model"]: r["count"] for r in stored.groupBy("model").count().collect()})
+                self.after_slice(k)
         except Exception as e:
             if not self._stop.is_set():  # an interrupted slice is no failure
                 self.error = e
