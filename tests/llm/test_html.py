@@ -58,11 +58,11 @@ def test_the_scores_decide(monkeypatch):
 
 
 def brute_content(rows):
-    """Which of rows (path with marks, text, linked characters, place of the block that leads to it) hold content; all sums written out."""
+    """Which of rows (path with marks, text, linked characters, place of the block that leads to it, whether in an article) hold content; all sums written out."""
     marks = lambda text: sum(text.count(c) for c in ".,;:!?、。！，：；？…¿¡")
 
     def ratio(path, k):
-        mine = [(len(t) - n, marks(t) if n < len(t) else 0) for p, t, n, _ in rows if p == path]
+        mine = [(len(t) - n, marks(t) if n < len(t) else 0) for p, t, n, *_ in rows if p == path]
         return sum(x[k] for x in mine) / len(mine)
 
     def kin(a, b):
@@ -72,12 +72,15 @@ def brute_content(rows):
         return (same / max(len(a), len(b))) ** 2
 
     def weight(path):
-        return (1, 0.05, 0.01)[max(m for _, m in path)]
+        return (1, 0.5, 0.01)[max(m for _, m in path)]
 
     def score(path):
         out = []
-        for i, (p, _, _, lead) in enumerate(rows):
+        for i, (p, t, n, lead, inside) in enumerate(rows):
             if p == path:
+                if n >= 0.9 * len(t) and lead is None and not inside:
+                    out.append(math.sqrt(ratio(p, 0) * (1 + ratio(p, 1))) * weight(path))
+                    continue
                 near = [(kin(path, rows[j][0]) * math.exp(-((i - j) ** 2) / 2), rows[j][0]) for j in range(len(rows)) if abs(i - j) <= 2]
                 near += [(1, rows[lead][0])] if lead is not None else []
                 text, mark = (sum(w * ratio(q, k) for w, q in near) / sum(w for w, _ in near) for k in (0, 1))
@@ -86,7 +89,7 @@ def brute_content(rows):
 
     mass = [len(t) * weight(p) for p, t, *_ in rows]
     usual = sum(m * score(p) for m, (p, *_) in zip(mass, rows, strict=True)) / sum(mass)
-    return [score(p) >= 0.25 * usual for p, *_ in rows] if usual else None
+    return [score(p) >= 0.35 * usual for p, *_ in rows] if usual else None
 
 
 def random_page(rng):
@@ -119,7 +122,7 @@ def test_scores_against_a_direct_reading():
             while p is not None:
                 path.insert(0, (p.name, p.mark))
                 p = p.up
-            rows.append((tuple(path), b.text, b.linked, None if lead is None else found.index(lead)))
+            rows.append((tuple(path), b.text, b.linked, None if lead is None else found.index(lead), b.element.inside))
         want = brute_content(rows)
         if want is not None:
             content = html_text.content_paths(found, html_text.path_scores(found))
@@ -166,3 +169,35 @@ def test_items_end_each_other():
     found = html_text.blocks("<table><tr><td><p>a<td>b<tr><td><p>c</table>")
     assert [b.text for b in found] == ["a", "b", "c"] and len({b.path for b in found}) == 2
     assert [b.text for b in html_text.blocks("<dl><dt>a<dd><p>b<dt>c<dd>d</dl>")] == ["a", "b", "c", "d"]
+
+
+SECTIONS = paragraphs(3)
+
+
+@pytest.mark.parametrize("mark", ["share-price", "follow-up", "reply", "related-work", "search-history", "social-contract"])
+def test_dense_text_makes_up_for_a_word(mark):
+    """A section of the article whose class has a word that others use for menus and the like."""
+    html = f"<body><nav><a href=/>Home</a></nav><article>{marked_up(STORY)}<section class={mark}>{marked_up(SECTIONS)}</section></article></body>"
+    assert kept(html) == [*STORY, *SECTIONS]
+    few = f"<body><article>{marked_up(STORY)}<section class={mark}><p>Send</p><p>To a friend</p></section></article></body>"
+    assert kept(few) == STORY
+
+
+@pytest.mark.parametrize("mark", ["id=kommentare", "class=werbung", "class='publicité'", "class=anuncios", "class=user-comments", "id=Kommentar-Liste", "class=comentarios"])
+def test_marks_in_four_languages(mark):
+    assert kept(f"<body><div>{marked_up(STORY)}</div><div {mark}>{marked_up(SECTIONS)}</div></body>") == STORY
+
+
+@pytest.mark.parametrize("aside", ["<ul><li>Sol<li>Mar<li>Luz</ul>", "<div>Kurz</div><div>Neu</div>", "<table><tr><td>1<td>2<tr><td>3<td>4</table>", "<div><a href=/a>Home</a> <a href=/b>News</a> <a href=/c>Sport</a></div>"])
+@pytest.mark.parametrize("before", [True, False])
+def test_text_and_punctuation_alone_tell_content(aside, before):
+    """Nothing but how long the text is and how it is punctuated: no class, id or landmark."""
+    parts = [aside, f"<div><section>{marked_up(STORY)}</section></div>"]
+    assert kept(f"<body><div>{''.join(parts if before else parts[::-1])}</div></body>") == STORY
+
+
+def test_the_ratios_change_what_the_marks_alone_would_give(monkeypatch):
+    pages = [f"<body><div>{marked_up(STORY)}</div><ul><li>Sol<li>Mar</ul><div class=related>{marked_up(SECTIONS)}</div></body>", PAGE]
+    want = [kept(p) for p in pages]
+    monkeypatch.setattr(html_text, "path_scores", lambda found: {b.path: html_text.WEIGHTS[b.path.mark] for b in found})
+    assert all(kept(p) != w for p, w in zip(pages, want, strict=True))

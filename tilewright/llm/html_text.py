@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RADIUS = 2  # of the smoothing, in blocks
-LEAST = 0.25  # of the page's usual score: what a path needs to hold content
-WEIGHTS = (1.0, 0.05, 0.01)  # of paths without a mark, with a weak one and with a strong one
+LEAST = 0.35  # of the page's usual score: what a path needs to hold content
+WEIGHTS = (1.0, 0.5, 0.01)  # of paths without a mark, with a weak one, which dense text makes up for, and with a strong one
 
 # Element names and the words in class, id and role that tell their use.
 _WEAKLY, _STRONGLY = 1, 2  # marks
@@ -50,9 +50,12 @@ _LEFT_OUT_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices notification notifications alert alerts warning disclaimer popup modal overlay lightbox interstitial "
     "newsletter subscribe subscription signup register login signin paywall form search searchbox "
     "social share sharing sharebar follow related recommended recommendations recirculation trending popular teaser teasers widget widgets toolbar pagination pager paging "
-    "copyright legal skip hidden invisible author authors bio".split()
+    "copyright legal skip hidden invisible author authors bio "
+    "anzeige anzeigen seitenleiste kopfzeile fusszeile fußzeile navigationsleiste hinweis suche teilen abonnieren verwandt "
+    "publicité publicite publicités publicites encart entête entete recherche partage partager abonnement "
+    "publicidad anuncio anuncios cabecera lateral navegación navegacion búsqueda busqueda compartir suscripción suscripcion relacionados relacionadas".split()
 )
-_STRONG = ("comment", "advert", "sponsor", "disqus")  # words that begin so mark whatever an element holds
+_STRONG = ("comment", "komment", "coment", "advert", "werb", "publici", "anunci", "sponsor", "disqus")  # words that begin so mark whatever an element holds
 _WEAK_NAMES = frozenset("form fieldset header".split())
 _LINE_WORDS = frozenset("header masthead teaser teasers warning notice alert disclaimer".split())  # that mark no heading, paragraph or part of one
 _FRAME_WORDS = frozenset("has have with without no is".split())  # as in has-sidebar: says what an element is next to
@@ -84,7 +87,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_WORDS = re.compile(r"[A-ZÀ-Þ]?[a-zß-ÿ]+|[A-ZÀ-Þ]+(?![a-zß-ÿ])")
 
 
 class _Path:
@@ -199,7 +202,7 @@ def blocks(html: str) -> list[_Block]:
             e.path = e.parent.path
     for b in found:
         rights = not b.element.inside and len(b.text) < 200 and _RIGHTS.match(b.text)
-        b.path = b.element.path.to("©", _WEAKLY) if rights else b.element.path
+        b.path = b.element.path.to("©", _STRONGLY) if rights else b.element.path
     return found
 
 
@@ -345,6 +348,8 @@ def path_scores(found: list[_Block]) -> dict[_Path, float]:
             near.append((kin * math.exp(-((i - j) ** 2) / 2), other))
         if lead is not None:
             near.append((1.0, lead.path))
+        elif found[i].linked >= 0.9 * len(found[i].text) and not found[i].element.inside:
+            near = [(1.0, path)]  # links that nothing leads to, as a menu right before the text, have no share in what is around them
         weight = sum(w for w, _ in near)
         text, marks = (sum(w * ratios[p][k] for w, p in near) / weight for k in (0, 1))
         x = fused.setdefault(path, [0, 0])
