@@ -429,3 +429,12 @@ def test_pipeline(spark, sf_dir):
     fourth = [r.doc_id for r in named["source_mix"].collect()]
     assert set(fourth) <= set(third) and max(map(fourth.count, set(fourth))) <= 3
     assert named["byte_bpe"].count() == len(fourth)
+
+
+def test_language_of_rows_with_small_ids_and_too_large_a_model(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "the cat and the dog" if i % 2 else "die Katze und der Hund", "en" if i % 2 else "de") for i in range(40)], "doc_id int, text string, lang string")
+    found = language_id.languages(rows).collect()
+    assert len(found) == 40 and all(r.lang_pred == ("en" if r.doc_id % 2 else "de") for r in found)
+    monkeypatch.setattr(language_id, "MODEL_BYTES", 100)
+    with pytest.raises(ValueError, match="fewer documents"):
+        language_id.languages(rows)

@@ -164,7 +164,12 @@ def _firsts(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
-    """The rows of docs that exact_duplicates() keeps, with all their columns; names that differ only in case are not allowed."""
+    """The rows of docs that exact_duplicates() keeps, with all their columns; names that differ only in case are not allowed.
+
+    Null texts count as empty and are equal to each other.  Of equal texts the
+    row with the smallest id stays, null ids last; of those that share it, one.
+    An empty table gives an empty result.
+    """
     others = [c for c in docs.columns if c != text_col]
     rows, hashed = _sorted_texts(docs, id_col, text_col, others, partitions)
     rows = rows.drop("text_sha256")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod
+from ._common import crc_mod, drop, written
 from ._shingles import text_buffers
 
 ORDER = 3
@@ -220,13 +220,17 @@ def fit(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text
     their id; all of them where there are fewer.  Without such rows it knows no
     language.
     """
-    rows = docs.where(training).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = docs.where(training).select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.lit("language-id"), "doc_id"), F.lit(1 << 30))
     shares = F.create_map(*[F.lit(x) for lang, n in seen.items() for x in (lang, int(min(1.0, sample / n) * (1 << 30)))]) if seen else None
     counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     if seen:
-        found = gram_counts(rows.where(draw < shares[F.col("lang")]), order).toArrow()
+        learned = written(gram_counts(rows.where(draw < shares[F.col("lang")]), order), "grams")
+        if (least := 16 * learned.count()) > MODEL_BYTES:  # a gram and its count
+            raise ValueError(f"the model would have more than {least} bytes, more than the {MODEL_BYTES} that are sent to executors: learn from fewer documents or with a lower order")
+        found = learned.toArrow()
+        drop(learned)
         langs, gram, n = found["lang"].combine_chunks(), found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy()
         for lang in langs.unique().to_pylist():
             of = pa.compute.equal(langs, lang).to_numpy(zero_copy_only=False)
@@ -265,7 +269,7 @@ def predict(docs: DataFrame, model: Model, held_out, id_col: str = "doc_id", tex
             out = [batch["doc_id"], batch["held_out"], languages.take(pa.array(best)), pa.array(chance)]
             yield pa.RecordBatch.from_arrays([*out, *[batch["_text" if c == text_col else c] for c in keep]], names=["doc_id", "held_out", "lang_pred", "score", *keep])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep if c != text_col])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep if c != text_col])
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema += "".join([f", `{c}` {fields[c]}" for c in keep])
