@@ -46,7 +46,10 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the smallest id, null ids last; of rows that repeat id and text, one."""
+    """One document of each group of equal texts, the one with the smallest id, null ids last; of rows that repeat id and text, one.
+
+    Null texts count as empty texts, which are equal to each other; an empty table gives an empty result.
+    """
     ship(spark)
     plain, names = _plain(docs)
     return _back(exact_dedup.without_duplicates(plain, names["doc_id"], names["text"]), names)
@@ -83,7 +86,12 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens and digests of each document's ids and of what they decode to."""
+    """Number of tokens and digests of each document's ids and of what they decode to.
+
+    A null text counts as empty, with 0 tokens; null ids stay null, repeated
+    rows stay repeated, other columns are not looked at, and an empty table
+    gives an empty result.
+    """
     import public_tokenizers
 
     ship(spark)

@@ -19,6 +19,13 @@ def test_split_has_every_row_once(spark):
         sampling.random_split(df, "key", 0)
 
 
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    df = spark.range(500).withColumnRenamed("id", "key")
+    want = sorted((r.key, r.position) for r in sampling.random_split(df, "key", 100, seed=3).collect())
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 1 / 1000)  # now five digits make a bucket
+    assert sorted((r.key, r.position) for r in sampling.random_split(df, "key", 100, seed=3).collect()) == want
+
+
 def test_files_by_the_scarcest_bucket(spark):
     assert sampling.needed_per_file(10) == {"early": 1, "mid_pre": 2, "mid_mid": 3, "late": 4}
     df = lines(spark, {"early": 3, "mid_pre": 100, "mid_mid": 100, "late": 100, "other": 5})

@@ -22,10 +22,23 @@ def shuffle_key(seed: str | int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), key.cast("string")))
 
 
-def positions(df: DataFrame, order: Column, group: list[str] = (), name: str = "position", tie: Column | None = None) -> DataFrame:
-    """df with each row's place, from 0, in the order of a hexadecimal hash, within group."""
+#: Rows that a task ranks, about: hashes are dealt to as many buckets as that needs.
+BUCKET_ROWS = 1 << 16
+
+
+def positions(df: DataFrame, order: Column, group: list[str] = (), name: str = "position", tie: Column | None = None, rows: int | None = None) -> DataFrame:
+    """df with each row's place, from 0, in the order of a hexadecimal hash, within group.
+
+    rows is how many df has, if that is known; else they are counted. The
+    buckets of the hash follow that number, so that none has many more rows than
+    BUCKET_ROWS, whatever the groups are.
+    """
+    rows = df.count() if rows is None else rows
+    digits = 3
+    while 16**digits * BUCKET_ROWS < rows:
+        digits += 1
     tie = [] if tie is None else [tie]
-    df = df.withColumn("_order", order).withColumn("_part", F.substring("_order", 1, 3))
+    df = df.withColumn("_order", order).withColumn("_part", F.substring("_order", 1, digits))
     counts = df.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*[F.col(g) for g in group], F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
@@ -67,7 +80,7 @@ def rebalance(df: DataFrame, key: str, bucket: str, lines_per_file: int, seed: s
     counts = {r[bucket]: r["count"] for r in df.groupBy(bucket).count().collect()}
     files = plan_files(counts, need, max_files)
     per_file = F.create_map(*[F.lit(x) for b, n in need.items() for x in (b, n)])[F.col(bucket)]
-    ranked = positions(df, shuffle_key(seed, F.col(key)), [bucket], "_position", F.col(key))
+    ranked = positions(df, shuffle_key(seed, F.col(key)), [bucket], "_position", F.col(key), sum(counts.values()))
     kept = ranked.where(per_file > 0).withColumn("file_no", F.floor(F.col("_position") / per_file).cast("long")).where(F.col("file_no") < files)
     place = Window.partitionBy("file_no").orderBy(shuffle_key(f"{seed}-file", F.col(key)), F.col(key))
     return kept.withColumn("place", F.row_number().over(place).cast("long")).drop("_position")
