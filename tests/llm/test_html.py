@@ -72,7 +72,7 @@ def brute_content(rows):
         return (same / max(len(a), len(b))) ** 2
 
     def weight(path):
-        return (1, 0.5, 0.01)[max(m for _, m in path)]
+        return (1, 0.5, 0.05, 0.01)[max(m for _, m in path)]
 
     def score(path):
         out = []
@@ -159,8 +159,8 @@ def test_very_deep_pages():
 @pytest.mark.parametrize("start", ["<ul>", "<dl>", "<table>", ""])
 def test_items_without_end_tags_take_linear_time(start, item):
     began = time.process_time()
-    html_text.main_text(start + item * 100_000)
-    assert time.process_time() - began < 8
+    html_text.main_text(start + item * 30_000)
+    assert time.process_time() - began < 4
 
 
 def test_items_end_each_other():
@@ -197,7 +197,7 @@ def test_text_and_punctuation_alone_tell_content(aside, before):
 
 
 def test_the_ratios_change_what_the_marks_alone_would_give(monkeypatch):
-    pages = [f"<body><div>{marked_up(STORY)}</div><ul><li>Sol<li>Mar</ul><div class=related>{marked_up(SECTIONS)}</div></body>", PAGE]
+    pages = [f"<body><article>{marked_up(STORY)}<section class=share><p>Send</p><p>To a friend</p></section></article></body>", f"<body><div>{marked_up(STORY)}</div><ul><li>Sol<li>Mar</ul></body>", PAGE]
     want = [kept(p) for p in pages]
     monkeypatch.setattr(html_text, "path_scores", lambda found: {b.path: html_text.WEIGHTS[b.path.mark] for b in found})
     assert all(kept(p) != w for p, w in zip(pages, want, strict=True))

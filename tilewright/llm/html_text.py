@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 RADIUS = 2  # of the smoothing, in blocks
 LEAST = 0.35  # of the page's usual score: what a path needs to hold content
-WEIGHTS = (1.0, 0.5, 0.01)  # of paths without a mark, with a weak one, which dense text makes up for, and with a strong one
+WEIGHTS = (1.0, 0.5, 0.05, 0.01)  # of paths without a mark, with a light one, which dense text makes up for, a weak one and a strong one
 
 # Element names and the words in class, id and role that tell their use.
-_WEAKLY, _STRONGLY = 1, 2  # marks
+_LIGHTLY, _WEAKLY, _STRONGLY = 1, 2, 3  # marks
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol option p pre section select summary table tbody td tfoot th thead tr ul template".split()
@@ -142,7 +142,7 @@ class _Block:
 
 
 def _marked(name: str, rest: str, inside: bool) -> int:
-    """Whether an element says of itself that it is no content: 0, _WEAKLY or _STRONGLY. inside: in an article or main element."""
+    """Whether an element says of itself that it is no content: 0, _LIGHTLY (by a word, in an article or main element, which is inside), _WEAKLY or _STRONGLY."""
     if name in _LEFT_OUT and name not in _WEAK_NAMES:
         return _STRONGLY
     mark = _WEAKLY if name in _LEFT_OUT or name == "header" and not inside else 0
@@ -163,7 +163,7 @@ def _marked(name: str, rest: str, inside: bool) -> int:
                 if not _FRAME_WORDS.intersection(words) and ((told := _LEFT_OUT_WORDS.intersection(words) - no_marks) or any(w.startswith(_STRONG) for w in words)) and not (words[-1:] in (["content"], ["body"]) and words[0] not in _LEFT_OUT_WORDS):
                     if any(w.startswith(_STRONG) for w in words) or told & {"ad", "ads", "adsense", "adsbygoogle"}:
                         return _STRONGLY
-                    mark = _WEAKLY
+                    mark = max(mark, _LIGHTLY if inside else _WEAKLY)
     return mark
 
 
@@ -181,7 +181,7 @@ def _excused(elements: list[_Element]) -> frozenset[int]:
             if e.parent is not None:
                 plain[e.parent.number] += plain[i]
                 holds[e.parent.number] = holds[e.parent.number] or holds[i]
-    return frozenset(e.number for e in elements if e.mark == _WEAKLY and not strong[e.number] and (holds[e.number] or 2 * plain[e.number] > plain[0]))
+    return frozenset(e.number for e in elements if e.mark in (_LIGHTLY, _WEAKLY) and not strong[e.number] and (holds[e.number] or 2 * plain[e.number] > plain[0]))
 
 
 def blocks(html: str) -> list[_Block]:
