@@ -155,7 +155,7 @@ class _Texts:
         k = 0
         for chunk in table["text"].chunks:
             for s in shingle_sets(chunk, width):
-                # repeated rows come again; ids are those of classes
+                # rows may share an id with the class's own; repeated rows come again
                 if len(s) and ids[k] not in seen and set_hash(s) == (h1[k], h2[k]):
                     seen.add(ids[k])
                     sets.append(s)
@@ -237,10 +237,13 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
     signed = written(_signed(rows, BANDS, ROWS, width), "signatures")
     takes_part = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    # rows may share an id without being of one class, so classes have numbers of their own
     classes = signed.where(takes_part).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("first"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = classes.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", F.col("first.doc_id").alias("least"), F.col("first.t").alias("t"), "n", "n_shingles", "bands")
     classes = written(classes, "classes")
+    # rows may share an id without being of one class; where classes share their least id, they go by numbers, else by it
+    shared = not _empty(classes.groupBy("least").agg(F.count("*").alias("n")).where("n > 1"))
+    if not shared:
+        classes = classes.withColumn("rep", F.col("least"))
     banded = classes.select("rep", F.explode("bands").alias("band"))
     centres = written(banded.groupBy("band").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n > 1"), "centres")
     candidates = joined(banded, centres, ["band"], _hot(centres)).select(F.col("rep").alias("a"), "b")
@@ -259,7 +262,10 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     )
     placed = written(placed, "placed")
     # the texts of the groups alone, since all that follows needs no others
-    texts = placed.select("rep", F.col("least").alias("doc_id"), "t").join(rows.where("doc_id IS NOT NULL"), ["doc_id", "t"]).select("rep", "text")
+    if shared:
+        texts = placed.select("rep", F.col("least").alias("doc_id"), "t").join(rows.where("doc_id IS NOT NULL"), ["doc_id", "t"]).select("rep", "text")
+    else:
+        texts = placed.select("rep").join(rows.select(F.col("doc_id").alias("rep"), "text").where("rep IS NOT NULL"), "rep")
     if many:
         texts = written(texts, "texts")
 
@@ -281,11 +287,13 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
             known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
         found = found.unionByName(known)
     found = found.select(F.col("node").alias("rep"), "component")
-    found = written(found.unionByName(found.select(F.col("component").alias("rep"), "component").distinct()).join(classes.select("rep", "least"), "rep"), "found")
-    lowest = written(found.groupBy("component").agg(F.min("least").alias("lowest"), F.count("*").alias("n")), "lowest")
-    found = joined(found.select("rep", "component"), lowest, ["component"], _hot(lowest))
-    of_class = classes.select("h1", "h2", "n", "rep", "least").join(found.select("rep", "lowest"), "rep", "left")
-    of_class = of_class.select("h1", "h2", "n", F.coalesce("lowest", "least").alias("component"))
+    if shared:  # from numbers back to ids
+        found = found.unionByName(found.select(F.col("component").alias("rep"), "component").distinct()).join(classes.select("rep", "least"), "rep")
+        found = written(found, "found")
+        lowest = written(found.groupBy("component").agg(F.min("least").alias("lowest"), F.count("*").alias("n")), "lowest")
+        found = joined(found.select("rep", "component"), lowest, ["component"], _hot(lowest)).select("rep", F.col("lowest").alias("component"))
+    of_class = classes.select("h1", "h2", "n", "rep", "least").join(found, "rep", "left")
+    of_class = of_class.select("h1", "h2", "n", F.coalesce("component", "least").alias("component"))
     kept = F.col("doc_id") == F.col("component")
     linked = joined(signed.where(takes_part).select("doc_id", "n_shingles", "h1", "h2"), of_class, ["h1", "h2"], _hot(classes))
     alone = signed.where(~takes_part).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
