@@ -251,12 +251,13 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, wid
     roots = groups.select(F.col("component").alias("rep"), F.col("component").alias("cluster")).distinct()
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).unionByName(roots)
 
-    members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2", "least", "t"), "rep"), "members")
+    row = ["least", "t"] if shared else []  # of the row whose text is the class's
+    members = written(groups.join(classes.select("rep", "n_shingles", "h1", "h2", *row), "rep"), "members")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
     sizes = written(sizes.select("cluster", "n", F.col("n").alias("texts"), F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")), "sizes")
     many = not _empty(sizes.where("blocks > 1"))
     placed = joined(members, sizes, ["cluster"], _hot(sizes)).select(
-        "rep", "cluster", "h1", "h2", "least", "t", "n_shingles", "blocks",
+        "rep", "cluster", "h1", "h2", *row, "n_shingles", "blocks",
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
         ((F.col("blocks") > 1) & (F.pmod(F.xxhash64(F.lit("hub"), "rep"), F.greatest(F.lit(1), F.floor(F.col("texts") / HUBS))) == 0)).alias("hub"),
     )
