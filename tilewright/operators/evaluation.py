@@ -33,13 +33,17 @@ def work_list(models: DataFrame, samples: DataFrame, eval_times: int) -> DataFra
 
 
 def pending(work: DataFrame, done: DataFrame) -> DataFrame:
-    """The requests of the work list that are not done."""
-    return work.join(done.select(*KEYS), KEYS, "left_anti")
+    """The requests of the work list that are not done.
+
+    Both sides are sorted by the keys: Spark takes the size of `done` from its
+    files, which says nothing once rows were multiplied, and would broadcast it.
+    """
+    return work.join(done.select(*KEYS).hint("merge"), KEYS, "left_anti")
 
 
 def restrict(samples: DataFrame, allowed: DataFrame) -> DataFrame:
-    """The samples that some allowed request is for."""
-    return samples.join(allowed.select("dataset_path", "sample_id"), ["dataset_path", "sample_id"], "left_semi")
+    """The samples that some allowed request is for; joined as in pending()."""
+    return samples.join(allowed.select("dataset_path", "sample_id").hint("merge"), ["dataset_path", "sample_id"], "left_semi")
 
 
 def request_order() -> list[Column]:
