@@ -39,9 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = written(_small(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"), False), "stars")
     for _ in range(ROUNDS):
-        ends = edges.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))))
-        nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"), F.count("*").alias("n"))
-        open_, most = nodes.agg(F.count_if((F.col("up") > 1) | (F.col("up") == 1) & (F.col("down") == 1)), F.max("n")).first()
+        # counted at each end apart: rows of edges are never doubled
+        up = edges.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("up")).withColumn("down", F.lit(0))
+        down = edges.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("down")).withColumn("up", F.lit(0))
+        nodes = up.unionByName(down).groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        open_, most = nodes.agg(F.count_if((F.col("up") > 1) | (F.col("up") == 1) & (F.col("down") > 0)), F.max(F.col("up") + F.col("down"))).first()
         if open_ == 0:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         hot = most > HOT
@@ -50,9 +52,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _large(edges: DataFrame, hot: bool) -> DataFrame:
-    both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-    return joined(both, least, ["a"], hot).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    """Each edge's larger end with the smallest node that its smaller end knows of, itself included: larger neighbours can't be that."""
+    least = edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m"))
+    least = edges.groupBy("b").agg(F.count("*").alias("n")).join(least, "b", "left").withColumn("m", F.coalesce("m", "b"))
+    return joined(edges, least, ["b"], hot).select("a", F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame, hot: bool) -> DataFrame:
