@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RENAMERS = 16  # threads that ask the file system for renames
+
 
 def _listed(spark: SparkSession, path: str):
     """(file system, status of each entry of a folder by name)."""
@@ -27,12 +30,22 @@ def _renamed(spark: SparkSession, fs, source, path: str) -> None:
         raise OSError(f"{source.toString()} could not be renamed to {path}")
 
 
+def _each(step: Callable[[str], object], names: list[str]) -> None:
+    """Do step for each name: one after the other if they are few, else several at once, since a file system takes its time for each."""
+    if len(names) <= RENAMERS:
+        for name in names:
+            step(name)
+        return
+    with ThreadPoolExecutor(RENAMERS) as pool:
+        list(pool.map(step, names))
+
+
 def name_files(spark: SparkSession, path: str, name: Callable[[int, int], str]) -> None:
     """Give the part files in a folder the names name(k, how many there are). Only names are changed, no data is moved."""
     fs, found = _listed(spark, path)
     parts = sorted(n for n in found if n.startswith("part-"))
-    for k, part in enumerate(parts):
-        _renamed(spark, fs, found[part].getPath(), f"{path}/{name(k, len(parts))}")
+    names = {part: name(k, len(parts)) for k, part in enumerate(parts)}
+    _each(lambda part: _renamed(spark, fs, found[part].getPath(), f"{path}/{names[part]}"), parts)
 
 
 def name_folders(spark: SparkSession, path: str, column: str, name: Callable[[str], str], suffix: str) -> None:
@@ -47,16 +60,30 @@ def name_folders(spark: SparkSession, path: str, column: str, name: Callable[[st
     stems = {n: re.sub(r'[\\/:*?"<>|]', "_", name(unquote(n.split("=", 1)[1]))) for n in folders}
     if len(set(stems.values())) < len(stems):
         raise ValueError(f"values of {column} give the same file name")
-    for folder, stem in stems.items():
-        _, inside = _listed(spark, f"{path}/{folder}")
-        parts = sorted(n for n in inside if n.startswith("part-"))
-        for k, part in enumerate(parts):
-            number = f"-{k:05d}" if len(parts) > 1 else ""
-            _renamed(spark, fs, inside[part].getPath(), f"{path}/{stem}{number}{suffix}")
-        _, left = _listed(spark, f"{path}/{folder}")
-        if any(n.startswith("part-") for n in left):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    parts: dict[str, list[str]] = {n: [] for n in folders}
+
+    def listed(folder: str) -> None:
+        inside = fs.listStatus(at(f"{path}/{folder}"))
+        names = (s.getPath().getName() for s in inside)
+        parts[folder] = sorted(n for n in names if n.startswith("part-"))
+
+    def moved(folder: str) -> None:
+        for k, part in enumerate(parts[folder]):
+            new = f"{stems[folder]}{f'-{k:05d}' if len(parts[folder]) > 1 else ''}{suffix}"
+            if new in found:
+                fs.delete(at(f"{path}/{new}"), False)
+            if not fs.rename(at(f"{path}/{folder}/{part}"), at(f"{path}/{new}")):
+                raise OSError(f"{path}/{folder}/{part} could not be renamed to {path}/{new}")
+
+    def emptied(folder: str) -> None:
+        listed(folder)
+        if parts[folder]:
             raise OSError(f"{path}/{folder} still has files")
-        fs.delete(found[folder].getPath(), True)
+        fs.delete(at(f"{path}/{folder}"), True)
+
+    for step in (listed, moved, emptied):
+        _each(step, folders)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
