@@ -339,13 +339,22 @@ def q_count_map(spark, sf_dir):
     return synth.boards(spark, sf_dir).select("key", F.explode(tiles.count_map(F.col("hand"))).alias("tile", "n"))
 
 
+BOARD_ROWS = 50_000  # in a part of a file of boards, about
+
+
 def _board_files(spark, sf_dir) -> str:
-    """Three Parquet files of boards, in the order of their keys, and one that is none."""
+    """Three Parquet files of boards, in the order of their keys, numbered where a file has several parts, and one that is none.
+
+    Keys are dealt to parts, and boards are made where their part is written, so
+    a task's work is that of a part, however long the files are.
+    """
     path = scratch(spark, "boards")
-    b = synth.boards(spark, sf_dir).withColumn("round_number", F.lit(0)).withColumn("game_id", F.col("key").cast("string"))
+    orders = synth.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
+    parts = max(3, -(-orders.count() // BOARD_ROWS))
+    dealt = orders.repartitionByRange(parts, F.col("key") % 3, "key")
+    b = synth.boards_of(dealt).withColumn("round_number", F.lit(0)).withColumn("game_id", F.col("key").cast("string"))
     key = F.col("c511").cast("long")
-    positions = board_source.unpack(b).withColumn("file", key % 3)
-    positions.repartition(3, "file").sortWithinPartitions("file", key).write.partitionBy("file").parquet(path)
+    board_source.unpack(b).withColumn("file", key % 3).sortWithinPartitions("file", key).write.partitionBy("file").parquet(path)
     files.name_folders(spark, path, "file", lambda v: f"boards_{v}", ".parquet")
     spark.range(1).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(path)
     files.name_files(spark, path, lambda k, n: "bad.parquet")
@@ -356,7 +365,7 @@ def _board_files(spark, sf_dir) -> str:
 def q_board_files(spark, sf_dir):
     """Boards of the files of a folder, of which one is not readable."""
     df = board_source.read_boards(spark, _board_files(spark, sf_dir), skip_unreadable=True)
-    return df.groupBy(text.base_name(F.col("source_file")).alias("file_name")).agg(F.count("*").alias("boards"), F.sum("c0").alias("winds"))
+    return df.groupBy(files.whole_name(text.base_name(F.col("source_file")), "parquet").alias("file_name")).agg(F.count("*").alias("boards"), F.sum("c0").alias("winds"))
 
 
 @query
@@ -367,7 +376,7 @@ def q_convert_folder(spark, sf_dir):
     packed = board_source.pack(read.withColumn("_file", files.output_name(F.lit("train"), F.col("source_file"))), "_file", "source_row")
     lines = training_text(packed).select("_file", "source_row", jsonl.to_line("text").alias("line"))
     jsonl.write_named(lines, out, "_file", ["source_row"])
-    found = jsonl.read_lines(spark, out).select(files.file_name().alias("file_name"), F.get_json_object("line", "$.text").alias("text"))
+    found = jsonl.read_lines(spark, out).select(files.whole_name(files.file_name(), "jsonl").alias("file_name"), F.get_json_object("line", "$.text").alias("text"))
     return found.groupBy("file_name", "text").agg(F.count("*").alias("n"))
 
 
@@ -391,7 +400,8 @@ def q_evaluation_run(spark, sf_dir):
 @query
 def q_limit_per_file(spark, sf_dir):
     """The first 100 boards of each file."""
-    df = board_source.limit_per_file(board_source.read_boards(spark, f"{_board_files(spark, sf_dir)}/boards_*.parquet"), 100)
+    read = board_source.read_boards(spark, f"{_board_files(spark, sf_dir)}/boards_*.parquet").select("c511", "source_file", "source_row")
+    df = board_source.limit_per_file(read, 100, whole=files.whole_name(text.base_name(F.col("source_file")), "parquet"))
     return df.select(F.col("c511").cast("long").alias("key"))
 
 

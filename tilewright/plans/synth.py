@@ -47,8 +47,12 @@ def _dealt(keys: pa.Array) -> pa.Array:
 
 
 def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
-    return orders.withColumn("d", F.arrow_udf(_dealt, _DEAL)("key")).select(
+    return boards_of(table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key")))
+
+
+def boards_of(keys: DataFrame) -> DataFrame:
+    """The boards of keys, where the keys are."""
+    return keys.withColumn("d", F.arrow_udf(_dealt, _DEAL)("key")).select(
         "key",
         F.expr("CAST(key % 5 AS INT)").alias("wind"),
         F.expr("CAST((key DIV 3) % 5 AS INT)").alias("dealer"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Positions in the table, and the defaults of missing values.
@@ -20,9 +20,18 @@ def read_boards(spark: SparkSession, path: str, skip_unreadable: bool = False) -
     return reader.parquet(path).withColumns({"source_file": F.col("_metadata.file_path"), "source_row": F.col("_metadata.row_index")})
 
 
-def limit_per_file(df: DataFrame, n: int, row: str = "source_row") -> DataFrame:
-    """The first n rows of each file, by their place in it; no rows are moved for it."""
-    return df.where(F.col(row) < n)
+def limit_per_file(df: DataFrame, n: int, row: str = "source_row", whole: Column | None = None) -> DataFrame:
+    """The first n rows of each file, by their place in it; no rows are moved for it.
+
+    whole is the name of the file that numbered files are the parts of, if there
+    are such; then n rows of each part are ranked, by the part's name and their
+    place in it, and the first n of the whole are kept.
+    """
+    first = df.where(F.col(row) < n)
+    if whole is None:
+        return first
+    place = F.row_number().over(Window.partitionBy("_whole").orderBy("source_file", row))
+    return first.withColumn("_whole", whole).withColumn("_place", place).where(F.col("_place") <= n).drop("_whole", "_place")
 
 
 def column_at(df: DataFrame, i: int) -> Column:
