@@ -144,7 +144,7 @@ def q_stream_once(spark, sf_dir):
         rows.where("eval_id = 1").select("*", at("15:00:01")).unionByName(rows.where("eval_id = 2").select("*", F.explode(F.array(at("09:00:00"), at("09:30:00"))).alias("start_ts"))),
     ]
     for batch in batches:
-        batch.write.mode("append").json(f"{root}/in")
+        batch.write.mode("append").option("compression", "gzip").json(f"{root}/in")
         resume.run_once(resume.answers(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     resume.store(batches[0].withColumn("start_ts", F.col("start_ts").cast("timestamp")), 0, f"{root}/out")
     micros = F.unix_micros("start_ts")

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import dealt
 from ..sources.tables import read_table as table
 
 MODELS = ("A", "B", "C")
@@ -46,8 +47,12 @@ def _dealt(keys: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([lists(hand), lists(shown), lists(melds), lists(discards), lists(kinds[:, :14])], names=["hand", "indicators", "melds", "discards", "first"])
 
 
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(spark, sf_dir, "orders", "o_orderkey").select(F.col("o_orderkey").alias("key"))
+
+
 def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boards_of(table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key")))
+    return boards_of(_keys(spark, sf_dir))
 
 
 def boards_of(keys: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def boards_of(keys: DataFrame) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.tiles import tile_name
 
-    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
+    orders = _keys(spark, sf_dir)
     rows = orders.select("key", F.posexplode(F.array(*map(F.lit, MODELS))).alias("m", "model")).select("key", "m", "model", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("eval_id"))
     rows = rows.withColumn("gold", tile_name((F.col("key") % 34).cast("int"))).withColumn("variant", F.expr("(key * 7 + m * 3 + eval_id * (1 + key % 2)) % 6"))
     answer = F.expr(
@@ -106,7 +111,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short prompts with turn, section marks and answer, one for each order; some lack a part."""
-    orders = table(spark, sf_dir, "orders", spread=True).select(F.col("o_orderkey").alias("key"))
+    orders = _keys(spark, sf_dir)
     mark = F.expr("CASE key % 4 WHEN 0 THEN concat('(第', CAST(key % 19 AS STRING), '巡，牌墙余9张)') WHEN 1 THEN concat('第', CAST(key % 19 AS STRING), '巡') WHEN 2 THEN concat('x(第', CAST(key % 19 AS STRING), '巡)') ELSE '没有' END")
     tail = F.expr("CASE key % 5 WHEN 0 THEN '\n 6筒 \n' WHEN 1 THEN '\n[答]' WHEN 2 THEN '\n\n东\n西' WHEN 3 THEN '' ELSE '\n[下一节]\n白' END")
     return orders.select("key", F.concat(F.lit("[情景分析]\n- 牌局"), mark, F.lit("\n[任务]\n选择一张。"), tail).alias("text"))

@@ -44,14 +44,16 @@ def store(rows: DataFrame, batch: int, path: str, asked: DataFrame | None = None
 
     Each batch has a folder of its own, which it overwrites, and is compared
     with those before it alone; so a batch that is run again, after a failure
-    at any point, changes nothing.  The batch's own keys, or those of asked if
-    that is given (so that rows is computed once), are looked up in what is
-    stored, of which no other columns are read.
+    at any point, changes nothing.  Of what is stored only the keys are read,
+    and if asked is given (a table with the batch's keys) only its keys are
+    compared; rows are computed once either way, and nothing is broadcast.
     """
     spark = rows.sparkSession
     rows = first_answers(rows)
-    known = stored(spark, path, rows.schema, before=batch).select(*KEYS).join((rows if asked is None else asked).select(*KEYS), KEYS, "left_semi")
-    new = rows.join(known, KEYS, "left_anti")
+    known = stored(spark, path, rows.schema, before=batch).select(*KEYS)
+    if asked is not None:
+        known = known.join(asked.select(*KEYS), KEYS, "left_semi")
+    new = rows.join(known.hint("merge"), KEYS, "left_anti")
     new.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/batch={batch}")
 
 
