@@ -221,8 +221,7 @@ def q_config(spark, sf_dir):
 
 @query
 def q_sample_score(spark, sf_dir):
-    r = synth.results(spark, sf_dir)
-    return metrics.sample_scores(r).join(metrics.sample_scores(r, "avg").withColumnRenamed("final_score", "mean_score"), metrics.SAMPLE)
+    return metrics.sample_scores(synth.results(spark, sf_dir), mean="mean_score")
 
 
 @query
