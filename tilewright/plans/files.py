@@ -84,8 +84,9 @@ def q_balanced_files(spark, sf_dir):
 
 @query
 def q_rebalance_unknown(spark, sf_dir):
-    """Lines without a turn go before files are balanced; of samples, those of no category."""
-    p = synth.prompts(spark, sf_dir).select("key", text.bucket(text.turn_in_line(F.col("text"))).alias("bucket"), text.category(text.turn_in_text(F.col("text"))).alias("category"))
+    """Lines without a turn go before files are balanced; of samples, those of no category. Turns are looked for once and stored, since rows are counted and drawn from them."""
+    turns = synth.prompts(spark, sf_dir).select("key", text.turn_in_line(F.col("text")).alias("in_line"), text.turn_in_text(F.col("text")).alias("in_text"))
+    p = written(turns.select("key", text.bucket(F.col("in_line")).alias("bucket"), text.category(F.col("in_text")).alias("category")), "turns")
     balanced = sampling.rebalance(p.select("key", "bucket"), "key", "bucket", 20, seed=7).select("key", F.lit("file").alias("taken"))
     sample = sampling.stratified_sample(p.select("key", "category"), "key", "category", 100, seed=7).select("key", F.lit("sample").alias("taken"))
     return balanced.unionByName(sample)
