@@ -56,8 +56,12 @@ def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boards_of(keys: DataFrame) -> DataFrame:
-    """The boards of keys, where the keys are."""
-    return keys.withColumn("d", F.arrow_udf(_dealt, _DEAL)("key")).select(
+    """The boards of keys, where the keys are.
+
+    Dealing is called nondeterministic, as else a condition on what is dealt
+    would be moved to before the keys are and deal there once more.
+    """
+    return keys.withColumn("d", F.arrow_udf(_dealt, _DEAL).asNondeterministic()("key")).select(
         "key",
         F.expr("CAST(key % 5 AS INT)").alias("wind"),
         F.expr("CAST((key DIV 3) % 5 AS INT)").alias("dealer"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 # Positions in the table, and the defaults of missing values.
 SCALARS = {"wind": (0, None), "dealer": (1, 0), "pov": (2, 0), "honba": (3, 0), "sticks": (4, 0), "wall": (5, 70), "round_number": (32, 0), "label": (510, None)}
@@ -41,8 +42,10 @@ def column_at(df: DataFrame, i: int) -> Column:
 
 def _number(df: DataFrame, i: int, default: int | None) -> Column:
     """A whole number; NaN, null and what is no number give the default."""
-    value = column_at(df, i).try_cast("double")
-    value = F.when(~F.isnan(value), value).cast("int")
+    value = column_at(df, i)
+    if not (0 <= i < len(df.columns) and isinstance(df.schema[i].dataType, IntegerType)):
+        value = value.try_cast("double")
+        value = F.when(~F.isnan(value), value).cast("int")
     return value if default is None else F.coalesce(value, F.lit(default))
 
 
