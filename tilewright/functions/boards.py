@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +17,18 @@ from .shanten import evaluate, suit_table
 from .tiles import TILE_NAMES
 
 _FIELDS = ("standard", "shanten", "ukeire")
+CHUNK = 1024  # boards that are worked out at once, so that what is made on the way stays small
+
+
+def in_chunks(compute: Callable[..., pa.Array]) -> Callable[..., pa.Array]:
+    """compute() for some rows of a batch after the other."""
+
+    @functools.wraps(compute)
+    def run(*columns: pa.Array) -> pa.Array:
+        parts = [compute(*[c.slice(k, CHUNK) for c in columns]) for k in range(0, max(len(columns[0]), 1), CHUNK)]
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+    return run
 
 
 def _counts(lists: pa.Array, width: int) -> np.ndarray:
@@ -70,6 +85,7 @@ def board_texts(hand: Column, melds: Column, discards: Column, pov: Column) -> C
     """struct(hand, melds, discards): the tiles of a board as the prompt names them."""
 
     @F.arrow_udf("hand string, melds string, discards string")
+    @in_chunks
     def compute(hand: pa.Array, melds: pa.Array, discards: pa.Array, pov: pa.Array) -> pa.Array:
         own = pc.if_else(hand.is_valid(), _named(_counts(hand, 34)), None)
         seats = [_seats(_counts(x, 136).reshape(-1, 4, 34), pov, word) for x, word in ((melds, MELD_WORD), (discards, ""))]
@@ -83,6 +99,7 @@ def board_features(hand: Column, indicators: Column, melds: Column, discards: Co
     table = SparkSession.active().sparkContext.broadcast(suit_table())  # 2 MB
 
     @F.arrow_udf("turn int, standard int, shanten int, ukeire int, tiles array<int>, dangers array<int>")
+    @in_chunks
     def compute(hand: pa.Array, indicators: pa.Array, melds: pa.Array, discards: pa.Array, riichi: pa.Array) -> pa.Array:
         own, shown = _counts(hand, 34), _counts(indicators, 34)
         called, thrown = _counts(melds, 136).reshape(-1, 4, 34), _counts(discards, 136).reshape(-1, 4, 34)

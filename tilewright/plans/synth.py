@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.boards import in_chunks
 from ..sources.tables import dealt
 from ..sources.tables import read_table as table
 
@@ -20,6 +21,7 @@ MODELS = ("A", "B", "C")
 _DEAL = "hand array<int>, indicators array<int>, melds array<array<int>>, discards array<array<int>>, first array<int>"
 
 
+@in_chunks
 def _dealt(keys: pa.Array) -> pa.Array:
     """Counts of the hand, indicators, melds and discards of a key's deal, and the hand's tiles in the order dealt."""
     key = keys.to_numpy(zero_copy_only=False).astype(np.int64)
