@@ -181,12 +181,16 @@ def q_schedule(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+LISTED_ENTRIES = 20_000  # of a list, at most, about
+
+
 @query
 def q_results_listed(spark, sf_dir):
     """Results as a list of entries with model_name and mixed answers, as older runs have them."""
     path = scratch(spark, "listed")
     entry = F.to_json(F.struct(F.col("model").alias("model_name"), "dataset", "dataset_path", "sample_id", F.transform("model_answers", lambda a: F.array(a, F.lit("1"), F.lit("2"), F.lit("3"))).alias("model_answers"), "extracted_answers", "scores"))
-    lists = _entries(spark, sf_dir).groupBy("model", (F.col("sample_id") % 50).alias("slice")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(entry), ","), F.lit("]")).alias("value"))
+    slices = max(50, synth.table(spark, sf_dir, "orders").count() // LISTED_ENTRIES)
+    lists = _entries(spark, sf_dir).groupBy("model", (F.col("sample_id") % slices).alias("slice")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(entry), ","), F.lit("]")).alias("value"))
     lists.select("value").write.option("maxRecordsPerFile", 1).text(path)
     found = results.explode_entries(results.read_results(spark, path))
     return found.select("model", "sample_id", "eval_id", "answer", "score")
