@@ -125,7 +125,7 @@ def split_empty(responses: DataFrame, filter_empty: bool) -> tuple[DataFrame, Da
 
 def grouped(responses: DataFrame) -> DataFrame:
     """One row for each sample of a model: arrays over its repetitions, in their order."""
-    rows = F.array_sort(F.collect_list(F.struct("eval_id", "answer", "extracted", "score")))
+    rows = F.sort_array(F.collect_list(F.struct("eval_id", "answer", "extracted", "score")))
     found = responses.groupBy("model", "dataset_path", "sample_id").agg(rows.alias("_rows"))
     return found.select("model", "dataset_path", "sample_id", *[F.col("_rows")[c].alias(n) for c, n in (("eval_id", "eval_ids"), ("answer", "model_answers"), ("extracted", "extracted_answers"), ("score", "scores"))])
 
