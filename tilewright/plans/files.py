@@ -60,8 +60,8 @@ def q_output_name(spark, sf_dir):
 def q_part_files(spark, sf_dir):
     path = scratch(spark, "parts")
     split = sampling.random_split(_lines(spark, sf_dir).select("key"), "key", 1000, seed=7)
-    jsonl.write_part_files(split.withColumn("line", F.col("key").cast("string")), path, "part", "position", "train")
-    return files.lines_in_order(spark, path).select("file_name", "place", F.col("line").cast("long").alias("key"))
+    n = jsonl.write_part_files(split.withColumn("line", F.col("key").cast("string")), path, "part", "position", "train")
+    return files.numbered_in_order(spark, path, lambda k: jsonl.part_name("train", k), n).select("file_name", "place", F.col("line").cast("long").alias("key"))
 
 
 @query
@@ -78,8 +78,8 @@ def q_bucket_files(spark, sf_dir):
 def q_balanced_files(spark, sf_dir):
     path = scratch(spark, "balanced")
     rows = sampling.rebalance(_lines(spark, sf_dir).select("key", "bucket"), "key", "bucket", 100, seed=7)
-    jsonl.write_balanced(rows.withColumn("line", F.col("key").cast("string")), path)
-    return files.lines_in_order(spark, path).select("file_name", "place", F.col("line").cast("long").alias("key"))
+    n = jsonl.write_balanced(rows.withColumn("line", F.col("key").cast("string")), path)
+    return files.numbered_in_order(spark, path, lambda k: jsonl.part_name(jsonl.BALANCED, k), n).select("file_name", "place", F.col("line").cast("long").alias("key"))
 
 
 @query

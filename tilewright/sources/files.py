@@ -10,6 +10,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import scratch
+
 RENAMERS = 16  # threads that ask the file system for renames
 
 
@@ -120,7 +122,63 @@ def output_name(folder: Column, path: Column) -> Column:
     return F.concat(folder, F.lit("-"), stem, F.lit(".jsonl"))
 
 
+#: Files that are listed at once, at most, where their number grows with the rows.
+LISTED = 1 << 14
+
+
+def name_parts(spark: SparkSession, path: str, group: str, part: str, name: Callable[[int], str]) -> int:
+    """Turn the one file in each of the folders group=g/part=k of a new table into a file name(k), one group after the other; gives how many there are.
+
+    Only the files of a group are known to the driver at once, so its memory
+    does not follow the table. Their paths come in one call to the JVM.
+    """
+    fs, groups = _listed(spark, path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    n = 0
+    for g in sorted(g for g in groups if g.startswith(f"{group}=")):
+        found = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(at(f"{literal}/{g}/{part}=*/part-*")).mkString("\n")
+        files = re.findall(rf"/{re.escape(g)}/{re.escape(part)}=([^/\n]+)/(part-[^/\n]+)", found)
+        if len({k for k, _ in files}) < len(files):
+            raise OSError(f"{path}/{g} has parts of several files")
+
+        def moved(file: tuple[str, str], g: str = g) -> None:
+            k, source = file
+            if not fs.rename(at(f"{path}/{g}/{part}={k}/{source}"), at(f"{path}/{name(int(k))}")):
+                raise OSError(f"{path}/{g}/{part}={k}/{source} could not be renamed")
+
+        _each(moved, files)
+        fs.delete(at(f"{path}/{g}"), True)
+        n += len(files)
+    return n
+
+
+def _lines(files: DataFrame) -> DataFrame:
+    files = files.select(file_name().alias("file_name"), F.regexp_replace("value", r"\n\z", "").alias("value"))
+    return files.select("file_name", F.posexplode(F.split("value", "\n")).alias("place", "line")).withColumn("place", F.col("place") + 1)
+
+
 def lines_in_order(spark: SparkSession, path: str, suffix: str = "jsonl") -> DataFrame:
     """file_name, place (from 1), line of the files of a folder, each of which a task reads whole."""
-    files = spark.read.option("pathGlobFilter", f"*.{suffix}").text(path, wholetext=True).select(file_name().alias("file_name"), F.regexp_replace("value", r"\n\z", "").alias("value"))
-    return files.select("file_name", F.posexplode(F.split("value", "\n")).alias("place", "line")).withColumn("place", F.col("place") + 1)
+    return _lines(spark.read.option("pathGlobFilter", f"*.{suffix}").text(path, wholetext=True))
+
+
+def numbered_in_order(spark: SparkSession, path: str, name: Callable[[int], str], n: int) -> DataFrame:
+    """lines_in_order() of the files name(0) to name(n - 1) of a folder.
+
+    Where they are more than LISTED, they are read that many at a time into a
+    table: Spark keeps on the driver what it knows of each file of a scan.
+    """
+    if n <= LISTED:
+        return lines_in_order(spark, path)
+    table, tasks = scratch(spark, "lines"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(tasks)
+    try:
+        spark.conf.set(tasks, "64")  # else a task looks for each file
+        for a in range(0, n, LISTED):
+            some = spark.read.text([f"{path}/{name(k)}" for k in range(a, min(n, a + LISTED))], wholetext=True)
+            _lines(some).write.mode("append").parquet(table)
+    finally:
+        spark.conf.set(tasks, before)
+    return spark.read.parquet(table)

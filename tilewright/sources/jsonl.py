@@ -61,10 +61,15 @@ def write_named(df: DataFrame, path: str, file_name: str, order: list[str], line
     files.name_folders(df.sparkSession, path, file_name, lambda v: v, "")
 
 
-def write_part_files(df: DataFrame, path: str, part: str, order: str, prefix: str, line: str = "line") -> None:
-    """write_parts() as files prefix_00000.jsonl and so on."""
-    write_parts(df, path, part, order, line)
-    files.name_folders(df.sparkSession, path, part, lambda v: f"{prefix}_{int(v):05d}", ".jsonl")
+def part_name(prefix: str, k: int) -> str:
+    return f"{prefix}_{k:05d}.jsonl"
+
+
+def write_part_files(df: DataFrame, path: str, part: str, order: str, prefix: str, line: str = "line") -> int:
+    """write_parts() as files prefix_00000.jsonl and so on; gives their number. Parts lie in folders of files.LISTED at most until they have their names."""
+    rows = dealt_parts(df.withColumn("_group", F.floor(F.col(part) / files.LISTED)), part, order).sortWithinPartitions("_group", part, order)
+    rows.select("_group", F.col(part), F.col(line).alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("_group", part).text(path)
+    return files.name_parts(df.sparkSession, path, "_group", part, lambda k: part_name(prefix, k))
 
 
 def write_bucket_files(df: DataFrame, path: str, bucket: str = "bucket", line: str = "line") -> None:
@@ -73,6 +78,9 @@ def write_bucket_files(df: DataFrame, path: str, bucket: str = "bucket", line: s
     files.name_folders(df.sparkSession, path, bucket, lambda v: v, ".jsonl")
 
 
-def write_balanced(df: DataFrame, path: str, line: str = "line") -> None:
-    """The files of sampling.rebalance(), train_balanced_00000.jsonl and so on, each shuffled within."""
-    write_part_files(df, path, "file_no", "place", "train_balanced", line)
+BALANCED = "train_balanced"
+
+
+def write_balanced(df: DataFrame, path: str, line: str = "line") -> int:
+    """The files of sampling.rebalance(), train_balanced_00000.jsonl and so on, each shuffled within; gives their number."""
+    return write_part_files(df, path, "file_no", "place", BALANCED, line)
