@@ -357,9 +357,10 @@ def _board_files(spark, sf_dir) -> str:
     orders = synth.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"))
     parts = max(3, -(-orders.count() // BOARD_ROWS))
     dealt = orders.repartitionByRange(parts, F.col("key") % 3, "key")
-    b = synth.boards_of(dealt).withColumn("round_number", F.lit(0)).withColumn("game_id", F.col("key").cast("string"))
-    key = F.col("c511").cast("long")
-    board_source.unpack(b).withColumn("file", key % 3).sortWithinPartitions("file", key).write.partitionBy("file").parquet(path)
+    # keys are in order where boards are made of them, so that no wide rows are sorted
+    b = synth.boards_of(dealt.sortWithinPartitions(F.col("key") % 3, "key")).withColumn("round_number", F.lit(0)).withColumn("game_id", F.col("key").cast("string"))
+    with files.settings(spark, files.UNSORTED):
+        board_source.unpack(b).withColumn("file", F.col("c511").cast("long") % 3).write.partitionBy("file").parquet(path)
     files.name_folders(spark, path, "file", lambda v: f"boards_{v}", ".parquet")
     spark.range(1).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(path)
     files.name_files(spark, path, lambda k, n: "bad.parquet")
@@ -376,13 +377,16 @@ def q_board_files(spark, sf_dir):
 @query
 def q_convert_folder(spark, sf_dir):
     """The training lines of a folder's files, in a file named after each; the file that is not readable is passed over."""
-    out = scratch(spark, "converted")
-    read = board_source.read_boards(spark, _board_files(spark, sf_dir), skip_unreadable=True)
+    out, boards = scratch(spark, "converted"), _board_files(spark, sf_dir)
+    read = board_source.read_boards(spark, boards, skip_unreadable=True)
     packed = board_source.pack(read.withColumn("_file", files.output_name(F.lit("train"), F.col("source_file"))), "_file", "source_row")
     lines = training_text(packed).select("_file", "source_row", jsonl.to_line("text").alias("line"))
-    jsonl.write_named(lines, out, "_file", ["source_row"])
+    with files.whole_files(spark, boards):
+        jsonl.write_in_order(lines, out, "_file", compression="gzip")
     found = jsonl.read_lines(spark, out).select(files.whole_name(files.file_name(), "jsonl").alias("file_name"), F.get_json_object("line", "$.text").alias("text"))
-    return found.groupBy("file_name", "text").agg(F.count("*").alias("n"))
+    # dealt before they are counted: nearly all texts differ, and counting them where they are read would only spill them
+    parts = max(spark.sparkContext.defaultParallelism, -(-synth.table(spark, sf_dir, "orders").count() // BOARD_ROWS))
+    return found.repartition(parts, "file_name", "text").groupBy("file_name", "text").agg(F.count("*").alias("n"))
 
 
 @query

@@ -10,8 +10,8 @@ from . import files
 
 
 def read_lines(spark: SparkSession, path: str, keep_empty: bool = False) -> DataFrame:
-    """line: the raw lines of a file or of the *.jsonl files of a folder."""
-    lines = spark.read.option("pathGlobFilter", "*.jsonl").text(path).withColumnRenamed("value", "line")
+    """line: the raw lines of a file or of the *.jsonl files of a folder, which may be compressed (*.jsonl.gz)."""
+    lines = spark.read.option("pathGlobFilter", "*.jsonl{,.gz}").text(path).withColumnRenamed("value", "line")
     return lines if keep_empty else lines.where(strip(F.col("line")) != "")
 
 
@@ -61,6 +61,20 @@ def write_named(df: DataFrame, path: str, file_name: str, order: list[str], line
     files.name_folders(df.sparkSession, path, file_name, lambda v: v, "")
 
 
+def write_in_order(df: DataFrame, path: str, file_name: str, line: str = "line", compression: str | None = None) -> None:
+    """A file for each value of file_name, which it is called (and .gz, with gzip), of rows that lie in order in the task that has the file.
+
+    Unlike write_named() this moves and sorts no lines. A name whose rows lie in
+    several tasks gets numbered files.
+    """
+    if compression not in (None, "gzip"):
+        raise ValueError("compression is gzip or None")
+    with files.settings(df.sparkSession, files.UNSORTED):
+        df.select(F.col(file_name), F.col(line).alias("value")).write.mode("overwrite").option("compression", compression or "none").option("maxRecordsPerFile", 0).partitionBy(file_name).text(path)
+    suffix = ".jsonl.gz" if compression else ".jsonl"
+    files.name_folders(df.sparkSession, path, file_name, lambda v: v.removesuffix(".jsonl"), suffix)
+
+
 def part_name(prefix: str, k: int) -> str:
     return f"{prefix}_{k:05d}.jsonl"
 
