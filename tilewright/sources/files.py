@@ -96,14 +96,17 @@ UNSORTED = {"spark.sql.maxConcurrentOutputFileWriters": "16"}
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """With other settings of Spark inside."""
-    before = {name: spark.conf.get(name) for name in values}
+    before = {name: spark.conf.get(name, None) for name in values}
     try:
         for name, value in values.items():
             spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 @contextmanager

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import scope, written
 from ..shipping import ship
+from .files import settings
 
 #: Where an entry has ended: in a list of entries, in a model's list, or in the place of a model's list.
 _ENDS = ("[", "{[", "{")
@@ -50,13 +51,28 @@ def _reduced(brackets: str) -> str:
 
 def _step(text: str, quoted: bool) -> tuple[bool, str]:
     """(whether a string is open after a row and its brace, brackets that do not close each other), from whether one is open before."""
-    parts = text.replace("\\\\", "").replace('\\"', "").split('"')
+    return _after(_parts(text), quoted)
+
+
+def _parts(text: str) -> list[str]:
+    """What stands between the quotes of a row."""
+    return (text.replace("\\\\", "").replace('\\"', "") if "\\" in text else text).split('"')
+
+
+def _after(parts: list[str], quoted: bool) -> tuple[bool, str]:
     after = quoted ^ (len(parts) % 2 == 0)
     return after, _NO_BRACKET.sub("", "".join(parts[int(quoted) :: 2])) + ("" if after else "}")
 
 
+def _steps(text: str, *quoted: bool) -> list[tuple[bool, str]]:
+    """_step() from several states; the row is cut once, and a state that comes again is not worked out again."""
+    parts = _parts(text)
+    known: dict[bool, tuple[bool, str]] = {}
+    return [known[q] if q in known else known.setdefault(q, _after(parts, q)) for q in quoted]
+
+
 def _open(stack: str, brackets: str) -> str:
-    return _reduced(stack + brackets)
+    return stack[:-1] if len(brackets) == 1 and stack and stack[-1] + brackets in ("[]", "{}") else _reduced(stack + brackets)
 
 
 def _pieces(spark: SparkSession, paths: str | list[str], above: int) -> DataFrame:
@@ -78,9 +94,8 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield row()
                 now, ends, brackets = (document, start), [False, True], ["", ""]
-            for q in (0, 1):
-                ends[q], more = _step(value, ends[q])
-                brackets[q] = _reduced(brackets[q] + more)
+            for q, (end, more) in enumerate(_steps(value, *ends)):
+                ends[q], brackets[q] = end, _open(brackets[q], more) if more else brackets[q]
     if now is not None:
         yield row()
 
@@ -157,20 +172,19 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table()
 
 
+#: Tasks for each core, at most, where byte ranges have a size that is given; beyond, a task reads several ranges, one after the other.
+TASKS_A_CORE = 16
+
+
 @contextmanager
 def _split_at(spark: SparkSession, size: int | None) -> Iterator[None]:
-    """With a size, byte ranges have that many bytes instead of what is set."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {n: spark.conf.get(n) for n in names}
-    try:
-        if size is not None:
-            for n in names:
-                spark.conf.set(n, str(size))
+    """With a size, byte ranges have that many bytes instead of what is set, and tasks do not follow their number."""
+    if size is None:
+        yield
+        return
+    tasks = TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size), "spark.sql.files.maxPartitionNum": str(tasks)}):
         yield
-    finally:
-        if size is not None:
-            for n, value in before.items():
-                spark.conf.set(n, value)
 
 
 def read_entries(spark: SparkSession, paths: str | list[str], above: int = 0, split_bytes: int | None = None) -> DataFrame:
